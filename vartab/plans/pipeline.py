@@ -1,0 +1,145 @@
+"""End-to-end assembly: config -> base table -> funnel -> tool parts ->
+combined, hive-partitioned annotation table.
+
+``annotation_table`` is pure DataFrame composition (used by the registered
+queries on fixtures); ``annotate`` adds the file I/O of a real run: text
+inputs in, the base table persisted once (it feeds both the funnel and the
+combine, so the CSQ explode runs once), annotations out.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from vartab import operators as ops
+from vartab import sinks, sources
+
+TOOLS = ("vep", "nmd", "e2g", "absplice")
+
+
+@dataclass
+class E2GConfig:
+    predictions: str | None = None
+    enhancers: str | None = None
+    model: str = "ENCODE-rE2G"
+    score_threshold: float = 0.5
+    classes: list[str] | None = field(default_factory=lambda: ["genic", "intergenic"])
+    cell_types: list[str] | None = None
+    distance_to_tss: int | None = None
+    bin_size: int = 10_000
+
+
+@dataclass
+class AnnotationConfig:
+    input_vcf: str | None = None
+    gtf: str | None = None
+    output_dir: str | None = None
+    sv_vcf: str | None = None
+    distance: int = 5000
+    protein_coding_only: bool = False
+    canonical_only: bool = False
+    include_sv: bool = True
+    chromosomes: list[str] | None = None
+    variants_per_chunk: int = 500_000
+    vep_tab: str | list[str] | None = None
+    nmd_csv: str | list[str] | None = None
+    e2g: E2GConfig | None = None
+    absplice_result: str | None = None
+    input_partitions: int | None = None
+
+    def validate(self) -> None:
+        if self.distance < 0:
+            raise ValueError("distance must be >= 0")
+        if self.variants_per_chunk <= 0:
+            raise ValueError("variants_per_chunk must be > 0")
+
+
+@dataclass
+class Inputs:
+    """DataFrame inputs of one run; None = source not configured."""
+    small: DataFrame
+    gtf_transcripts: DataFrame
+    gtf_genes: DataFrame
+    sv: DataFrame | None = None
+    vep: DataFrame | None = None          # parsed VEP tab rows
+    nmd: DataFrame | None = None          # NMD CSV rows (text)
+    predictions: DataFrame | None = None
+    enhancers: DataFrame | None = None
+    splice_scores: DataFrame | None = None
+
+
+def funnel(base: DataFrame, small: DataFrame, cfg: AnnotationConfig) -> DataFrame:
+    """Small input variants that any tool should see (semi-join on the
+    analysis set), restricted to the configured chromosomes."""
+    ids = ops.analysis_set(base, cfg.distance, cfg.protein_coding_only, cfg.canonical_only)
+    return ops.chromosome_subset(ops.filter_variants(small, ids), cfg.chromosomes)
+
+
+def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig) -> dict[str, DataFrame]:
+    parts: dict[str, DataFrame] = {}
+    if inp.vep is not None:
+        parts["vep"] = ops.tidy_vep(inp.vep)
+    if inp.nmd is not None:
+        parts["nmd"] = ops.tidy_nmd(inp.nmd)
+    if cfg.e2g is not None and inp.predictions is not None and inp.enhancers is not None:
+        e = cfg.e2g
+        gmap = ops.gene_version_map(inp.gtf_genes, fan_out=False)
+        parts["e2g"] = ops.enhancer_links(
+            filtered, inp.predictions, inp.enhancers, gmap, model=e.model,
+            score_threshold=e.score_threshold, classes=e.classes, cell_types=e.cell_types,
+            distance_to_tss=e.distance_to_tss, bin_size=e.bin_size)
+    if inp.splice_scores is not None:
+        pairs = ops.gene_version_map(inp.gtf_genes, fan_out=True)
+        parts["absplice"] = ops.splice_lookup(filtered, inp.splice_scores, pairs)
+    return parts
+
+
+def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None = None
+                     ) -> DataFrame:
+    """The combined table as one lazy plan."""
+    cfg.validate()
+    if base is None:
+        meta = ops.transcript_metadata(inp.gtf_transcripts)
+        base = ops.base_table(inp.small, inp.sv if cfg.include_sv else None, meta)
+    filtered = funnel(base, inp.small, cfg)
+    parts = tool_parts(inp, filtered, cfg)
+    return ops.combine(base, parts.get("vep"), parts.get("nmd"), parts.get("e2g"),
+                       parts.get("absplice"), protein_coding_only=cfg.protein_coding_only,
+                       canonical_only=cfg.canonical_only)
+
+
+def read_inputs(spark: SparkSession, cfg: AnnotationConfig) -> Inputs:
+    n = cfg.input_partitions
+    e2g = cfg.e2g
+    return Inputs(
+        small=sources.read_vcf(spark, cfg.input_vcf, n),
+        sv=sources.read_vcf(spark, cfg.sv_vcf, n) if cfg.sv_vcf and cfg.include_sv else None,
+        gtf_transcripts=sources.read_gtf(spark, cfg.gtf, "transcript"),
+        gtf_genes=sources.read_gtf(spark, cfg.gtf, "gene"),
+        vep=sources.read_vep_tab(spark, cfg.vep_tab, n) if cfg.vep_tab else None,
+        nmd=(sources.read_csv_tables(spark, cfg.nmd_csv, keep=ops.nmd.NMD_COLUMNS,
+                                     required=ops.nmd.NMD_KEY_COLUMNS)
+             if cfg.nmd_csv else None),
+        predictions=sources.read_parquet(spark, e2g.predictions) if e2g else None,
+        enhancers=sources.read_parquet(spark, e2g.enhancers) if e2g else None,
+        splice_scores=(sources.read_score_files(spark, cfg.absplice_result)
+                       if cfg.absplice_result else None),
+    )
+
+
+def annotate(spark: SparkSession, cfg: AnnotationConfig) -> dict:
+    """A full run. Writes ``transcript_metadata``, ``parts/base`` and the
+    hive-partitioned ``annotations`` under ``output_dir``; returns metrics."""
+    cfg.validate()
+    out = cfg.output_dir.rstrip("/")
+    inp = read_inputs(spark, cfg)
+    meta_path, base_path = f"{out}/transcript_metadata.parquet", f"{out}/parts/base.parquet"
+    sinks.write_parquet(ops.transcript_metadata(inp.gtf_transcripts), meta_path)
+    meta = spark.read.parquet(meta_path)
+    sinks.write_parquet(ops.base_table(inp.small, inp.sv, meta), base_path)
+    base = spark.read.parquet(base_path)
+    metrics = sinks.write_annotations(annotation_table(inp, cfg, base=base),
+                                      f"{out}/annotations.parquet")
+    return metrics

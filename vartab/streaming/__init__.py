@@ -1,0 +1,7 @@
+"""Streaming.
+
+The annotation pipeline this package rebuilds is file-to-file batch work:
+it has no watermarks, windows over event time, state or late data. Its
+bounded-memory "sink" steps are ordinary ``DataFrame.write`` calls here
+(see ``vartab.sinks``). Nothing is implemented in this package on purpose.
+"""
