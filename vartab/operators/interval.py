@@ -32,19 +32,29 @@ def interval_bins(intervals: DataFrame, start: str = "start", end: str = "end",
 def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str = "chrom",
                   point_pos: str = "pos", interval_chrom: str = "chrom",
                   start: str = "start", end: str = "end",
-                  bin_size: int = DEFAULT_BIN, how: str = "inner") -> DataFrame:
+                  bin_size: int | None = DEFAULT_BIN, how: str = "inner") -> DataFrame:
     """All (point, interval) pairs with chrom equal and start <= pos < end.
 
     Column names of the two inputs must be distinct apart from
     ``point_chrom``/``interval_chrom`` (those may be equal; the point's copy
     is kept). ``how='left'`` keeps points that hit nothing.
+    ``bin_size=None`` plans the plain range join (hash on chrom only); it
+    exists to measure and test the binned form against.
     """
-    p = points.withColumn("_bin", bin_of(F.col(point_pos), bin_size))
     same = point_chrom == interval_chrom
     iv = intervals.withColumnRenamed(interval_chrom, "_ichrom") if same else intervals
     ichrom = "_ichrom" if same else interval_chrom
-    iv = interval_bins(iv, start, end, bin_size, "_ibin")
-    cond = ((p[point_chrom] == iv[ichrom]) & (p["_bin"] == iv["_ibin"])
-            & (p[point_pos] >= iv[start]) & (p[point_pos] < iv[end]))
-    out = p.join(iv, cond, how).drop("_bin", "_ibin")
+    if bin_size is None:
+        p = points
+        iv = iv.filter(F.col(end) > F.col(start))
+        cond = ((p[point_chrom] == iv[ichrom]) & (p[point_pos] >= iv[start])
+                & (p[point_pos] < iv[end]))
+    else:
+        p = points.withColumn("_bin", bin_of(F.col(point_pos), bin_size))
+        iv = interval_bins(iv, start, end, bin_size, "_ibin")
+        cond = ((p[point_chrom] == iv[ichrom]) & (p["_bin"] == iv["_ibin"])
+                & (p[point_pos] >= iv[start]) & (p[point_pos] < iv[end]))
+    out = p.join(iv, cond, how)
+    if bin_size is not None:
+        out = out.drop("_bin", "_ibin")
     return out.drop("_ichrom") if same else out

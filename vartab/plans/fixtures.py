@@ -5,8 +5,8 @@ with CSQ payload, GTF lines, VEP tab, NMD CSV, E2G star schema, splice
 scores) is derived deterministically from the driver's TPC-H-ish tables.
 
 Each view is ONE SQL template. ``{name}`` marks a table reference;
-``<END>``, ``<AGG>`` and ``<AGG_END>`` mark the two dialect differences
-between DuckDB and Spark. The same template therefore feeds
+``<...>`` markers stand for the few dialect differences between DuckDB
+and Spark. The same template therefore feeds
 
 * Spark: ``spark.sql(template, **dataframes)`` (no global temp views), and
 * the DuckDB oracle: a ``WITH`` prelude in front of each oracle query.
@@ -23,9 +23,15 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 
+# The two row-multiplying joins with a literal list become generators in
+# Spark (same rows, no nested-loop join); DuckDB keeps the literal join.
 _DIALECT = {
-    "duckdb": {"<END>": '"end"', "<AGG>": "string_agg(", "<AGG_END>": ", ',' order by t.k)"},
-    "spark": {"<END>": "`end`", "<AGG>": "listagg(", "<AGG_END>": ", ',') within group (order by t.k)"},
+    "duckdb": {"<END>": '"end"', "<AGG>": "string_agg(", "<AGG_END>": ", ',' order by t.k)",
+               "<K3>": "cross join (values (1), (2), (3)) k(k)",
+               "<I_UPTO_K>": "join (values (1), (2), (3)) i(i) on i.i <= t.k"},
+    "spark": {"<END>": "`end`", "<AGG>": "listagg(", "<AGG_END>": ", ',') within group (order by t.k)",
+              "<K3>": "lateral view explode(array(1, 2, 3)) k as k",
+              "<I_UPTO_K>": "lateral view explode(sequence(1, t.k)) i as i"},
 }
 
 # Templates in dependency order.
@@ -51,7 +57,7 @@ select g.gene_no, k.k, g.chrom, g.strand, g.gene_start + 50 * (k.k - 1) as tx_st
        || case when k.k = 1 then ' tag "basic";' else '' end
        || case when g.p_size % 3 = 0 and k.k < 3 then ' tag "appris_principal_' || cast(g.p_size % 2 + 1 as string) || '";' when g.p_size % 3 = 1 then ' tag "appris_alternative_1";' else '' end
        || case when g.p_size % 4 = 0 and k.k = 2 then ' tag "MANE_Select"; tag "CCDS";' else '' end as attr
-from {fx_gene} g cross join (values (1), (2), (3)) k(k)
+from {fx_gene} g <K3>
 """
 
 FIXTURE_SQL["fx_gene_line"] = """
@@ -134,7 +140,7 @@ from {fx_variant} v join {fx_transcript} t on t.gene_no = v.gene_no where v.ln %
 FIXTURE_SQL["fx_exon"] = """
 select t.transcript_id, t.chrom, i.i as exon_number, t.k as n_exons,
        t.tx_start + (i.i - 1) * 130 as exon_start, t.tx_start + (i.i - 1) * 130 + 100 as exon_end
-from {fx_transcript} t join (values (1), (2), (3)) i(i) on i.i <= t.k
+from {fx_transcript} t <I_UPTO_K>
 """
 
 # A second site-score source for the generic score lookup (RE-2): a
