@@ -8,18 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vartab.functions import strip_chr as _strip_chr
+from vartab.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 
 SITE_KEYS = ("chrom", "start", "ref", "alt")
 SPLICE_COLUMNS = ["variant_id", "gene", "AbSplice_DNA_max", "AbSplice2_max"]
 
 
 def splice_lookup(variants: DataFrame, scores: DataFrame, gene_pairs: DataFrame,
-                  strip_chr: bool = False) -> DataFrame:
+                  strip_chr: bool = False, broadcast_rows: int | None = BROADCAST_MAX_ROWS
+                  ) -> DataFrame:
     """Per-(variant, gene) splice scores: inner join on the site, then the
     unversioned gene id is versioned through ``gene_pairs`` (every pair, so
     an id shared by two versioned genes yields two rows), falling back to
     the unversioned id. Chromosome names are compared as given unless
-    ``strip_chr``."""
+    ``strip_chr``.
+
+    The site join shuffles both sides on the four keys (sites are unique,
+    so no key is hot); the gene-pair map is broadcast behind a size check
+    because one gene can own a large share of the score rows."""
     v = variants.select("variant_id", "chrom", "start", "ref", "alt")
     a = scores.select(F.col("chrom").cast("string").alias("chrom"),
                       F.col("start").cast("bigint").alias("start"),
@@ -31,8 +37,9 @@ def splice_lookup(variants: DataFrame, scores: DataFrame, gene_pairs: DataFrame,
         v = v.withColumn("chrom", _strip_chr("chrom"))
         a = a.withColumn("chrom", _strip_chr("chrom"))
     hits = v.join(a, list(SITE_KEYS))
-    g = gene_pairs.select(F.col("gene_id").alias("gene"),
-                          F.col("gene_id_unversioned").alias("gene_unversioned"))
+    g = broadcast_if_small(gene_pairs.select(F.col("gene_id").alias("gene"),
+                                             F.col("gene_id_unversioned").alias("gene_unversioned")),
+                           broadcast_rows)
     return (hits.join(g, "gene_unversioned", "left")
             .select("variant_id", F.coalesce("gene", "gene_unversioned").alias("gene"),
                     "AbSplice_DNA_max", "AbSplice2_max"))

@@ -164,20 +164,49 @@ def deps(template: str) -> list[str]:
     return list(dict.fromkeys(_REF.findall(template)))
 
 
+# Fixtures that assemble text payloads (string aggregation over joins) are
+# written once per session as Parquet in the shared checkpoint folder and
+# read back, like the input files of a real run; the others stay lazy.
+MATERIALIZED = ("fx_variant", "fx_csq", "fx_sv_csq", "fx_vep", "fx_nmd")
+_SHARED: dict[tuple[str, str], "Fixtures"] = {}
+
+
 class Fixtures:
     """Lazily built fixture DataFrames for one data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
+        self._folder: str | None = None
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
+        """One materializing instance per (application, data directory)."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in _SHARED:
+            _SHARED[key] = cls(spark, sf_dir, materialize=True)
+        return _SHARED[key]
+
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        from vartab.session import work_dir
+
+        if self._folder is None:
+            self._folder = work_dir(self.spark, "fixtures")
+        path = f"{self._folder}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in FIXTURE_SQL:
                 tmpl = FIXTURE_SQL[name]
                 kwargs = {d: self.table(d) for d in deps(tmpl)}
-                self._cache[name] = self.spark.sql(_render(tmpl, "spark"), **kwargs)
+                df = self.spark.sql(_render(tmpl, "spark"), **kwargs)
+                if self.materialize and name in MATERIALIZED:
+                    df = self._store(name, df)
+                self._cache[name] = df
             elif name in BASE_TABLES:
                 self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:

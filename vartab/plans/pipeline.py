@@ -96,13 +96,21 @@ def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig) -> dict[
     return parts
 
 
-def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None = None
-                     ) -> DataFrame:
-    """The combined table as one lazy plan."""
+def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None = None,
+                     checkpoint_base: bool = True) -> DataFrame:
+    """The combined table.
+
+    The base table feeds both the funnel and the combine. When it is not
+    given (already persisted), it is built and, with ``checkpoint_base``,
+    checkpointed once into the shared checkpoint directory (reliable
+    storage, lineage cut) so the CSQ parse and explode run once, not twice.
+    """
     cfg.validate()
     if base is None:
         meta = ops.transcript_metadata(inp.gtf_transcripts)
         base = ops.base_table(inp.small, inp.sv if cfg.include_sv else None, meta)
+        if checkpoint_base:
+            base = base.checkpoint(eager=True)
     filtered = funnel(base, inp.small, cfg)
     parts = tool_parts(inp, filtered, cfg)
     return ops.combine(base, parts.get("vep"), parts.get("nmd"), parts.get("e2g"),

@@ -46,7 +46,7 @@ def query(fn):
 
 
 def _fx(spark, sf_dir) -> Fixtures:
-    return Fixtures(spark, sf_dir)
+    return Fixtures.shared(spark, sf_dir)
 
 
 def _metadata(fx: Fixtures) -> DataFrame:

@@ -20,11 +20,19 @@ _SQL_DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "vartab") -> SparkSession:
-    """Return the active session, creating a local one when none exists."""
+                app_name: str = "vartab", driver_memory: str = "16g") -> SparkSession:
+    """Return the active session, creating a local one when none exists.
+
+    In local mode the driver JVM is also the only executor, so its heap is
+    the whole working memory; ``driver_memory`` is applied only there (and
+    only when the JVM is started here). On a cluster, executor sizing comes
+    from the cluster's own configuration.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local") and driver_memory:
+            builder = builder.config("spark.driver.memory", driver_memory)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
