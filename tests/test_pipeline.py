@@ -1,0 +1,43 @@
+"""Config mapping and the file-to-file run."""
+
+import pytest
+
+from conftest import SF_SMALL
+from vartab.plans import inputs as I
+from vartab.plans.config import from_mapping
+from vartab.plans.fixtures import Fixtures
+from vartab.plans.pipeline import E2GConfig, annotate
+from vartab import sources
+
+BASE = {"input_vcf": "in.vcf.gz", "gtf": "g.gtf.gz", "output_dir": "out"}
+
+
+def test_config_defaults_follow_the_code_not_the_template():
+    c = from_mapping({**BASE, "fastvep": {"distance": 5000}})
+    assert (c.protein_coding_only, c.canonical_only, c.include_sv) == (False, False, True)
+    assert c.vep_tab is None and c.e2g is None and c.absplice_result is None
+
+
+def test_config_tools_and_guard():
+    c = from_mapping({**BASE, "chromosomes": ["chr21"], "additional": {
+        "variants_per_chunk": 1000,
+        "vep": {"enabled": True, "output": ["v1.tsv.gz"]},
+        "e2g": {"enabled": True, "predictions": "/p", "enhancers": "/e.parquet",
+                "classes": ["genic"], "distance_to_tss": 1000},
+        "absplice": {"enabled": False, "result": "/a"}}})
+    assert c.vep_tab == ["v1.tsv.gz"] and c.e2g.predictions == "/p/*.parquet"
+    assert c.e2g.distance_to_tss == 1000 and c.absplice_result is None
+    assert c.chromosomes == ["chr21"] and c.variants_per_chunk == 1000
+    with pytest.raises(ValueError):
+        from_mapping({**BASE, "additional": {"e2g": {"include_sv": True}}})
+
+
+def test_annotate_from_files(spark, tmp_out):
+    fx = Fixtures(spark, SF_SMALL)
+    cfg = I.write_input_files(fx, tmp_out, distance=500, e2g=E2GConfig(classes=["genic"]))
+    metrics = annotate(spark, cfg)
+    back = sources.read_annotations(spark, f"{cfg.output_dir}/annotations.parquet")
+    n = back.count()
+    assert metrics["rows"] == n > 0
+    assert {"e2g_e2g_score", "AbSplice2_max", "nmd_escape", "sift_score"} <= set(back.columns)
+    assert back.filter("variant_type = 'SV'").count() > 0

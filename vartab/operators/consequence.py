@@ -38,7 +38,7 @@ def csq_entries(vcf: DataFrame) -> DataFrame:
     return (vcf.select(*keys, csq.alias("csq"))
             .filter(F.col("csq") != "")
             .select(*keys, F.explode(F.split(F.col("csq"), ",", -1)).alias("entry"))
-            .select(*keys, F.split(F.col("entry"), r"[|]", -1).alias("p"))
+            .select(*keys, F.split(F.col("entry"), r"\|", -1).alias("p"))
             .filter(field("p", CSQ_FIELDS["gene"]) != "-"))
 
 

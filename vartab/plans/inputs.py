@@ -66,3 +66,57 @@ def transcripts(fx: Fixtures) -> DataFrame:
 def exons(fx: Fixtures) -> DataFrame:
     return fx.fx_exon.select("transcript_id", "chrom", "exon_number", "n_exons", "exon_start",
                              "exon_end")
+
+
+def vep_tab_lines(fx: Fixtures) -> tuple[list[str], DataFrame]:
+    """fx_vep as VEP ``--tab`` output: '##' block, '#'-prefixed header,
+    '-' for missing values."""
+    t = fx.fx_vep
+    header = ["## ENSEMBL VARIANT EFFECT PREDICTOR", "## Output produced from fixtures",
+              "#Uploaded_variation\t" + "\t".join(t.columns[1:])]
+    lines = t.select(F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("-")) for c in t.columns])
+                     .alias("value"))
+    return header, lines
+
+
+def write_input_files(fx: Fixtures, root: str, **config):
+    """Write every fixture input the way the tools deliver it (gz VCF and
+    GTF text, chunked VEP tab and NMD CSV, a folder of per-chromosome
+    prediction files, nested score files with mixed key types) and return
+    the matching ``AnnotationConfig``."""
+    from vartab import sinks
+    from vartab.plans.pipeline import AnnotationConfig, E2GConfig
+
+    root = root.rstrip("/")
+    sinks.write_vcf(vcf_rows(fx), VCF_HEADER, f"{root}/variants.vcf")
+    sinks.write_vcf(vcf_rows(fx, "sv"), VCF_HEADER, f"{root}/sv_variants.vcf")
+    gtf = gtf_gene_rows(fx).unionByName(gtf_transcript_rows(fx))
+    sinks.write_text(gtf_lines(sinks.sort_by_position(gtf, "seqname", "start")), GTF_HEADER,
+                     f"{root}/annotation.gtf", compression="gzip")
+    header, lines = vep_tab_lines(fx)
+    chrom = F.split(F.col("value"), "_", 2).getItem(0)
+    vep = []
+    for i, cond in enumerate([chrom != "chr2", chrom == "chr2"]):
+        sinks.write_text(lines.filter(cond), header, f"{root}/vep/chunk_{i}.vep.tsv",
+                         compression="gzip")
+        vep.append(f"{root}/vep/chunk_{i}.vep.tsv")
+    nmd = fx.fx_nmd
+    nmd.filter(F.col("chromosome") != "chr2").write.option("header", "true") \
+        .csv(f"{root}/nmd/chunk_0.nmd.csv")
+    nmd.filter(F.col("chromosome") == "chr2").write.option("header", "true") \
+        .csv(f"{root}/nmd/chunk_1.nmd.csv")
+    pred = fx.fx_prediction
+    for c in ("1", "2", "3"):
+        pred.filter(F.col("chromosome") == c).write.parquet(f"{root}/predictions/{c}.parquet")
+    fx.fx_enhancer.write.parquet(f"{root}/enhancers.parquet")
+    s = fx.fx_splice
+    s.filter(F.col("chrom") != "chr2").write.parquet(f"{root}/absplice/a/max_preds.parquet")
+    (s.filter(F.col("chrom") == "chr2").withColumn("start", F.col("start").cast("string"))
+     .write.parquet(f"{root}/absplice/b/c/max_preds.parquet"))
+    e2g = config.pop("e2g", None) or E2GConfig()
+    e2g.predictions, e2g.enhancers = f"{root}/predictions/*.parquet", f"{root}/enhancers.parquet"
+    return AnnotationConfig(
+        input_vcf=f"{root}/variants.vcf", sv_vcf=f"{root}/sv_variants.vcf",
+        gtf=f"{root}/annotation.gtf", output_dir=f"{root}/out", vep_tab=vep,
+        nmd_csv=[f"{root}/nmd/chunk_0.nmd.csv", f"{root}/nmd/chunk_1.nmd.csv"],
+        e2g=e2g, absplice_result=f"{root}/absplice", **config)

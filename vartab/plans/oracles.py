@@ -350,6 +350,7 @@ left join fx_splice s on v.chrom = s.chrom and v.start = s.start and v.ref = s.r
     "combine_splice": combine_sql(("absplice",)),
     "combine_all": combine_sql(("vep", "nmd", "e2g", "absplice"), pc=True, canon=True),
     "read_annotations": combine_sql(("vep", "e2g")),
+    "annotate": combine_sql(("vep", "nmd", "e2g", "absplice"), pc=True, canon=True),
     "overwrite_drops_stale": """
 select variant_id, transcript, variant_type, gene_type, canonical from st_base where canonical""",
     "sorted_gtf": f"select {GTF_OUT} from st_gtf_gene union all select {GTF_OUT} from st_gtf_tx",

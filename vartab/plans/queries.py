@@ -23,7 +23,7 @@ from vartab.functions.consequences import onehot_columns
 from vartab.operators.vep import spliceai_delta
 from vartab.plans import inputs as I
 from vartab.plans.fixtures import Fixtures
-from vartab.plans.pipeline import AnnotationConfig, E2GConfig, Inputs, annotation_table
+from vartab.plans.pipeline import AnnotationConfig, E2GConfig, Inputs, annotate, annotation_table
 from vartab.session import work_dir
 
 # Parameters of the registered queries (chosen so every filter removes rows).
@@ -124,13 +124,8 @@ def q_scan_gtf_genes(spark, sf_dir):
 def q_scan_vep_tab(spark, sf_dir):
     """SRC-3, PRJ-9, PRJ-15: VEP tab text ('##' block, '#Uploaded_variation'
     header, '-' for missing) -> string columns with NULLs."""
-    fx = _fx(spark, sf_dir)
-    t = fx.fx_vep
+    header, lines = I.vep_tab_lines(_fx(spark, sf_dir))
     path = work_dir(spark, "vep")
-    header = ["## ENSEMBL VARIANT EFFECT PREDICTOR", "## Output produced from fixtures",
-              "#Uploaded_variation\t" + "\t".join(t.columns[1:])]
-    lines = t.select(F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("-")) for c in t.columns])
-                     .alias("value"))
     sinks.write_text(lines, header, path)
     return sources.read_vep_tab(spark, path)
 
@@ -537,3 +532,18 @@ def q_nmd_rules(spark, sf_dir):
     strands = fx.fx_transcript.select("transcript_id", "strand")
     return ops.nmd_rules(stops, I.exons(fx), strands, long_exon_nt=NMD_LONG_EXON_NT,
                          start_nt=NMD_START_NT)
+
+
+# --- the whole run from files ------------------------------------------------
+
+@query
+def q_annotate(spark, sf_dir):
+    """The full file-to-file run: every input written as the tools deliver
+    it (gz VCF/GTF text, chunked VEP tab and NMD CSV, prediction folder,
+    nested score files), ``annotate`` (base persisted once, funnel, all
+    parts, combine with both toggles, hive write), then the typed read-back."""
+    cfg = I.write_input_files(_fx(spark, sf_dir), work_dir(spark, "run"),
+                              distance=ANALYSIS_WINDOW, protein_coding_only=True,
+                              canonical_only=True, e2g=E2GConfig(classes=E2G_CLASSES))
+    annotate(spark, cfg)
+    return sources.read_annotations(spark, f"{cfg.output_dir}/annotations.parquet")

@@ -3,7 +3,6 @@ per-run work folder inside the cluster's shared checkpoint directory."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,9 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, label: str = "work") -> str:
-    """A new, unique folder under the shared checkpoint directory."""
+    """A new, unique (not yet existing) path under the shared checkpoint
+    directory; writers create it."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/vartab-{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    return path
+    return f"{base}/vartab-{label}-{uuid.uuid4().hex[:12]}"
