@@ -25,16 +25,34 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
+COPARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
 def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None = None,
             e2g: DataFrame | None = None, splice: DataFrame | None = None, *,
-            protein_coding_only: bool = False, canonical_only: bool = False) -> DataFrame:
+            protein_coding_only: bool = False, canonical_only: bool = False,
+            copartition: int | None = None) -> DataFrame:
     """Base rows (+ consequence one-hots, int, NULL -> 0), left-joined with
     any subset of the parts: VEP and NMD on (variant_id, transcript), E2G
-    and splice on (variant_id, gene). Transcript-keyed parts are joined
-    first so both share one shuffle of the base, then the gene-keyed ones.
-    Toggles filter base rows (Spark pushes them to the scan)."""
+    and splice on (variant_id, gene). Toggles filter base rows (Spark
+    pushes them to the scan).
+
+    Default layout: transcript-keyed parts are joined first so both share
+    one shuffle of the base, then the gene-keyed ones (two base shuffles);
+    adaptive execution can split a skewed base partition in every join.
+    ``copartition=n``: every side is hash-partitioned by ``variant_id``
+    alone into n partitions, so the wide base is shuffled once for all four
+    joins. It needs ``spark.sql.requireAllClusterKeysForCoPartition=false``
+    (checked) and gives up adaptive skew splitting, which does not apply to
+    explicit repartitions; use it when variant ids are not skewed.
+    """
+    spark = base.sparkSession
+    if copartition and spark.conf.get(COPARTITION_CONF, "true").lower() != "false":
+        raise ValueError(f"copartition needs {COPARTITION_CONF}=false")
     out = toggle_filter(base, protein_coding_only, canonical_only)
     out = out.select("*", *onehot_columns("consequence", null_as_zero=True))
+    if copartition:
+        out = out.repartition(copartition, "variant_id")
     order = list(out.columns)
 
     def attach(out, part, drop, keys, rename, prefix=""):
@@ -43,6 +61,8 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
             extra = [c for c in extra if not c.startswith("Consequence")]
         right = part.select(*[F.col(src).alias(dst) for src, dst in rename.items()],
                             *[F.col(c).alias(prefix + c) for c in extra])
+        if copartition:
+            right = right.repartition(copartition, "variant_id")
         order.extend(prefix + c for c in extra)
         return out.join(right, keys, "left")
 
