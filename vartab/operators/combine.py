@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vartab.functions import onehot_columns
+from vartab.functions import CONSEQUENCE_TERMS, onehot_columns
 from vartab.operators.funnel import toggle_filter
 
 # Tool columns not carried into the combined table (join
@@ -50,10 +50,12 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
     if copartition and spark.conf.get(COPARTITION_CONF, "true").lower() != "false":
         raise ValueError(f"copartition needs {COPARTITION_CONF}=false")
     out = toggle_filter(base, protein_coding_only, canonical_only)
-    out = out.select("*", *onehot_columns("consequence", null_as_zero=True))
     if copartition:
         out = out.repartition(copartition, "variant_id")
-    order = list(out.columns)
+    # One-hots are derived from ``consequence`` after the joins, so the
+    # shuffles carry one text column instead of 17 extra ones.
+    onehots = onehot_columns("consequence", null_as_zero=True)
+    order = list(out.columns) + [f"Consequence_{t}" for t in CONSEQUENCE_TERMS]
 
     def attach(out, part, drop, keys, rename, prefix=""):
         extra = [c for c in part.columns if c not in drop]
@@ -78,4 +80,5 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
     if splice is not None:
         out = attach(out, splice, SPLICE_DROP, ["variant_id", "gene"],
                      {"variant_id": "variant_id", "gene": "gene"})
-    return out.select(*order)
+    named = {f"Consequence_{t}": c for t, c in zip(CONSEQUENCE_TERMS, onehots)}
+    return out.select(*[named.get(c, F.col(c)) for c in order])
