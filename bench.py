@@ -91,7 +91,7 @@ def comparisons(spark, sf_dir) -> dict:
     cfg = AnnotationConfig(distance=500, e2g=E2GConfig())
     inp = _inputs(fx)
     b = base.checkpoint()
-    parts = {k: v.checkpoint() for k, v in tool_parts(inp, funnel(b, inp.small, cfg), cfg).items()}
+    parts = {k: v.checkpoint() for k, v in tool_parts(inp, funnel(b, cfg), cfg).items()}
     args = (b, parts["vep"], parts["nmd"], parts["e2g"], parts["absplice"])
     old = {k: spark.conf.get(k) for k in (BCAST, COPART)}
     spark.conf.set(BCAST, "-1")

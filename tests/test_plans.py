@@ -108,3 +108,16 @@ def test_interval_join_is_equi_join_on_bin(spark, fx):
     plan = _plan(Q.q_interval_overlap(spark, SF_SMALL))
     assert ("SortMergeJoin" in plan or "BroadcastHashJoin" in plan)
     assert "_bin" in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_compact_scores_round_trip(spark, fx, tmp_out):
+    from vartab import sources
+
+    src = tmp_out + "/src"
+    fx.fx_splice.repartition(7).write.parquet(src + "/x")
+    out = tmp_out + "/compact"
+    sinks.compact_scores(sources.read_score_files(spark, src), out)
+    back = spark.read.parquet(out)
+    assert back.count() == fx.fx_splice.count()
+    plan = _plan(back.filter(F.col("chrom") == "chr2").select("start"))
+    assert "PartitionFilters: [isnotnull(chrom" in plan

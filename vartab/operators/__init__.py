@@ -9,7 +9,7 @@ from vartab.operators.enhancers import (  # noqa: F401
     collapse_pairs, enhancer_hits, enhancer_links, pair_intervals, variant_gene_links,
 )
 from vartab.operators.funnel import (  # noqa: F401
-    analysis_set, chromosome_subset, filter_variants, toggle_filter,
+    analysis_set, analysis_variants, chromosome_subset, filter_variants, toggle_filter,
 )
 from vartab.operators.genes import gene_ids, gene_version_map, map_gene_versions  # noqa: F401
 from vartab.operators.interval import interval_bins, interval_join  # noqa: F401

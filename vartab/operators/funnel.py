@@ -18,19 +18,37 @@ def toggle_filter(base: DataFrame, protein_coding_only: bool = False,
     return base
 
 
+def _near_rows(base: DataFrame, window: int, protein_coding_only: bool,
+               canonical_only: bool) -> DataFrame:
+    rows = (base.filter(F.col("variant_type").isin("SNV", "indel"))
+            .filter(F.col("distance").isNull() | (F.col("distance") <= window)))
+    return toggle_filter(rows, protein_coding_only, canonical_only)
+
+
 def analysis_set(base: DataFrame, window: int = 5000, protein_coding_only: bool = False,
                  canonical_only: bool = False) -> DataFrame:
     """Distinct small-variant ids with at least one transcript row inside the
     cis window (distance NULL = overlapping, or distance <= window)."""
-    rows = (base.filter(F.col("variant_type").isin("SNV", "indel"))
-            .filter(F.col("distance").isNull() | (F.col("distance") <= window)))
-    return toggle_filter(rows, protein_coding_only, canonical_only).select("variant_id").distinct()
+    return _near_rows(base, window, protein_coding_only, canonical_only) \
+        .select("variant_id").distinct()
+
+
+VARIANT_KEYS = ["variant_id", "chrom", "start", "ref", "alt"]
+
+
+def analysis_variants(base: DataFrame, window: int = 5000, protein_coding_only: bool = False,
+                      canonical_only: bool = False) -> DataFrame:
+    """The analysis set with its site columns, taken from the base table
+    itself (it carries them), so the annotators need no second scan of the
+    input VCF. Same variants as ``filter_variants(vcf, analysis_set(...))``."""
+    return _near_rows(base, window, protein_coding_only, canonical_only) \
+        .select(*VARIANT_KEYS).distinct()
 
 
 def filter_variants(vcf: DataFrame, ids: DataFrame, key: str = "variant_id") -> DataFrame:
     """Input rows whose id is in ``ids`` (LEFT SEMI: no duplication, no
-    columns from ``ids``)."""
-    return vcf.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), key, "left_semi")
+    columns from ``ids``); used to export the input lines themselves."""
+    return vcf.join(ids.select(F.col(ids.columns[0]).alias(key)), key, "left_semi")
 
 
 def chromosome_subset(df: DataFrame, chromosomes=None, col: str = "chrom") -> DataFrame:

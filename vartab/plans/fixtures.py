@@ -15,6 +15,7 @@ and Spark. The same template therefore feeds
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,6 +170,7 @@ def deps(template: str) -> list[str]:
 # read back, like the input files of a real run; the others stay lazy.
 MATERIALIZED = ("fx_variant", "fx_csq", "fx_sv_csq", "fx_vep", "fx_nmd")
 _SHARED: dict[tuple[str, str], "Fixtures"] = {}
+_LOCK = threading.RLock()
 
 
 class Fixtures:
@@ -185,9 +187,10 @@ class Fixtures:
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
         """One materializing instance per (application, data directory)."""
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-        if key not in _SHARED:
-            _SHARED[key] = cls(spark, sf_dir, materialize=True)
-        return _SHARED[key]
+        with _LOCK:
+            if key not in _SHARED:
+                _SHARED[key] = cls(spark, sf_dir, materialize=True)
+            return _SHARED[key]
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         from vartab.session import work_dir
@@ -199,6 +202,10 @@ class Fixtures:
         return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
+        with _LOCK:
+            return self._table(name)
+
+    def _table(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in FIXTURE_SQL:
                 tmpl = FIXTURE_SQL[name]

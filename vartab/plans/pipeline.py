@@ -70,11 +70,12 @@ class Inputs:
     splice_scores: DataFrame | None = None
 
 
-def funnel(base: DataFrame, small: DataFrame, cfg: AnnotationConfig) -> DataFrame:
-    """Small input variants that any tool should see (semi-join on the
-    analysis set), restricted to the configured chromosomes."""
-    ids = ops.analysis_set(base, cfg.distance, cfg.protein_coding_only, cfg.canonical_only)
-    return ops.chromosome_subset(ops.filter_variants(small, ids), cfg.chromosomes)
+def funnel(base: DataFrame, cfg: AnnotationConfig) -> DataFrame:
+    """Small variants that the annotators should see: the analysis set with
+    its site columns, restricted to the configured chromosomes."""
+    near = ops.analysis_variants(base, cfg.distance, cfg.protein_coding_only,
+                                 cfg.canonical_only)
+    return ops.chromosome_subset(near, cfg.chromosomes)
 
 
 def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig) -> dict[str, DataFrame]:
@@ -111,7 +112,7 @@ def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None
         base = ops.base_table(inp.small, inp.sv if cfg.include_sv else None, meta)
         if checkpoint_base:
             base = base.checkpoint(eager=True)
-    filtered = funnel(base, inp.small, cfg)
+    filtered = funnel(base, cfg)
     parts = tool_parts(inp, filtered, cfg)
     return ops.combine(base, parts.get("vep"), parts.get("nmd"), parts.get("e2g"),
                        parts.get("absplice"), protein_coding_only=cfg.protein_coding_only,

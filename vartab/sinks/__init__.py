@@ -1,6 +1,7 @@
 """Writers. These are the only functions in the package that run jobs."""
 
 from vartab.sinks.writers import (  # noqa: F401
-    run_metrics, sort_by_position, vcf_lines, write_annotations, write_chunks, write_ids,
+    compact_scores, run_metrics, sort_by_position, vcf_lines, write_annotations, write_chunks,
+    write_ids,
     write_parquet, write_text, write_vcf,
 )

@@ -85,3 +85,14 @@ def run_metrics(df: DataFrame, distinct: Sequence[str] = (),
     aggs += [F.count_distinct(c).alias(f"distinct_{c}") for c in distinct]
     aggs += [F.count_if(F.col(c)).alias(f"n_{c}") for c in flags]
     return df.agg(*aggs)
+
+
+def compact_scores(scores: DataFrame, path: str, chrom: str = "chrom", start: str = "start",
+                   max_records_per_file: int = 20_000_000) -> None:
+    """Rewrite a score source spread over many small files (one per gene) once
+    as a table partitioned by chromosome and sorted by position: a range
+    partitioning (sampled) makes each task own a contiguous stretch, so it
+    writes few large files, and Parquet min/max statistics on ``start``
+    let later lookups skip row groups."""
+    (sort_by_position(scores, chrom, start).write.mode("overwrite")
+     .option("maxRecordsPerFile", max_records_per_file).partitionBy(chrom).parquet(path))
