@@ -121,3 +121,18 @@ def test_compact_scores_round_trip(spark, fx, tmp_out):
     assert back.count() == fx.fx_splice.count()
     plan = _plan(back.filter(F.col("chrom") == "chr2").select("start"))
     assert "PartitionFilters: [isnotnull(chrom" in plan
+
+
+def test_score_files_mixed_types_nested(spark, fx, tmp_out):
+    from vartab import sources
+
+    s = fx.fx_splice
+    s.filter("chrom = 'chr1'").write.parquet(tmp_out + "/g1/a.parquet")
+    s.filter("chrom = 'chr2'").withColumn("start", F.col("start").cast("string")) \
+        .write.parquet(tmp_out + "/g2/deep/b.parquet")
+    s.filter("chrom = 'chr3'").withColumn("start", F.col("start").cast("int")) \
+        .write.parquet(tmp_out + "/g3.parquet")
+    back = sources.read_score_files(spark, tmp_out)
+    assert dict(back.dtypes)["start"] == "bigint"
+    assert back.exceptAll(s.select(*back.columns)).count() == 0
+    assert back.count() == s.count()
