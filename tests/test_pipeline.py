@@ -34,8 +34,21 @@ def test_config_tools_and_guard():
 
 def test_annotate_from_files(spark, tmp_out):
     fx = Fixtures(spark, SF_SMALL)
-    cfg = I.write_input_files(fx, tmp_out, distance=500, e2g=E2GConfig(classes=["genic"]))
+    cfg = I.write_input_files(fx, tmp_out, distance=500, e2g=E2GConfig(classes=["genic"]),
+                              chromosomes=["chr1"], export_funnel=True, variants_per_chunk=300)
     metrics = annotate(spark, cfg)
+    chunks = spark.read.parquet(f"{cfg.output_dir}/funnel/chunks")
+    assert {r[0] for r in chunks.select("chrom").distinct().collect()} == {"chr1"}
+    ids = spark.read.text(f"{cfg.output_dir}/funnel/small.ids")
+    assert sources.read_vcf(spark, f"{cfg.output_dir}/funnel/small.vcf").count() == ids.count()
+    # the chromosome subset restricts the exported chunks, not the annotators:
+    # the table equals the lazy pipeline run without any subset
+    from vartab.plans.pipeline import AnnotationConfig, annotation_table
+    from vartab.plans.queries import _inputs
+    lazy = annotation_table(_inputs(fx), AnnotationConfig(
+        distance=500, e2g=E2GConfig(classes=["genic"])))
+    back_all = sources.read_annotations(spark, f"{cfg.output_dir}/annotations.parquet")
+    assert back_all.select(*lazy.columns).exceptAll(lazy).count() == 0
     back = sources.read_annotations(spark, f"{cfg.output_dir}/annotations.parquet")
     n = back.count()
     assert metrics["rows"] == n > 0

@@ -55,6 +55,7 @@ def from_mapping(cfg: Mapping) -> AnnotationConfig:
         e2g=e2g,
         absplice_result=add["absplice"]["result"] if enabled("absplice") else None,
         input_partitions=cfg.get("input_partitions"),
+        export_funnel=bool(cfg.get("export_funnel", False)),
     )
     out.validate()
     return out

@@ -48,6 +48,7 @@ class AnnotationConfig:
     e2g: E2GConfig | None = None
     absplice_result: str | None = None
     input_partitions: int | None = None
+    export_funnel: bool = False
 
     def validate(self) -> None:
         if self.distance < 0:
@@ -72,10 +73,28 @@ class Inputs:
 
 def funnel(base: DataFrame, cfg: AnnotationConfig) -> DataFrame:
     """Small variants that the annotators should see: the analysis set with
-    its site columns, restricted to the configured chromosomes."""
-    near = ops.analysis_variants(base, cfg.distance, cfg.protein_coding_only,
+    its site columns. (The chromosome subset only restricts the chunks
+    exported for external tools, see ``export_funnel``.)"""
+    return ops.analysis_variants(base, cfg.distance, cfg.protein_coding_only,
                                  cfg.canonical_only)
-    return ops.chromosome_subset(near, cfg.chromosomes)
+
+
+def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame,
+                  cfg: AnnotationConfig, header: list[str]) -> dict[str, str]:
+    """The funnel's file outputs for external annotators: the id list, the
+    filtered input VCF (the input lines of the analysis set, LEFT SEMI),
+    and that VCF restricted to ``chromosomes`` in chunks of at most
+    ``variants_per_chunk`` rows."""
+    out = cfg.output_dir.rstrip("/")
+    paths = {"ids": f"{out}/funnel/small.ids", "vcf": f"{out}/funnel/small.vcf",
+             "chunks": f"{out}/funnel/chunks"}
+    ids = ops.analysis_set(base, cfg.distance, cfg.protein_coding_only, cfg.canonical_only)
+    sinks.write_ids(ids, paths["ids"])
+    filtered = ops.filter_variants(small, spark.read.text(paths["ids"]))
+    sinks.write_vcf(filtered, header, paths["vcf"])
+    chunked = ops.chromosome_subset(sources.read_vcf(spark, paths["vcf"]), cfg.chromosomes)
+    sinks.write_chunks(chunked, paths["chunks"], cfg.variants_per_chunk)
+    return paths
 
 
 def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig) -> dict[str, DataFrame]:
@@ -149,6 +168,11 @@ def annotate(spark: SparkSession, cfg: AnnotationConfig) -> dict:
     meta = spark.read.parquet(meta_path)
     sinks.write_parquet(ops.base_table(inp.small, inp.sv, meta), base_path)
     base = spark.read.parquet(base_path)
+    if cfg.export_funnel:
+        export_funnel(spark, inp.small, base, cfg, VCF_HEADER)
     metrics = sinks.write_annotations(annotation_table(inp, cfg, base=base),
                                       f"{out}/annotations.parquet")
     return metrics
+
+
+VCF_HEADER = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]

@@ -75,8 +75,8 @@ def _inputs(fx: Fixtures, tools=("vep", "nmd", "e2g", "absplice")) -> Inputs:
 
 
 def _filtered(fx: Fixtures) -> DataFrame:
-    ids = ops.analysis_set(_base(fx), ANALYSIS_WINDOW)
-    return ops.filter_variants(I.vcf_rows(fx, "small"), ids)
+    """The funnel's variants with their site columns (from the base table)."""
+    return ops.analysis_variants(_base(fx), ANALYSIS_WINDOW)
 
 
 def _e2g(fx: Fixtures, variants: DataFrame, **kw) -> DataFrame:
