@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vartab.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from vartab.operators.joins import broadcast_if_small
 
 DEFAULT_BIN = 10_000
 
@@ -35,7 +35,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
                   point_pos: str = "pos", interval_chrom: str = "chrom",
                   start: str = "start", end: str = "end",
                   bin_size: int | None = DEFAULT_BIN, how: str = "inner",
-                  broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                  broadcast_rows: int | None = None) -> DataFrame:
     """All (point, interval) pairs with chrom equal and start <= pos < end.
 
     Column names of the two inputs must be distinct apart from
@@ -45,11 +45,14 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
     exists to measure and test the binned form against.
 
     Side choice: the points (variants) are the big, growing side and are
-    never broadcast, since a broadcast build side leaves the output to the
-    tasks of the other side. The binned intervals are broadcast when a
-    bounded count proves them small (``broadcast_rows``); otherwise both
-    sides are shuffled on (chrom, bin) with a sort-merge join, whose skewed
-    partitions (a dense bin) adaptive execution splits.
+    never broadcast, since a broadcast build side leaves all output to the
+    tasks of the other side. By default both sides are shuffled on
+    (chrom, bin) with a sort-merge join (pinned by a hint, so adaptive
+    execution cannot broadcast the points), and a skewed partition (a
+    dense bin) is split by adaptive skew handling. With ``broadcast_rows``
+    the binned intervals are broadcast when a bounded count proves them
+    small; the count runs the interval side's plan once more, so pass it
+    only when that side is a cheap scan (e.g. transcripts of a GTF).
     """
     same = point_chrom == interval_chrom
     iv = intervals.withColumnRenamed(interval_chrom, "_ichrom") if same else intervals

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vartab.operators.interval import DEFAULT_BIN, interval_join
+from vartab.operators.joins import BROADCAST_MAX_ROWS
 
 NEAR_GENE_COLUMNS = ["variant_id", "transcript_id", "distance", "side", "overlap"]
 
 
 def near_gene(variants: DataFrame, transcripts: DataFrame, exons: DataFrame,
-              distance: int = 5000, bin_size: int = DEFAULT_BIN) -> DataFrame:
+              distance: int = 5000, bin_size: int = DEFAULT_BIN,
+              broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """``variants``: (variant_id, chrom, start) 0-based positions;
     ``transcripts``: (transcript_id, chrom, tx_start, tx_end, strand) and
     ``exons``: (transcript_id, chrom, exon_start, exon_end), half-open.
@@ -23,7 +25,9 @@ def near_gene(variants: DataFrame, transcripts: DataFrame, exons: DataFrame,
     plus-strand or after a minus-strand transcript, else downstream; NULL
     inside. overlap = exon / intron inside, NULL outside. Padding each
     transcript by ``distance`` and using the binned interval join makes the
-    window test exact with no pairwise comparison beyond a bin.
+    window test exact with no pairwise comparison beyond a bin. Transcripts
+    and exons come from a gene model (~250k / ~1.5M rows), cheap to count,
+    so their binned copies are broadcast when under ``broadcast_rows``.
     """
     pts = variants.select("variant_id", F.col("chrom"), F.col("start").alias("pos"))
     tx = transcripts.select("transcript_id", F.col("chrom").alias("tx_chrom"), "tx_start",
@@ -31,7 +35,8 @@ def near_gene(variants: DataFrame, transcripts: DataFrame, exons: DataFrame,
                             F.greatest(F.col("tx_start") - distance, F.lit(0)).alias("pad_start"),
                             (F.col("tx_end") + distance).alias("pad_end"))
     pairs = interval_join(pts, tx, point_chrom="chrom", point_pos="pos", interval_chrom="tx_chrom",
-                          start="pad_start", end="pad_end", bin_size=bin_size)
+                          start="pad_start", end="pad_end", bin_size=bin_size,
+                          broadcast_rows=broadcast_rows)
     before = F.col("pos") < F.col("tx_start")
     after = F.col("pos") >= F.col("tx_end")
     dist = (F.when(before, F.col("tx_start") - F.col("pos"))
@@ -46,7 +51,7 @@ def near_gene(variants: DataFrame, transcripts: DataFrame, exons: DataFrame,
                       "exon_start", "exon_end")
     in_exon = (interval_join(pts, ex, point_chrom="chrom", point_pos="pos",
                              interval_chrom="ex_chrom", start="exon_start", end="exon_end",
-                             bin_size=bin_size)
+                             bin_size=bin_size, broadcast_rows=broadcast_rows)
                .select("variant_id", F.col("ex_tx").alias("transcript_id"))
                .dropDuplicates()
                .withColumn("_in_exon", F.lit(True)))
