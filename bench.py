@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from vartab import operators as ops  # noqa: E402
 from vartab.plans import inputs as I  # noqa: E402
 from vartab.plans.fixtures import MATERIALIZED, Fixtures  # noqa: E402
-from vartab.plans.pipeline import AnnotationConfig, E2GConfig, funnel, tool_parts  # noqa: E402
+from vartab.plans.annotation import AnnotationConfig, E2GConfig, funnel, tool_parts  # noqa: E402
 from vartab.plans.queries import _inputs  # noqa: E402
 
 BCAST = "spark.sql.autoBroadcastJoinThreshold"

@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 from vartab.plans import inputs as I
 from vartab.plans.config import from_mapping
 from vartab.plans.fixtures import Fixtures
-from vartab.plans.pipeline import E2GConfig, annotate
+from vartab.plans.annotation import E2GConfig, annotate
 from vartab import sources
 
 BASE = {"input_vcf": "in.vcf.gz", "gtf": "g.gtf.gz", "output_dir": "out"}
@@ -42,8 +42,8 @@ def test_annotate_from_files(spark, tmp_out):
     ids = spark.read.text(f"{cfg.output_dir}/funnel/small.ids")
     assert sources.read_vcf(spark, f"{cfg.output_dir}/funnel/small.vcf").count() == ids.count()
     # the chromosome subset restricts the exported chunks, not the annotators:
-    # the table equals the lazy pipeline run without any subset
-    from vartab.plans.pipeline import AnnotationConfig, annotation_table
+    # the table equals the lazy run without any subset
+    from vartab.plans.annotation import AnnotationConfig, annotation_table
     from vartab.plans.queries import _inputs
     lazy = annotation_table(_inputs(fx), AnnotationConfig(
         distance=500, e2g=E2GConfig(classes=["genic"])))

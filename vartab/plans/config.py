@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from vartab.plans.pipeline import TOOLS, AnnotationConfig, E2GConfig
+from vartab.plans.annotation import TOOLS, AnnotationConfig, E2GConfig
 
 
 def _glob_dir(path: str) -> str:

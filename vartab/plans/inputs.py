@@ -85,7 +85,7 @@ def write_input_files(fx: Fixtures, root: str, **config):
     prediction files, nested score files with mixed key types) and return
     the matching ``AnnotationConfig``."""
     from vartab import sinks
-    from vartab.plans.pipeline import AnnotationConfig, E2GConfig
+    from vartab.plans.annotation import AnnotationConfig, E2GConfig
 
     root = root.rstrip("/")
     sinks.write_vcf(vcf_rows(fx), VCF_HEADER, f"{root}/variants.vcf")

@@ -23,7 +23,7 @@ from vartab.functions.consequences import onehot_columns
 from vartab.operators.vep import spliceai_delta
 from vartab.plans import inputs as I
 from vartab.plans.fixtures import Fixtures
-from vartab.plans.pipeline import AnnotationConfig, E2GConfig, Inputs, annotate, annotation_table
+from vartab.plans.annotation import AnnotationConfig, E2GConfig, Inputs, annotate, annotation_table
 from vartab.session import work_dir
 
 # Parameters of the registered queries (chosen so every filter removes rows).
