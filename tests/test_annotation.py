@@ -52,5 +52,8 @@ def test_annotate_from_files(spark, tmp_out):
     back = sources.read_annotations(spark, f"{cfg.output_dir}/annotations.parquet")
     n = back.count()
     assert metrics["rows"] == n > 0
+    assert metrics["base_rows"] >= metrics["base_variants"] > 0
+    assert metrics["funnel"]["rows"]["ids"] == metrics["funnel"]["rows"]["vcf"] == ids.count()
+    assert 0 < metrics["funnel"]["rows"]["chunks"] < metrics["funnel"]["rows"]["vcf"]
     assert {"e2g_e2g_score", "AbSplice2_max", "nmd_escape", "sift_score"} <= set(back.columns)
     assert back.filter("variant_type = 'SV'").count() > 0

@@ -80,7 +80,7 @@ def funnel(base: DataFrame, cfg: AnnotationConfig) -> DataFrame:
 
 
 def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame,
-                  cfg: AnnotationConfig, header: list[str]) -> dict[str, str]:
+                  cfg: AnnotationConfig, header: list[str]) -> dict:
     """The funnel's file outputs for external annotators: the id list, the
     filtered input VCF (the input lines of the analysis set, LEFT SEMI),
     and that VCF restricted to ``chromosomes`` in chunks of at most
@@ -89,12 +89,12 @@ def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame,
     paths = {"ids": f"{out}/funnel/small.ids", "vcf": f"{out}/funnel/small.vcf",
              "chunks": f"{out}/funnel/chunks"}
     ids = ops.analysis_set(base, cfg.distance, cfg.protein_coding_only, cfg.canonical_only)
-    sinks.write_ids(ids, paths["ids"])
+    counts = {"ids": sinks.write_ids(ids, paths["ids"])["rows"]}
     filtered = ops.filter_variants(small, spark.read.text(paths["ids"]))
-    sinks.write_vcf(filtered, header, paths["vcf"])
+    counts["vcf"] = sinks.write_vcf(filtered, header, paths["vcf"])["rows"]
     chunked = ops.chromosome_subset(sources.read_vcf(spark, paths["vcf"]), cfg.chromosomes)
-    sinks.write_chunks(chunked, paths["chunks"], cfg.variants_per_chunk)
-    return paths
+    counts["chunks"] = sinks.write_chunks(chunked, paths["chunks"], cfg.variants_per_chunk)["rows"]
+    return {"paths": paths, "rows": counts}
 
 
 def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig) -> dict[str, DataFrame]:
@@ -147,9 +147,7 @@ def read_inputs(spark: SparkSession, cfg: AnnotationConfig) -> Inputs:
         gtf_transcripts=sources.read_gtf(spark, cfg.gtf, "transcript"),
         gtf_genes=sources.read_gtf(spark, cfg.gtf, "gene"),
         vep=sources.read_vep_tab(spark, cfg.vep_tab, n) if cfg.vep_tab else None,
-        nmd=(sources.read_csv_tables(spark, cfg.nmd_csv, keep=ops.nmd.NMD_COLUMNS,
-                                     required=ops.nmd.NMD_KEY_COLUMNS)
-             if cfg.nmd_csv else None),
+        nmd=sources.read_nmd_csv(spark, cfg.nmd_csv) if cfg.nmd_csv else None,
         predictions=sources.read_parquet(spark, e2g.predictions) if e2g else None,
         enhancers=sources.read_parquet(spark, e2g.enhancers) if e2g else None,
         splice_scores=(sources.read_score_files(spark, cfg.absplice_result)
@@ -159,19 +157,27 @@ def read_inputs(spark: SparkSession, cfg: AnnotationConfig) -> Inputs:
 
 def annotate(spark: SparkSession, cfg: AnnotationConfig) -> dict:
     """A full run. Writes ``transcript_metadata``, ``parts/base`` and the
-    hive-partitioned ``annotations`` under ``output_dir``; returns metrics."""
+    hive-partitioned ``annotations`` under ``output_dir`` (plus the funnel
+    exports when ``export_funnel``); returns run metrics: row counts
+    observed during each write, and distinct variants / canonical rows of
+    the base (one scan of two columns of the written table)."""
     cfg.validate()
     out = cfg.output_dir.rstrip("/")
     inp = read_inputs(spark, cfg)
     meta_path, base_path = f"{out}/transcript_metadata.parquet", f"{out}/parts/base.parquet"
-    sinks.write_parquet(ops.transcript_metadata(inp.gtf_transcripts), meta_path)
+    metrics = {"transcripts": sinks.write_parquet(ops.transcript_metadata(inp.gtf_transcripts),
+                                                  meta_path)["rows"]}
     meta = spark.read.parquet(meta_path)
-    sinks.write_parquet(ops.base_table(inp.small, inp.sv, meta), base_path)
+    metrics["base_rows"] = sinks.write_parquet(ops.base_table(inp.small, inp.sv, meta),
+                                               base_path)["rows"]
     base = spark.read.parquet(base_path)
+    summary = sinks.run_metrics(base, distinct=["variant_id"], flags=["canonical"]).first()
+    metrics["base_variants"] = summary["distinct_variant_id"]
+    metrics["base_canonical_rows"] = summary["n_canonical"]
     if cfg.export_funnel:
-        export_funnel(spark, inp.small, base, cfg, VCF_HEADER)
-    metrics = sinks.write_annotations(annotation_table(inp, cfg, base=base),
-                                      f"{out}/annotations.parquet")
+        metrics["funnel"] = export_funnel(spark, inp.small, base, cfg, VCF_HEADER)
+    metrics["rows"] = sinks.write_annotations(annotation_table(inp, cfg, base=base),
+                                              f"{out}/annotations.parquet")["rows"]
     return metrics
 
 

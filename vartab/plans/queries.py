@@ -164,9 +164,8 @@ def q_scan_nmd_csv(spark, sf_dir):
      .write.option("header", "true").csv(f"{path}/chunk_00000.nmd.csv"))
     (t.filter(F.col("chromosome") == "chr2").drop("nmd_last_exon_rule")
      .write.option("header", "true").csv(f"{path}/chunk_00001.nmd.csv"))
-    csv = sources.read_csv_tables(spark, [f"{path}/chunk_00000.nmd.csv",
-                                          f"{path}/chunk_00001.nmd.csv"],
-                                  keep=ops.nmd.NMD_COLUMNS, required=ops.nmd.NMD_KEY_COLUMNS)
+    csv = sources.read_nmd_csv(spark, [f"{path}/chunk_00000.nmd.csv",
+                                       f"{path}/chunk_00001.nmd.csv"])
     return ops.tidy_nmd(csv)
 
 
@@ -499,8 +498,7 @@ def q_sorted_gtf(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     path = work_dir(spark, "sgtf")
     gtf = I.gtf_gene_rows(fx).unionByName(I.gtf_transcript_rows(fx))
-    sinks.write_text(I.gtf_lines(sinks.sort_by_position(gtf, "seqname", "start")),
-                     I.GTF_HEADER, path, compression="gzip")
+    sinks.sort_annotation(gtf, I.GTF_HEADER, path)
     return sources.read_gtf(spark, path).select(*_GTF_OUT)
 
 

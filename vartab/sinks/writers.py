@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 PARTITION_COLUMNS = ("variant_type", "gene_type", "canonical")
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One flat part table."""
-    df.write.mode(mode).parquet(path)
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Row count observed while the write runs (no second pass)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> dict:
+    """One flat part table. Returns the observed row count."""
+    out, obs = _counted(df, "parquet")
+    out.write.mode(mode).parquet(path)
+    return dict(obs.get)
 
 
 def write_annotations(df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_COLUMNS,
@@ -25,8 +33,7 @@ def write_annotations(df: DataFrame, path: str, partition_by: Sequence[str] = PA
     bounds file size. Static overwrite deletes stale partitions first.
     Returns row counts observed during the write.
     """
-    obs = Observation("annotations")
-    out = df.hint("rebalance", *partition_by).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out, obs = _counted(df.hint("rebalance", *partition_by), "annotations")
     w = (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*partition_by))
     if max_records_per_file:
@@ -35,9 +42,11 @@ def write_annotations(df: DataFrame, path: str, partition_by: Sequence[str] = PA
     return dict(obs.get)
 
 
-def write_ids(ids: DataFrame, path: str) -> None:
+def write_ids(ids: DataFrame, path: str) -> dict:
     """Headerless one-column id list (one id per line)."""
-    ids.select(F.col(ids.columns[0]).cast("string")).write.mode("overwrite").text(path)
+    out, obs = _counted(ids.select(F.col(ids.columns[0]).cast("string")), "ids")
+    out.write.mode("overwrite").text(path)
+    return dict(obs.get)
 
 
 def vcf_lines(vcf: DataFrame) -> DataFrame:
@@ -60,16 +69,31 @@ def write_text(lines: DataFrame, header: Sequence[str], path: str,
 
 
 def write_vcf(vcf: DataFrame, header: Sequence[str], path: str, compression: str = "gzip",
-              sort: bool = True) -> None:
+              sort: bool = True) -> dict:
     """VCF text (header first). ``sort`` orders the data by (chrom, start)
-    with a sampled range partitioning, never a single task."""
-    body = sort_by_position(vcf) if sort else vcf
+    with a sampled range partitioning, never a single task. Returns the
+    observed number of data lines."""
+    body, obs = _counted(sort_by_position(vcf) if sort else vcf, "vcf")
     write_text(vcf_lines(body), header, path, compression)
+    return dict(obs.get)
 
 
-def write_chunks(df: DataFrame, path: str, rows_per_chunk: int = 500_000) -> None:
+def write_chunks(df: DataFrame, path: str, rows_per_chunk: int = 500_000) -> dict:
     """Fixed-size chunks: every file holds at most ``rows_per_chunk`` rows."""
-    (df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_chunk).parquet(path))
+    out, obs = _counted(df, "chunks")
+    out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_chunk).parquet(path)
+    return dict(obs.get)
+
+
+def sort_annotation(gtf: DataFrame, header: Sequence[str], path: str,
+                    chrom: str = "seqname", start: str = "start") -> dict:
+    """Coordinate-sorted gene-model text export (comments first, then lines
+    ordered by chromosome text and numeric start), gzip-compressed."""
+    body, obs = _counted(sort_by_position(gtf, chrom, start), "sorted")
+    lines = body.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in gtf.columns])
+                        .alias("value"))
+    write_text(lines, header, path, compression="gzip")
+    return dict(obs.get)
 
 
 def sort_by_position(df: DataFrame, chrom: str = "chrom", start: str = "start") -> DataFrame:
