@@ -57,3 +57,33 @@ def test_annotate_from_files(spark, tmp_out):
     assert 0 < metrics["funnel"]["rows"]["chunks"] < metrics["funnel"]["rows"]["vcf"]
     assert {"e2g_e2g_score", "AbSplice2_max", "nmd_escape", "sift_score"} <= set(back.columns)
     assert back.filter("variant_type = 'SV'").count() > 0
+
+
+def test_cli_runs_a_yaml_config_in_the_source_layout(spark, tmp_out, capsys):
+    import json
+
+    import yaml
+
+    from vartab.__main__ import main
+
+    cfg = I.write_input_files(Fixtures(spark, SF_SMALL), tmp_out, e2g=E2GConfig())
+    doc = {
+        "input_vcf": cfg.input_vcf, "sv_vcf": cfg.sv_vcf, "gtf": cfg.gtf,
+        "output_dir": cfg.output_dir, "fasta": "unused.fa",
+        "fastvep": {"distance": 500, "protein_coding_only": True, "canonical_only": True,
+                    "include_sv": True, "parse_threads": 6},
+        "additional": {
+            "variants_per_chunk": 1000,
+            "vep": {"enabled": True, "output": cfg.vep_tab, "fork": 8},
+            "nmd": {"enabled": True, "output": cfg.nmd_csv},
+            "e2g": {"enabled": True, "predictions": cfg.e2g.predictions,
+                    "enhancers": cfg.e2g.enhancers, "score_threshold": 0.5},
+            "absplice": {"enabled": True, "result": cfg.absplice_result}}}
+    path = tmp_out.removeprefix("file:") + "/config.yaml"
+    with open(path, "w") as fh:
+        yaml.safe_dump(doc, fh)
+    assert main(["annotate", path]) == 0
+    metrics = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    back = sources.read_annotations(spark, f"{cfg.output_dir}/annotations.parquet")
+    assert metrics["rows"] == back.count() > 0
+    assert back.filter("gene_type <> 'protein_coding' or not canonical").count() == 0
