@@ -55,6 +55,22 @@ def test_combine_keeps_base_rows_when_parts_are_unique(spark):
         assert Q.QUERIES[name](spark, SF_SMALL).count() == n_base
 
 
+def test_vcf_chunks_are_standalone_with_at_most_n_rows(spark, fx, tmp_out):
+    vcf = ops.filter_variants(I.vcf_rows(fx), ops.analysis_set(Q._base(fx), 500))
+    metrics = sinks.write_vcf_chunks(vcf.repartition(3), I.VCF_HEADER, tmp_out, 700)
+    files = sorted(glob.glob(tmp_out.removeprefix("file:") + "/chunk=*/part-*"))
+    assert len(files) >= 3
+    n_data = 0
+    for f in files:
+        with open(f) as h:
+            lines = h.read().splitlines()
+        assert lines[: len(I.VCF_HEADER)] == I.VCF_HEADER
+        body = lines[len(I.VCF_HEADER):]
+        assert 0 < len(body) <= 700 and not any(b.startswith("#") for b in body)
+        n_data += len(body)
+    assert n_data == metrics["rows"] == vcf.count()
+
+
 def test_chunks_hold_at_most_n_rows(spark, fx, tmp_out):
     sinks.write_chunks(Q._filtered(fx), tmp_out, 700)
     per_file = (spark.read.parquet(tmp_out).groupBy(F.input_file_name()).count()

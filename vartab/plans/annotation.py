@@ -93,7 +93,8 @@ def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame,
     filtered = ops.filter_variants(small, spark.read.text(paths["ids"]))
     counts["vcf"] = sinks.write_vcf(filtered, header, paths["vcf"])["rows"]
     chunked = ops.chromosome_subset(sources.read_vcf(spark, paths["vcf"]), cfg.chromosomes)
-    counts["chunks"] = sinks.write_chunks(chunked, paths["chunks"], cfg.variants_per_chunk)["rows"]
+    counts["chunks"] = sinks.write_vcf_chunks(chunked, header, paths["chunks"],
+                                              cfg.variants_per_chunk)["rows"]
     return {"paths": paths, "rows": counts}
 
 

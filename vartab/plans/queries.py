@@ -322,10 +322,12 @@ def q_chrom_subset(spark, sf_dir):
 
 @query
 def q_chunk_export(spark, sf_dir):
-    """SNK-6: fixed-size chunks (at most CHUNK_ROWS rows per file)."""
+    """SNK-6: standalone VCF chunks (header in each, at most CHUNK_ROWS rows)."""
+    fx = _fx(spark, sf_dir)
     path = work_dir(spark, "chunk")
-    sinks.write_chunks(_filtered(_fx(spark, sf_dir)), path, CHUNK_ROWS)
-    return spark.read.parquet(path).select("variant_id", "chrom", "start", "ref", "alt")
+    vcf = ops.filter_variants(I.vcf_rows(fx), ops.analysis_set(_base(fx), ANALYSIS_WINDOW))
+    sinks.write_vcf_chunks(vcf, I.VCF_HEADER, path, CHUNK_ROWS)
+    return sources.read_vcf(spark, path).select("variant_id", "chrom", "start", "ref", "alt")
 
 
 # --- interval join and enhancer links ------------------------------------------

@@ -2,5 +2,5 @@
 
 from vartab.sinks.writers import (  # noqa: F401
     compact_scores, run_metrics, sort_by_position, vcf_lines, write_annotations, write_chunks,
-    write_ids, write_parquet, write_text, write_vcf, sort_annotation,
+    write_ids, write_parquet, write_text, write_vcf, write_vcf_chunks, sort_annotation,
 )

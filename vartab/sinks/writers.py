@@ -49,11 +49,14 @@ def write_ids(ids: DataFrame, path: str) -> dict:
     return dict(obs.get)
 
 
+def _vcf_line():
+    return F.concat_ws("\t", "chrom", (F.col("start") + 1).cast("string"), "variant_id", "ref",
+                       "alt", F.lit("."), F.lit("."), "info")
+
+
 def vcf_lines(vcf: DataFrame) -> DataFrame:
     """(variant_id, chrom, start, ref, alt, info) -> VCF data lines."""
-    return vcf.select(F.concat_ws(
-        "\t", "chrom", (F.col("start") + 1).cast("string"), "variant_id", "ref", "alt",
-        F.lit("."), F.lit("."), "info").alias("value"))
+    return vcf.select(_vcf_line().alias("value"))
 
 
 def write_text(lines: DataFrame, header: Sequence[str], path: str,
@@ -120,3 +123,32 @@ def compact_scores(scores: DataFrame, path: str, chrom: str = "chrom", start: st
     let later lookups skip row groups."""
     (sort_by_position(scores, chrom, start).write.mode("overwrite")
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(chrom).parquet(path))
+
+
+
+def write_vcf_chunks(vcf: DataFrame, header: Sequence[str], path: str,
+                     rows_per_chunk: int = 500_000) -> dict:
+    """Standalone VCF chunk files: every chunk folder (``chunk=<id>``) holds
+    one text file with the header lines followed by at most
+    ``rows_per_chunk`` data lines.
+
+    A chunk is a run of ``rows_per_chunk`` rows of one input partition;
+    ``monotonically_increasing_id`` carries both the partition and the
+    position inside it, so there is no global row numbering, no single task
+    and no join: the first row of each chunk is exploded into the header
+    lines plus its own line. A chunk is the largest unit a task holds.
+    Returns the observed number of data lines.
+    """
+    counted, obs = _counted(vcf, "vcf_chunks")
+    rows = counted.withColumn("_mid", F.monotonically_increasing_id())
+    pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    chunk = F.concat_ws("_", F.shiftright(F.col("_mid"), 33).cast("string"),
+                        F.floor(pos / F.lit(rows_per_chunk)).cast("string"))
+    line = _vcf_line()
+    first = (pos % F.lit(rows_per_chunk)) == 0
+    lines = F.when(first, F.array(*[F.lit(h) for h in header], line)).otherwise(F.array(line))
+    out = rows.select(chunk.alias("chunk"), pos.alias("pos"),
+                      F.posexplode(lines).alias("k", "value"))
+    (out.repartition("chunk").sortWithinPartitions("chunk", "pos", "k")
+     .select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(path))
+    return dict(obs.get)
