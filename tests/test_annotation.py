@@ -37,7 +37,7 @@ def test_annotate_from_files(spark, tmp_out):
     cfg = I.write_input_files(fx, tmp_out, distance=500, e2g=E2GConfig(classes=["genic"]),
                               chromosomes=["chr1"], export_funnel=True, variants_per_chunk=300)
     metrics = annotate(spark, cfg)
-    chunks = spark.read.parquet(f"{cfg.output_dir}/funnel/chunks")
+    chunks = sources.read_vcf(spark, f"{cfg.output_dir}/funnel/chunks")
     assert {r[0] for r in chunks.select("chrom").distinct().collect()} == {"chr1"}
     ids = spark.read.text(f"{cfg.output_dir}/funnel/small.ids")
     assert sources.read_vcf(spark, f"{cfg.output_dir}/funnel/small.vcf").count() == ids.count()
