@@ -65,28 +65,27 @@ def _onehot_tiny(col):
 STAGES["st_vcf"] = "select variant_id, chrom, pos - 1 as start, ref, alt, info from fx_csq"
 STAGES["st_sv_vcf"] = "select variant_id, chrom, pos - 1 as start, ref, alt, info from fx_sv_csq"
 STAGES["st_entries"] = r"""
-select variant_id, chrom, start, ref, alt, track, string_split(entry, '|') as p from (
-  select variant_id, chrom, start, ref, alt, 'small' as track,
-         unnest(string_split(regexp_extract(info, 'CSQ=([^;]*)', 1), ',')) as entry
-  from st_vcf where regexp_extract(info, 'CSQ=([^;]*)', 1) <> ''
-  union all
-  select variant_id, chrom, start, ref, alt, 'sv' as track,
-         unnest(string_split(regexp_extract(info, 'CSQ=([^;]*)', 1), ',')) as entry
-  from st_sv_vcf where regexp_extract(info, 'CSQ=([^;]*)', 1) <> ''
-) x
-"""
-STAGES["st_ann"] = """
-select variant_id, chrom, start, ref, alt,
-  case when track = 'sv' then 'SV' when length(ref) = 1 and length(alt) = 1 then 'SNV' else 'indel' end as variant_type,
-  p[5] as gene, p[7] as transcript, p[2] as consequence, p[3] as impact,
-  case when p[21] = '' then null else cast(p[21] as integer) end as distance,
-  nullif(p[9], '') as exon, nullif(p[10], '') as intron, nullif(p[11], '') as hgvsc,
-  nullif(p[12], '') as hgvsp, nullif(p[13], '') as cdna_position, nullif(p[14], '') as cds_position,
-  nullif(p[15], '') as protein_position, nullif(p[16], '') as amino_acids, nullif(p[17], '') as codons,
-  case when p[22] = '' then null else cast(p[22] as integer) end as strand,
-  nullif(p[33], '') as ensp, track
-from st_entries where p[5] <> '-'
+select v.variant_id, v.chrom, v.start, v.ref, v.alt, v.track, e.entry
+from (select *, 'small' as track from st_vcf union all select *, 'sv' as track from st_sv_vcf) v,
+     unnest(string_split(regexp_extract(v.info, 'CSQ=([^;]*)', 1), ',')) as e(entry)
+where regexp_extract(v.info, 'CSQ=([^;]*)', 1) <> ''
 """
+# Fixture entries always carry all 33 fields (FIXTURES.md), so split_part,
+# which gives '' for a missing field, reads them the same as list indexing.
+_PART = "split_part(entry, '|', {})"
+_TEXT = {"exon": 9, "intron": 10, "hgvsc": 11, "hgvsp": 12, "cdna_position": 13,
+         "cds_position": 14, "protein_position": 15, "amino_acids": 16, "codons": 17,
+         "ensp": 33}
+STAGES["st_ann"] = (
+    "select variant_id, chrom, start, ref, alt, "
+    "if(track = 'sv', 'SV', if(length(ref) = 1 and length(alt) = 1, 'SNV', 'indel')) as variant_type, "
+    + ", ".join(f"{_PART.format(i)} as {n}" for n, i in
+                [("gene", 5), ("transcript", 7), ("consequence", 2), ("impact", 3)])
+    + ", try_cast(nullif(" + _PART.format(21) + ", '') as integer) as distance, "
+    + ", ".join(f"nullif({_PART.format(i)}, '') as {n}" for n, i in _TEXT.items())
+    + ", try_cast(nullif(" + _PART.format(22) + ", '') as integer) as strand, track "
+    "from st_entries where " + _PART.format(5) + " <> '-'"
+)
 ANN_COLS = ("variant_id, chrom, start, ref, alt, variant_type, gene, transcript, consequence, impact, "
             "distance, exon, intron, hgvsc, hgvsp, cdna_position, cds_position, protein_position, "
             "amino_acids, codons, strand, ensp")
