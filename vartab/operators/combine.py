@@ -57,10 +57,9 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
     onehots = onehot_columns("consequence", null_as_zero=True)
     order = list(out.columns) + [f"Consequence_{t}" for t in CONSEQUENCE_TERMS]
 
-    def attach(out, part, drop, keys, rename, prefix=""):
-        extra = [c for c in part.columns if c not in drop]
-        if part is vep:
-            extra = [c for c in extra if not c.startswith("Consequence")]
+    def attach(out, part, drop, keys, rename, prefix="", drop_prefix=None):
+        extra = [c for c in part.columns if c not in drop
+                 and not (drop_prefix and c.startswith(drop_prefix))]
         right = part.select(*[F.col(src).alias(dst) for src, dst in rename.items()],
                             *[F.col(c).alias(prefix + c) for c in extra])
         if copartition:
@@ -69,8 +68,10 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
         return out.join(right, keys, "left")
 
     if vep is not None:
+        # the base owns Consequence and its one-hots for every variant type
         out = attach(out, vep, VEP_DROP, ["variant_id", "transcript"],
-                     {"variant_id": "variant_id", "Feature": "transcript"})
+                     {"variant_id": "variant_id", "Feature": "transcript"},
+                     drop_prefix="Consequence")
     if nmd is not None:
         out = attach(out, nmd, NMD_DROP, ["variant_id", "transcript"],
                      {"variant_id": "variant_id", "transcript": "transcript"})
