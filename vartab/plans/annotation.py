@@ -82,8 +82,9 @@ def funnel(base: DataFrame, cfg: AnnotationConfig) -> DataFrame:
 def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame,
                   cfg: AnnotationConfig, header: list[str]) -> dict:
     """The funnel's file outputs for external annotators: the id list, the
-    filtered input VCF (the input lines of the analysis set, LEFT SEMI),
-    and that VCF restricted to ``chromosomes`` in chunks of at most
+    filtered input VCF (the input lines of the analysis set, verbatim, by a
+    LEFT SEMI join, under the input's own header), and that VCF restricted
+    to ``chromosomes`` as standalone VCF chunks (header in each) of at most
     ``variants_per_chunk`` rows."""
     out = cfg.output_dir.rstrip("/")
     paths = {"ids": f"{out}/funnel/small.ids", "vcf": f"{out}/funnel/small.vcf",
@@ -92,7 +93,8 @@ def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame,
     counts = {"ids": sinks.write_ids(ids, paths["ids"])["rows"]}
     filtered = ops.filter_variants(small, spark.read.text(paths["ids"]))
     counts["vcf"] = sinks.write_vcf(filtered, header, paths["vcf"])["rows"]
-    chunked = ops.chromosome_subset(sources.read_vcf(spark, paths["vcf"]), cfg.chromosomes)
+    chunked = ops.chromosome_subset(sources.read_vcf(spark, paths["vcf"], keep_line=True),
+                                    cfg.chromosomes)
     counts["chunks"] = sinks.write_vcf_chunks(chunked, header, paths["chunks"],
                                               cfg.variants_per_chunk)["rows"]
     return {"paths": paths, "rows": counts}
@@ -143,7 +145,7 @@ def read_inputs(spark: SparkSession, cfg: AnnotationConfig) -> Inputs:
     n = cfg.input_partitions
     e2g = cfg.e2g
     return Inputs(
-        small=sources.read_vcf(spark, cfg.input_vcf, n),
+        small=sources.read_vcf(spark, cfg.input_vcf, n, keep_line=cfg.export_funnel),
         sv=sources.read_vcf(spark, cfg.sv_vcf, n) if cfg.sv_vcf and cfg.include_sv else None,
         gtf_transcripts=sources.read_gtf(spark, cfg.gtf, "transcript"),
         gtf_genes=sources.read_gtf(spark, cfg.gtf, "gene"),
@@ -176,7 +178,8 @@ def annotate(spark: SparkSession, cfg: AnnotationConfig) -> dict:
     metrics["base_variants"] = summary["distinct_variant_id"]
     metrics["base_canonical_rows"] = summary["n_canonical"]
     if cfg.export_funnel:
-        metrics["funnel"] = export_funnel(spark, inp.small, base, cfg, VCF_HEADER)
+        header = sources.read_vcf_header(spark, cfg.input_vcf) or VCF_HEADER
+        metrics["funnel"] = export_funnel(spark, inp.small, base, cfg, header)
     metrics["rows"] = sinks.write_annotations(annotation_table(inp, cfg, base=base),
                                               f"{out}/annotations.parquet")["rows"]
     return metrics

@@ -55,8 +55,10 @@ def _vcf_line():
 
 
 def vcf_lines(vcf: DataFrame) -> DataFrame:
-    """(variant_id, chrom, start, ref, alt, info) -> VCF data lines."""
-    return vcf.select(_vcf_line().alias("value"))
+    """VCF data lines: the raw input ``line`` when the rows carry it (a
+    verbatim subset, samples included), else rebuilt from (variant_id,
+    chrom, start, ref, alt, info) with QUAL and FILTER as '.'."""
+    return vcf.select((F.col("line") if "line" in vcf.columns else _vcf_line()).alias("value"))
 
 
 def write_text(lines: DataFrame, header: Sequence[str], path: str,
@@ -144,7 +146,7 @@ def write_vcf_chunks(vcf: DataFrame, header: Sequence[str], path: str,
     pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     chunk = F.concat_ws("_", F.shiftright(F.col("_mid"), 33).cast("string"),
                         F.floor(pos / F.lit(rows_per_chunk)).cast("string"))
-    line = _vcf_line()
+    line = F.col("line") if "line" in vcf.columns else _vcf_line()
     first = (pos % F.lit(rows_per_chunk)) == 0
     lines = F.when(first, F.array(*[F.lit(h) for h in header], line)).otherwise(F.array(line))
     out = rows.select(chunk.alias("chunk"), pos.alias("pos"),

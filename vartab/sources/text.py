@@ -23,24 +23,52 @@ def _cols(parts, spec):
     return [F.get(parts, i).alias(name) for i, name in spec]
 
 
-def read_vcf(spark: SparkSession, path, partitions: int | None = None) -> DataFrame:
+def read_vcf(spark: SparkSession, path, partitions: int | None = None,
+             keep_line: bool = False) -> DataFrame:
     """VCF data lines -> (variant_id, chrom, start, ref, alt, info).
 
     Lines starting with ``#`` are header/comment lines; a ``#`` later in a
     line is data. ``start`` is 0-based (POS - 1) and cast strictly.
+    ``keep_line`` adds the raw ``line`` (all columns, samples included) for
+    verbatim re-export; column pruning drops it wherever it is not used.
     """
     p = F.split(F.col("value"), "\t", -1)
-    df = _body(spark, path).select(
+    cols = [
         F.get(p, 2).alias("variant_id"),
         F.get(p, 0).alias("chrom"),
         (F.get(p, 1).cast("bigint") - F.lit(1)).alias("start"),
         F.get(p, 3).alias("ref"),
         F.get(p, 4).alias("alt"),
         F.get(p, 7).alias("info"),
-    )
+    ]
+    if keep_line:
+        cols.append(F.col("value").alias("line"))
+    df = _body(spark, path).select(*cols)
     return df.repartition(partitions) if partitions else df
 
 
+def read_vcf_header(spark: SparkSession, path, probe: int = 1000) -> list[str]:
+    """The ``#`` header lines at the top of the first input file.
+
+    Reads only the top of the file: ``limit(k)`` with k doubling until a
+    data line shows up or the file ends, never a scan of the whole input."""
+    files = sorted(spark.read.text(path).inputFiles())
+    if not files:
+        return []
+    k = probe
+    while True:
+        top = [r["value"] for r in spark.read.text(files[0]).limit(k).collect()]
+        data_seen = any(not line.startswith("#") for line in top)
+        if data_seen or len(top) < k:
+            header = []
+            for line in top:
+                if not line.startswith("#"):
+                    break
+                header.append(line)
+            return header
+        k *= 4
+
+
 GTF_COLUMNS = ["seqname", "source", "feature", "start", "end", "score", "strand", "frame",
                "attributes"]
 
