@@ -95,14 +95,21 @@ def _vep_header(spark: SparkSession, path) -> list[tuple[list[str], list[str]]]:
 
     Each probe scans only until the header line of one file (``limit(1)``
     stops the job after the first partition that has it), so the data is
-    not read twice."""
-    groups: dict[str, list[str]] = {}
+    not read twice. A file without a header line (a later part file of a
+    folder written in parts) takes the header of its folder."""
+    by_file: dict[str, str | None] = {}
     for f in spark.read.text(path).inputFiles():
         row = (spark.read.text(f)
                .filter(F.col("value").startswith("#") & ~F.col("value").startswith("##"))
                .limit(1).collect())
-        if row:
-            groups.setdefault(row[0]["value"], []).append(f)
+        by_file[f] = row[0]["value"] if row else None
+    folder_header = {f.rsplit("/", 1)[0]: h for f, h in by_file.items() if h is not None}
+    groups: dict[str, list[str]] = {}
+    for f, h in by_file.items():
+        h = h if h is not None else folder_header.get(f.rsplit("/", 1)[0])
+        if h is None:
+            raise ValueError(f"no '#Uploaded_variation' header for {f}")
+        groups.setdefault(h, []).append(f)
     return [(h.split("\t"), files) for h, files in groups.items()]
 
 
