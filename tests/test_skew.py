@@ -80,3 +80,12 @@ def test_gene_maps_are_broadcast_so_hot_genes_never_shuffle(spark):
         for name in ("splice_lookup", "e2g"):
             plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
             assert "BroadcastHashJoin" in plan and "LeftOuter, BuildRight" in plan, name
+
+
+def test_small_variant_side_is_broadcast_against_scores(spark):
+    from conftest import SF_SMALL
+    from vartab.plans.queries import QUERIES
+
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = QUERIES["splice_lookup"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [chrom" in plan and "Inner" in plan, plan[:1500]

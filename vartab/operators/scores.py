@@ -14,8 +14,13 @@ SITE_KEYS = ("chrom", "start", "ref", "alt")
 SPLICE_COLUMNS = ["variant_id", "gene", "AbSplice_DNA_max", "AbSplice2_max"]
 
 
+# Largest variant side (rows) broadcast against a site-score table.
+VARIANTS_BROADCAST_ROWS = 1_000_000
+
+
 def splice_lookup(variants: DataFrame, scores: DataFrame, gene_pairs: DataFrame,
-                  strip_chr: bool = False, broadcast_rows: int | None = BROADCAST_MAX_ROWS
+                  strip_chr: bool = False, broadcast_rows: int | None = BROADCAST_MAX_ROWS,
+                  variants_broadcast_rows: int | None = VARIANTS_BROADCAST_ROWS
                   ) -> DataFrame:
     """Per-(variant, gene) splice scores: inner join on the site, then the
     unversioned gene id is versioned through ``gene_pairs`` (every pair, so
@@ -23,9 +28,12 @@ def splice_lookup(variants: DataFrame, scores: DataFrame, gene_pairs: DataFrame,
     the unversioned id. Chromosome names are compared as given unless
     ``strip_chr``.
 
-    The site join shuffles both sides on the four keys (sites are unique,
-    so no key is hot); the gene-pair map is broadcast behind a size check
-    because one gene can own a large share of the score rows."""
+    Site join: when a bounded count proves the variant side (the funnel's
+    sites) small, it is broadcast and the score table (billions of rows)
+    streams through without any shuffle; otherwise both sides shuffle on
+    the four keys (sites are unique, so no key is hot). The gene-pair map
+    is broadcast behind a size check because one gene can own a large
+    share of the score rows."""
     v = variants.select("variant_id", "chrom", "start", "ref", "alt")
     a = scores.select(F.col("chrom").cast("string").alias("chrom"),
                       F.col("start").cast("bigint").alias("start"),
@@ -36,7 +44,7 @@ def splice_lookup(variants: DataFrame, scores: DataFrame, gene_pairs: DataFrame,
     if strip_chr:
         v = v.withColumn("chrom", _strip_chr("chrom"))
         a = a.withColumn("chrom", _strip_chr("chrom"))
-    hits = v.join(a, list(SITE_KEYS))
+    hits = broadcast_if_small(v, variants_broadcast_rows).join(a, list(SITE_KEYS))
     g = broadcast_if_small(gene_pairs.select(F.col("gene_id").alias("gene"),
                                              F.col("gene_id_unversioned").alias("gene_unversioned")),
                            broadcast_rows)
