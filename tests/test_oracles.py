@@ -25,3 +25,9 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "Consequence_stop_gained" in df.columns
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = entry.entry(spark), entry.entry(spark)
+    assert a.schema == b.schema
+    assert a.count() == b.count() > 0
