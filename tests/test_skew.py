@@ -89,3 +89,12 @@ def test_small_variant_side_is_broadcast_against_scores(spark):
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         plan = QUERIES["splice_lookup"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [chrom" in plan and "Inner" in plan, plan[:1500]
+
+
+def test_score_tables_are_reduced_by_a_broadcast_semi_join(spark):
+    from conftest import SF_SMALL
+    from vartab.plans.queries import QUERIES
+
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = QUERIES["score_lookup"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi, BuildRight" in plan and "BroadcastHashJoin" in plan, plan[:1500]

@@ -54,20 +54,32 @@ def splice_lookup(variants: DataFrame, scores: DataFrame, gene_pairs: DataFrame,
 
 
 def lookup_scores(variants: DataFrame, sources: Mapping[str, tuple[DataFrame, Sequence[str]] | None],
-                  keys: Sequence[str] = SITE_KEYS) -> DataFrame:
+                  keys: Sequence[str] = SITE_KEYS,
+                  variants_broadcast_rows: int | None = VARIANTS_BROADCAST_ROWS) -> DataFrame:
     """Left-join every configured site-score source onto the variants.
 
     ``sources`` maps a source name to ``(table, score_columns)`` or to None
     when the source is not configured (it is skipped, its columns absent).
     A source with repeated keys repeats the variant's row, as any left join.
-    Each join is on the same keys, so the variant side is shuffled once.
+
+    Score tables can be hundreds of GB. When a bounded count proves the
+    variant sites small, each table is first reduced by a LEFT SEMI join
+    against the broadcast sites (the table streams, nothing of it is
+    shuffled), and only the matching rows take part in the left join.
+    Otherwise each join shuffles on the site keys; the variant side keeps
+    that partitioning across sources.
     """
     out = variants.select("variant_id", *keys)
+    sites = out.select(*keys)
+    small = broadcast_if_small(sites, variants_broadcast_rows)
     cols: list[str] = []
     for _name, src in sources.items():
         if src is None:
             continue
         table, score_cols = src
-        out = out.join(table.select(*keys, *score_cols), list(keys), "left")
+        right = table.select(*keys, *score_cols)
+        if small is not sites:
+            right = right.join(small, list(keys), "left_semi")
+        out = out.join(right, list(keys), "left")
         cols += list(score_cols)
     return out.select("variant_id", *cols)
