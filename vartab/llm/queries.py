@@ -5,16 +5,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.llm import secrets, sharding
+from vartab.llm import ann, html, secrets, sharding, toxicity
 from vartab.llm.common import table
 
 
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: rows whose vec_id is divisible by 50, against all rows."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=24)
 
 
-QUERIES = {f.__name__: f for f in (op8_secret_scan, op10_feistel_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op3_multi_index_hashing, op6_html_extraction, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
