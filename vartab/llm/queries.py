@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.llm import ann, html, secrets, sharding, toxicity
+from vartab.llm import ann, html, secrets, sharding, substrings, toxicity
 from vartab.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -32,4 +36,4 @@ def op10_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_multi_index_hashing, op6_html_extraction, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
+    op3_multi_index_hashing, op4_substring_dedup, op6_html_extraction, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
