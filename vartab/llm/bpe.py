@@ -27,11 +27,30 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 BATCH_BYTES = 4 << 20
-ROWS_PER_QUERY = 1 << 20
+ROWS_PER_QUERY = 1 << 20  # positions stay below 2**21 unless one word is longer
+LONG_WORD = 100
 
+# One step contracts the leftmost pair of the least rank of each word.
 ENCODE_SQL = """
+WITH RECURSIVE step(word, pos, id, done) AS (
+    SELECT word, pos, id, false FROM start
+    UNION ALL
+    SELECT n.word, n.pos, CASE WHEN least.key & 2097151 = n.pos THEN (least.key >> 21)::INT ELSE n.id END,
+           least.key IS NULL
+    FROM (SELECT word, pos, id, lag(pos) OVER (PARTITION BY word ORDER BY pos) AS before FROM step WHERE NOT done) n
+    LEFT JOIN (
+        SELECT word, min(m.merged::BIGINT << 21 | pos) AS key
+        FROM (SELECT word, pos, id, lead(id) OVER (PARTITION BY word ORDER BY pos) AS next_id FROM step WHERE NOT done) p
+        JOIN merges m ON m.pair = (p.id::BIGINT << 20 | p.next_id)
+        GROUP BY word) least ON least.word = n.word
+    WHERE least.key IS NULL OR n.before IS NULL OR n.before <> (least.key & 2097151))
+SELECT pos, id FROM step WHERE done ORDER BY pos
+"""
+# The same for long words, which need fewer steps this way: all pairs of the
+# least rank at once, of overlapping ones the first, third, ...
+ENCODE_LONG_SQL = """
 WITH RECURSIVE step(word, pos, id, done) AS (
     SELECT word, pos, id, false FROM start
     UNION ALL
@@ -39,7 +58,6 @@ WITH RECURSIVE step(word, pos, id, done) AS (
         SELECT word, pos, CASE WHEN merges THEN least ELSE id END AS id, least IS NULL AS done,
                coalesce(lag(merges) OVER (PARTITION BY word ORDER BY pos), false) AS swallowed
         FROM (
-            -- of overlapping pairs of the least rank, the first, third, ... merge
             SELECT word, pos, id, least, rank = least AND (nth - coalesce(max(
                 CASE WHEN rank IS DISTINCT FROM least THEN nth END) OVER (PARTITION BY word ORDER BY pos), 0)) % 2 = 1 AS merges
             FROM (
@@ -59,11 +77,16 @@ FROM ids i JOIN tokens t ON t.id = i.id GROUP BY text ORDER BY text
 
 
 class Vocabulary:
-    """Ranks and pattern of a tokenizer; the database and the word cache are made
-    in the process that uses them."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_words: int = CACHE_WORDS):
+    """Ranks and pattern of a tokenizer; the database and the cache (ids by word
+    and by chunk) are made in the process that uses them."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_words: int = CACHE_WORDS,
+                 space_starts_word: bool = True):
+        """``space_starts_word``: a space between two other characters always starts
+        a match of the pattern (true of the given one, where a space is optional
+        before letters, numbers and signs, and white space yields its last)."""
         self.ranks, self.pattern, self.cache_words = ranks, pattern, cache_words
+        self.space_starts_word = space_starts_word
         self._con = None
 
     @classmethod
@@ -76,6 +99,7 @@ class Vocabulary:
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("a byte-level vocabulary has all 256 bytes")
         self._words = regex.compile(self.pattern)
+        self._wide, self._cut = regex.compile(r"\s\s|^\s|\s$"), regex.compile(r"(?<=\S) (?=\S)")
         self._byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self._joins = np.zeros(1 << 16, bool)  # byte pairs that some token holds
         pairs, merged = [], []
@@ -99,8 +123,8 @@ class Vocabulary:
         con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         con.unregister("given")
 
-    def _contract(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word, as little-endian 32-bit integers, by ENCODE_SQL."""
+    def _contract(self, words: list[bytes], query: str) -> list[bytes]:
+        """The ids of each word, as little-endian 32-bit integers, by ``query``."""
         data = np.frombuffer(b"".join(words), np.uint8)
         owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
         cut = np.ones(len(data), bool)
@@ -108,42 +132,63 @@ class Vocabulary:
         start = pa.table({"word": pa.array(np.cumsum(cut), pa.int32()), "pos": pa.array(np.arange(len(data)), pa.int32()),
                           "id": pa.array(self._byte[data], pa.int32())})
         self._con.register("start", start)
-        out = self._con.execute(ENCODE_SQL).fetchnumpy()
+        out = self._con.execute(query).fetchnumpy()
         self._con.unregister("start")
         ids = np.asarray(out["id"]).astype("<u4").tobytes()
         ends = 4 * np.cumsum(np.bincount(owner[np.asarray(out["pos"])], minlength=len(words)))
         return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self._cache) + len(words) > self.cache_words:
-            self._cache = {}
-        pending: list[str] = []
+    def _word_ids(self, words: set[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
+        short, long = [], []
         for word in words:
-            rank = self.ranks.get(word.encode())
-            if rank is None:
-                pending.append(word)
+            data = word.encode()
+            rank = self.ranks.get(data)
+            if rank is not None:
+                out[word] = rank.to_bytes(4, "little")
             else:
-                self._cache[word] = rank.to_bytes(4, "little")
-        at = 0
-        while at < len(pending):
-            part, size = [], 0
-            while at < len(pending) and (not part or size < ROWS_PER_QUERY):
-                part.append(pending[at].encode())
-                size += len(part[-1])
-                at += 1
-            self._cache.update(zip(pending[at - len(part):at], self._contract(part), strict=True))
+                (long if len(data) > LONG_WORD else short).append(word)
+        for pending, query in ((short, ENCODE_SQL), (long, ENCODE_LONG_SQL)):
+            at = 0
+            while at < len(pending):
+                part, size = [], 0
+                while at < len(pending) and (not part or size + 4 * len(pending[at]) <= ROWS_PER_QUERY):
+                    part.append(pending[at].encode())
+                    size += len(part[-1])
+                    at += 1
+                out.update(zip(pending[at - len(part):at], self._contract(part, query), strict=True))
+        return out
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Puts the ids of chunks (runs of words), and of their words, into the cache."""
+        if len(self._cache) + len(chunks) > self.cache_words:
+            self._cache = {}
+        split = {c: self._words.findall(c) for c in chunks}
+        cache = self._cache
+        cache.update(self._word_ids(set().union(*split.values()).difference(cache)))
+        for chunk, words in split.items():
+            if len(words) != 1:
+                cache[chunk] = b"".join(map(cache.__getitem__, words))
+
+    def _chunks(self, text: str) -> list[str]:
+        """A text cut where a word surely starts: before a space between two
+        characters that are not white space, if the pattern has that property."""
+        if not self.space_starts_word or self._wide.search(text):
+            return [text[a:b] for a, b in _bounds(text, self._cut)] if self.space_starts_word else [text]
+        first, *rest = text.split(" ")
+        return [first, *[" " + r for r in rest]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text, as little-endian unsigned 32-bit integers."""
         if self._con is None:
             self._open()
-        split = [self._words.findall(t) for t in texts]
-        every = set().union(*split)
+        cut = [self._chunks(t) for t in texts]
+        every = set().union(*cut)
         if new := every.difference(self._cache):
             self._learn(new)
             if gone := every.difference(self._cache):  # the cache was full and began anew
                 self._learn(gone)
-        return [b"".join(map(self._cache.__getitem__, words)) for words in split]
+        return [b"".join(map(self._cache.__getitem__, chunks)) for chunks in cut]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that each sequence of ids stands for, by DECODE_SQL."""
@@ -163,6 +208,14 @@ class Vocabulary:
         return out
 
 
+def _bounds(text: str, cut) -> Iterator[tuple[int, int]]:
+    at = 0
+    for m in cut.finditer(text):
+        yield at, m.start()
+        at = m.start()
+    yield at, len(text)
+
+
 def _slices(texts: list[str], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of texts of at most about ``most`` characters, one text at least."""
     at = 0
@@ -180,12 +233,13 @@ def _shared(df: DataFrame, vocabulary: Vocabulary):
     tokens) is a plain dict that lives as long as the Python worker, which so
     keeps the opened vocabulary, with its word cache, from task to task."""
     sent = df.sparkSession.sparkContext.broadcast({
-        "ranks": vocabulary.ranks, "pattern": vocabulary.pattern, "cache_words": vocabulary.cache_words})
+        "ranks": vocabulary.ranks, "pattern": vocabulary.pattern, "cache_words": vocabulary.cache_words,
+        "space_starts_word": vocabulary.space_starts_word})
 
     def get() -> Vocabulary:
         state = sent.value
         if "opened" not in state:
-            state["opened"] = Vocabulary(state["ranks"], state["pattern"], state["cache_words"])
+            state["opened"] = Vocabulary(**state)
         return state["opened"]
     return get
 

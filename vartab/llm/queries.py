@@ -3,12 +3,21 @@ can express them. Each query reads its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.llm import ann, html, secrets, sharding, substrings, toxicity
+from vartab.llm import ann, bpe, html, secrets, sharding, substrings, toxicity
 from vartab.llm.common import table
 
 
+def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Vocabulary:
+    return bpe.Vocabulary.load(public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries: rows whose vec_id is divisible by 50, against all rows."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -36,4 +45,4 @@ def op10_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_multi_index_hashing, op4_substring_dedup, op6_html_extraction, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
+    op2_byte_bpe, op3_multi_index_hashing, op4_substring_dedup, op6_html_extraction, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
