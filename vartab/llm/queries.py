@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.llm import ann, bpe, html, secrets, sharding, substrings, toxicity
+from vartab.llm import ann, bpe, html, packing, secrets, sharding, substrings, toxicity
 from vartab.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op5_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = vocabulary()
+    return packing.pack_tokens(table(spark, sf_dir, "documents"), v.ranks, v.pattern)
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -45,4 +50,5 @@ def op10_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_byte_bpe, op3_multi_index_hashing, op4_substring_dedup, op6_html_extraction, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
+    op2_byte_bpe, op3_multi_index_hashing, op4_substring_dedup, op5_packed_rows,
+    op6_html_extraction, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
