@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.llm import ann, bpe, html, packing, secrets, sharding, substrings, toxicity
+from vartab.llm import ann, bpe, html, jaccard, packing, secrets, sharding, substrings, toxicity
 from vartab.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_bayes_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -51,4 +55,4 @@ def op10_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op2_byte_bpe, op3_multi_index_hashing, op4_substring_dedup, op5_packed_rows,
-    op6_html_extraction, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
+    op6_html_extraction, op7_bayes_jaccard, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
