@@ -6,10 +6,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.llm import ann, bpe, html, jaccard, packing, secrets, sharding, substrings, toxicity
+from vartab.llm import ann, bpe, decontam, html, jaccard, packing, secrets, sharding, substrings, toxicity
 from vartab.llm.common import table
 
 
+def op1_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Vocabulary:
     return bpe.Vocabulary.load(public_tokenizers.path(name), public_tokenizers.PATTERN)
 
@@ -54,5 +58,5 @@ def op10_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_byte_bpe, op3_multi_index_hashing, op4_substring_dedup, op5_packed_rows,
+    op1_latent_decontamination, op2_byte_bpe, op3_multi_index_hashing, op4_substring_dedup, op5_packed_rows,
     op6_html_extraction, op7_bayes_jaccard, op8_secret_scan, op9_toxicity, op10_feistel_sharding)}
