@@ -297,26 +297,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     alike; rows that share a doc_id are reported together, the best match per
     item; rows without a doc_id are reported under null; an empty table on
     either side gives no rows. Other columns are not read, whatever their names."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    wanted = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
-    passes = -(-wanted.count() // items_per_pass)
-    space = fit(texts) if passes else None
-    out = spark.createDataFrame([], RESULT)
-    if space is None:
-        return out
-    shared = spark.sparkContext.broadcast(space)  # DIMS x (RANK + 1) floats
-    for k in range(passes):
-        part = wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect() if passes > 1 \
-            else wanted.collect()
-        given = spark.sparkContext.broadcast([(r["item_id"], plain(r["text"])) for r in part])
-
-        def run(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
-            items = Items(given.value, shared.value)
+    out = docs.sparkSession.createDataFrame([], RESULT)
+    for task_items in _passes(texts, benchmark, item_col, item_text, items_per_pass):
+        def run(batches: Iterator[pa.RecordBatch], task_items=task_items) -> Iterator[pa.RecordBatch]:
+            items, latent = task_items()
             for batch in batches:
                 rows = []
                 for ids, texts in _slices(batch):
-                    rows += [(ids[t], items.ids[i], c, w, a) for t, i, c, w, a in search_texts(texts, items, shared.value[0])]
+                    rows += [(ids[t], items.ids[i], c, w, a) for t, i, c, w, a in search_texts(texts, items, latent)]
                 cols = list(zip(*rows, strict=True)) or [()] * 5
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
@@ -324,3 +313,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         out = out.unionByName(texts.mapInArrow(run, RESULT))
     return out.groupBy("doc_id", "item_id").agg(
         F.max("cosine").alias("cosine"), F.max("lcs").alias("lcs"), F.max("answer").alias("answer"))
+
+
+def _passes(texts: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, items_per_pass: int) -> list:
+    """Per pass, a function that gives a task its items and the latent space."""
+    sc = texts.sparkSession.sparkContext
+    wanted = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    passes = -(-wanted.count() // items_per_pass)
+    space = fit(texts) if passes else None
+    if space is None:
+        return []
+    shared = sc.broadcast(space)  # DIMS x (RANK + 1) floats
+    out = []
+    for k in range(passes):
+        part = wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect()
+        given = sc.broadcast([(r["item_id"], plain(r["text"])) for r in part])
+        out.append(lambda given=given: (Items(given.value, shared.value), shared.value[0]))
+    return out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS_PER_PASS) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others) in which no item is
+    found, with all their columns; cases as in ``contaminated``."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    for task_items in _passes(texts, benchmark, "item_id", "text", items_per_pass):
+        def run(batches: Iterator[pa.RecordBatch], task_items=task_items) -> Iterator[pa.RecordBatch]:
+            items, latent = task_items()
+            for batch in batches:
+                hit = np.zeros(batch.num_rows, bool)
+                at = 0
+                for _, texts in _slices(batch):
+                    for t, *_ in search_texts(texts, items, latent):
+                        hit[at + t] = True
+                    at += len(texts)
+                yield batch.filter(pa.array(~hit))
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vartab.llm.common import stored
 from vartab.llm.graph import components
@@ -276,7 +277,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
             bucket_chunk: int = BUCKET_CHUNK, component_chunk: int = COMPONENT_CHUNK) -> DataFrame:
     """Per row of ``docs``: doc_id, key, class_id (the least doc_id of its class:
     all that chains of links reach), n_links (rows it is linked to, copies
-    included) and class_key (the key of the class, as ids may repeat).
+    included) and class_key (the key of the class, as ids may repeat; null for
+    texts without words).
 
     Defined cases: a null text is an empty one; texts without words have no
     links and each row is its own class; texts of one to four words are linked
@@ -349,7 +351,36 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
     per_text = (per_text.join(heads, "class_key")
                 .select("key", "class_key", "class_id",
                         (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    out = base.filter("n > 0").select("doc_id", "key").join(per_text, "key")
-    empty = base.filter("n = 0").select("doc_id", "key", F.col("key").alias("class_key"), F.col("doc_id").alias("class_id"),
+    out = base.filter("n > 0").select("doc_id", "key").join(per_text, "key").select(
+        "doc_id", "key", "class_key", "class_id", "n_links")
+    empty = base.filter("n = 0").select("doc_id", "key", F.lit(None).cast("binary").alias("class_key"), F.col("doc_id").alias("class_id"),
                                         F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(empty)
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of every class of ``docs`` (doc_id, text and any others), with all
+    its columns: the one with the least doc_id, then key. Texts without words
+    all stay; of rows with equal id and words one stays, whichever."""
+    rows = stored(classes(docs, threshold), "classes")
+    heads = (rows.filter("class_key is not null").groupBy("class_key")
+             .agg(F.min(F.struct("doc_id", "key")).alias("h")).select("h.doc_id", "h.key"))
+    heads = heads.unionByName(rows.filter("class_key is null").select("doc_id", "key")).distinct()
+    heads = heads.select(F.col("doc_id").alias("_head_id"), F.col("key").alias("_head_key"))
+    many = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1 or doc_id is null").limit(1).count()
+    if not many:  # an id names a row, so the id decides
+        return docs.join(heads, F.col("doc_id") == F.col("_head_id"), "left_semi").select(*docs.columns)
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_key", T.BinaryType()), T.StructField("_some", T.BooleanType())])
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [plain(t) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([text_key(t) for t in texts], pa.binary()),
+                 pa.array([bool(t.split()) for t in texts], pa.bool_())], [*batch.schema.names, "_key", "_some"])
+
+    kept = docs.mapInArrow(keyed, schema).join(
+        heads, F.col("doc_id").eqNullSafe(F.col("_head_id")) & (F.col("_key") == F.col("_head_key")), "left_semi")
+    once = kept.filter("_some").dropDuplicates(["doc_id", "_key"]).unionByName(kept.filter("not _some"))
+    return once.select(*docs.columns)

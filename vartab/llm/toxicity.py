@@ -82,6 +82,20 @@ class Matcher:
         return float(sum(self.weights[k] for *_, k in found)), len(found), len(words)
 
 
+class Scorer:
+    """Lexicon, exceptions and curve together."""
+
+    def __init__(self, weights: dict[str, float], curve: np.ndarray, exceptions: tuple[str, ...] = EXCEPTIONS):
+        self.matcher, self.curve = Matcher(weights, exceptions), curve
+
+    def measure(self, texts: list[str | None]) -> tuple[np.ndarray, list[int], list[int]]:
+        """(scores, matches, words) of some texts."""
+        got = [self.matcher.measure(t) for t in texts]
+        total, matches, words = zip(*got, strict=True) if got else ((), (), ())
+        line = features(np.array(total, float), np.array(words, float)) @ self.curve
+        return 1 / (1 + np.exp(-np.clip(line, -50, 50))), list(matches), list(words)
+
+
 def features(total: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Intercept, damped weight sum, and weight per hundred words."""
     return np.stack([np.ones(len(total)), np.log1p(total), np.log1p(100.0 * total / np.maximum(words, 1))], axis=1)
@@ -169,9 +183,30 @@ def score(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, threshold: flo
     ten labelled rows of each class a fixed general lexicon is used; an empty
     table gives no rows. Other columns are not read."""
     weights, curve = learn(docs, labels, size)
-    rows = _measured(docs.select("doc_id", "text"), weights, ["doc_id"])
-    density = F.log1p(F.col("total") * 100.0 / F.greatest(F.col("words"), F.lit(1)))
-    line = F.lit(float(curve[0])) + F.lit(float(curve[1])) * F.log1p("total") + F.lit(float(curve[2])) * density
-    out = rows.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-line)))
-    return out.select("doc_id", held_out().alias("held_out"), "score",
-                      (F.col("score") >= threshold).cast("int").alias("predicted"), "matches", "words")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(weights, curve)
+        for batch in batches:
+            scores, matches, words = scorer.measure(batch["text"].to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(scores, pa.float64()), pa.array(scores >= threshold, pa.bool_()).cast(pa.int32()),
+                 pa.array(matches, pa.int64()), pa.array(words, pa.int64())],
+                ["doc_id", "score", "predicted", "matches", "words"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, score double, predicted int, matches long, words long")
+    return rows.select("doc_id", held_out().alias("held_out"), "score", "predicted", "matches", "words")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that ``score`` puts below the threshold, with all
+    their columns; cases as there."""
+    weights, curve = learn(docs, labels, size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(weights, curve)
+        for batch in batches:
+            scores, _, _ = scorer.measure(batch["text"].to_pylist())
+            yield batch.filter(pa.array(scores < threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
