@@ -23,12 +23,13 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHE_WORDS = 1_000_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 ROWS_PER_QUERY = 1 << 20  # positions stay below 2**21 unless one word is longer
 LONG_WORD = 100
 
@@ -37,15 +38,15 @@ ENCODE_SQL = """
 WITH RECURSIVE step(word, pos, id, done) AS (
     SELECT word, pos, id, false FROM start
     UNION ALL
-    SELECT n.word, n.pos, CASE WHEN least.key & 2097151 = n.pos THEN (least.key >> 21)::INT ELSE n.id END,
-           least.key IS NULL
-    FROM (SELECT word, pos, id, lag(pos) OVER (PARTITION BY word ORDER BY pos) AS before FROM step WHERE NOT done) n
-    LEFT JOIN (
+    (WITH rows AS MATERIALIZED (
+        SELECT word, pos, id, lag(pos) OVER w AS before, lead(id) OVER w AS next_id
+        FROM step WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)),
+    least AS (
         SELECT word, min(m.merged::BIGINT << 21 | pos) AS key
-        FROM (SELECT word, pos, id, lead(id) OVER (PARTITION BY word ORDER BY pos) AS next_id FROM step WHERE NOT done) p
-        JOIN merges m ON m.pair = (p.id::BIGINT << 20 | p.next_id)
-        GROUP BY word) least ON least.word = n.word
-    WHERE least.key IS NULL OR n.before IS NULL OR n.before <> (least.key & 2097151))
+        FROM rows r JOIN merges m ON m.pair = (r.id::BIGINT << 20 | r.next_id) GROUP BY word)
+    SELECT r.word, r.pos, CASE WHEN key & 2097151 = r.pos THEN (key >> 21)::INT ELSE r.id END, key IS NULL
+    FROM rows r LEFT JOIN least ON least.word = r.word
+    WHERE key IS NULL OR r.before IS NULL OR r.before <> (key & 2097151)))
 SELECT pos, id FROM step WHERE done ORDER BY pos
 """
 # The same for long words, which need fewer steps this way: all pairs of the
@@ -99,7 +100,7 @@ class Vocabulary:
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("a byte-level vocabulary has all 256 bytes")
         self._words = regex.compile(self.pattern)
-        self._wide, self._cut = regex.compile(r"\s\s|^\s|\s$"), regex.compile(r"(?<=\S) (?=\S)")
+        self._wide, self._cut = regex.compile(r" \s|\s "), regex.compile(r"(?<=\S) (?=\S)")
         self._byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self._joins = np.zeros(1 << 16, bool)  # byte pairs that some token holds
         pairs, merged = [], []
@@ -159,36 +160,61 @@ class Vocabulary:
                 out.update(zip(pending[at - len(part):at], self._contract(part, query), strict=True))
         return out
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: list[str]) -> None:
         """Puts the ids of chunks (runs of words), and of their words, into the cache."""
         if len(self._cache) + len(chunks) > self.cache_words:
             self._cache = {}
-        split = {c: self._words.findall(c) for c in chunks}
-        cache = self._cache
-        cache.update(self._word_ids(set().union(*split.values()).difference(cache)))
-        for chunk, words in split.items():
-            if len(words) != 1:
-                cache[chunk] = b"".join(map(cache.__getitem__, words))
-
-    def _chunks(self, text: str) -> list[str]:
-        """A text cut where a word surely starts: before a space between two
-        characters that are not white space, if the pattern has that property."""
-        if not self.space_starts_word or self._wide.search(text):
-            return [text[a:b] for a, b in _bounds(text, self._cut)] if self.space_starts_word else [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + r for r in rest]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Token ids of each text, as little-endian unsigned 32-bit integers."""
+        cache, words, split = self._cache, set(), {}
+        for c in chunks:
+            # letters of the Latin blocks after an optional space are surely one word
+            if self.space_starts_word and c[1:].isalpha() and max(c) < "\u0250" and (c[0] == " " or c[0].isalpha()):
+                words.add(c)
+            else:
+                split[c] = self._words.findall(c)
+        words.update(*split.values())
+        cache.update(self._word_ids(words.difference(cache)))
+        for chunk, parts in split.items():
+            if len(parts) != 1:
+                cache[chunk] = b"".join(map(cache.__getitem__, parts))
+
+    def _marked(self, texts: list[str]) -> tuple[list[str], str]:
+        """The texts with a sign, found in none of them, where a word surely
+        starts: before a space between two characters that are not white space."""
+        joined = "".join(texts)
+        sign = next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in joined)
+        if not self.space_starts_word:
+            return texts, sign
+        cut = sign + " "
+        return [self._cut.sub(cut, t) if self._wide.search(t) else t.replace(" ", cut) for t in texts], sign
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each text)."""
         if self._con is None:
             self._open()
-        cut = [self._chunks(t) for t in texts]
-        every = set().union(*cut)
-        if new := every.difference(self._cache):
+        marked, sign = self._marked(texts)
+        chunks = pc.split_pattern(pa.array(marked, pa.large_string()), sign)
+        coded = chunks.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        cache = self._cache
+        if new := [c for c in distinct if c not in cache]:
             self._learn(new)
-            if gone := every.difference(self._cache):  # the cache was full and began anew
+            cache = self._cache
+            if gone := [c for c in distinct if c not in cache]:  # the cache was full and began anew
                 self._learn(gone)
-        return [b"".join(map(self._cache.__getitem__, chunks)) for chunks in cut]
+                cache = self._cache
+        ids = [cache[c] for c in distinct]
+        flat, size = np.frombuffer(b"".join(ids), "<u4"), np.array([len(i) // 4 for i in ids], np.int32)
+        begin, code = np.cumsum(size, dtype=np.int32) - size, coded.indices.to_numpy()
+        count = size[code]
+        upto = np.concatenate([[0], np.cumsum(count, dtype=np.int32)])
+        out = flat[np.repeat(begin[code] - upto[:-1], count) + np.arange(upto[-1], dtype=np.int32)]
+        return out, np.diff(upto[chunks.offsets.to_numpy()])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Token ids of each text, as little-endian unsigned 32-bit integers."""
+        ids, counts = self.encode_flat(texts)
+        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that each sequence of ids stands for, by DECODE_SQL."""
@@ -208,14 +234,6 @@ class Vocabulary:
         return out
 
 
-def _bounds(text: str, cut) -> Iterator[tuple[int, int]]:
-    at = 0
-    for m in cut.finditer(text):
-        yield at, m.start()
-        at = m.start()
-    yield at, len(text)
-
-
 def _slices(texts: list[str], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of texts of at most about ``most`` characters, one text at least."""
     at = 0
