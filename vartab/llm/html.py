@@ -178,8 +178,13 @@ def classify(blocks: list[Block]) -> list[Block]:
 
 
 def main_text(page: str | None) -> str:
-    """The good blocks of a page, joined by one space."""
+    """The good blocks of a page, joined by one space; of a page without any, all
+    that are neither boilerplate by their container nor mostly links."""
     blocks = classify(blocks_of(page or ""))
+    if not any(b.verdict == "good" for b in blocks):
+        for b in blocks:
+            if not b.boilerplate and b.links <= LINKS_HIGH * len(b.text):
+                b.verdict = "good"
     if any(b.main and b.verdict == "good" for b in blocks):  # the page says where its text is
         blocks = [b for b in blocks if b.main]
     return " ".join(b.text for b in blocks if b.verdict == "good")

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vartab.llm.common import text_or_empty
+from vartab.llm.common import fresh, text_or_empty
 
 # The contract's patterns. A failing (too short) access or hex
 # match is a whole run, so the least length can stand in the pattern; a failing
@@ -196,13 +196,14 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
     All columns and their order stay; a text without spans, a null one included,
     is returned as it was."""
     text = text_or_empty(text_col)
-    work = with_spans(docs, text_col, "_secret_base", "_secret_spans")
+    base, spans = fresh(docs, "_secret_base"), fresh(docs, "_secret_spans")
+    work = with_spans(docs, text_col, base, spans)
     blank = F.aggregate(
-        "_secret_spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
+        spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
         lambda s, x: F.struct(
             F.greatest(s["at"], x["end"]).alias("at"),
             F.when((x["start"] < s["at"]) & (s["at"] > 0), s["parts"]).otherwise(F.concat(s["parts"], F.array(
                 F.concat(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark))))).alias("parts")),
         lambda s: F.concat(F.concat_ws("", s["parts"]), F.substring(text, s["at"] + 1, F.length(text))))
-    cleaned = F.when(F.size("_secret_spans") > 0, blank).otherwise(F.col(text_col))
+    cleaned = F.when(F.size(spans) > 0, blank).otherwise(F.col(text_col))
     return work.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns])
