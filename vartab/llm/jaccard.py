@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vartab.llm.common import stored
+from vartab.llm.common import fresh, stored
 from vartab.llm.graph import components
 from vartab.llm.words import hash_windows, hash_words, mix
 
@@ -366,21 +366,22 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     heads = (rows.filter("class_key is not null").groupBy("class_key")
              .agg(F.min(F.struct("doc_id", "key")).alias("h")).select("h.doc_id", "h.key"))
     heads = heads.unionByName(rows.filter("class_key is null").select("doc_id", "key")).distinct()
-    heads = heads.select(F.col("doc_id").alias("_head_id"), F.col("key").alias("_head_key"))
+    head_id, head_key, key, some = (fresh(docs, c) for c in ("_head_id", "_head_key", "_key", "_some"))
+    heads = heads.select(F.col("doc_id").alias(head_id), F.col("key").alias(head_key))
     many = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1 or doc_id is null").limit(1).count()
     if not many:  # an id names a row, so the id decides
-        return docs.join(heads, F.col("doc_id") == F.col("_head_id"), "left_semi").select(*docs.columns)
+        return docs.join(heads, F.col("doc_id") == F.col(head_id), "left_semi").select(*docs.columns)
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_key", T.BinaryType()), T.StructField("_some", T.BooleanType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(key, T.BinaryType()), T.StructField(some, T.BooleanType())])
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [plain(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([text_key(t) for t in texts], pa.binary()),
-                 pa.array([bool(t.split()) for t in texts], pa.bool_())], [*batch.schema.names, "_key", "_some"])
+                 pa.array([bool(t.split()) for t in texts], pa.bool_())], [*batch.schema.names, key, some])
 
     kept = docs.mapInArrow(keyed, schema).join(
-        heads, F.col("doc_id").eqNullSafe(F.col("_head_id")) & (F.col("_key") == F.col("_head_key")), "left_semi")
-    once = kept.filter("_some").dropDuplicates(["doc_id", "_key"]).unionByName(kept.filter("not _some"))
+        heads, F.col("doc_id").eqNullSafe(F.col(head_id)) & (F.col(key) == F.col(head_key)), "left_semi")
+    once = kept.filter(F.col(some)).dropDuplicates(["doc_id", key]).unionByName(kept.filter(~F.col(some)))
     return once.select(*docs.columns)
