@@ -328,7 +328,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
                 ["key", "shingles"])
 
     texts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(once, "key binary, words binary")
-    shingles = (texts.join(comps.select(F.col("node").alias("key")), "key").dropDuplicates(["key"])
+    # one plan at every size: both sides meet by key, few candidates are not broadcast
+    shingles = (texts.join(comps.select(F.col("node").alias("key")).hint("merge"), "key").dropDuplicates(["key"])
                 .mapInArrow(sets, "key binary, shingles binary"))
     full = wanted.join(shingles, "key").withColumnRenamed("label", "comp_key")
     full = _tiled(full.withColumn("comp", F.xxhash64("comp_key")), "members", component_chunk, "key")
