@@ -9,13 +9,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from vartab import operators as ops
 from vartab import sinks
 from vartab.plans import inputs as I
 from vartab.plans import queries as Q
 from vartab.plans.fixtures import Fixtures
+from vartab.plans.queries import QUERIES
 
 
 def _plan(df):
@@ -100,16 +100,46 @@ def test_overwrite_drops_stale_partitions(spark):
 def test_broadcast_only_below_bound(spark):
     small = spark.range(10)
     assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    hinted = ops.broadcast_if_small(small, 100)
+    assert ops.measured_bytes(small) == 10 * 40  # a long and the row overhead
+    wide = spark.createDataFrame([("x" * 100, None)], "a string, b binary")
+    assert ops.measured_bytes(wide) == 32 + 116 + 16
+    hinted = ops.broadcast_if_small(small, 400)
     assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    plain = ops.broadcast_if_small(small, 5)
+    plain = ops.broadcast_if_small(small, 399)
     assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
 
 
-@pytest.mark.parametrize("name", ["base_table", "e2g", "near_gene", "combine_all", "nmd_rules",
-                                  "splice_lookup", "canonical_pick", "score_lookup"])
+def test_measuring_never_meets_in_one_task(spark, monkeypatch):
+    seen = []
+    from pyspark.sql.classic.dataframe import DataFrame
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: (seen.append(_plan(self)), collect(self))[1])
+    ops.measured_bytes(spark.range(0, 1000, 1, 20))
+    assert seen and all("SinglePartition" not in p for p in seen)
+
+
+def test_csq_is_extracted_and_split_once(spark, fx):
+    plan = _plan(ops.explode_csq(I.vcf_rows(fx).select("*")))
+    below = plan[plan.index("Generate"):]
+    assert below.count("regexp_extract") == 1 and "Filter" not in below.split("Scan")[0].split("Generate", 1)[1].split("Project")[0]
+
+
+def test_near_gene_joins_no_pairs(spark, fx):
+    plan = _plan(ops.near_gene(fx.fx_variant, I.transcripts(fx), I.exons(fx), 1000, broadcast_bytes=None))
+    assert "variant_id" not in " ".join(ln for ln in plan.splitlines() if "Join" in ln)
+
+
+def test_lookup_prunes_partitions(spark, fx, tmp_out):
+    sinks.compact_scores(fx.fx_splice, tmp_out)
+    from vartab import sources
+    few = fx.fx_variant.filter("chrom = 'chr2'")
+    plan = _plan(ops.lookup_scores(few, {"s": (sources.read_score_files(spark, tmp_out), ["AbSplice2_max"])}, prune=True))
+    assert "PartitionFilters: [cast(chrom" in plan or "PartitionFilters: [(chrom" in plan or "PartitionFilters: [isnotnull(chrom" in plan
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_products(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -152,3 +182,13 @@ def test_score_files_mixed_types_nested(spark, fx, tmp_out):
     assert dict(back.dtypes)["start"] == "bigint"
     assert back.exceptAll(s.select(*back.columns)).count() == 0
     assert back.count() == s.count()
+
+
+def test_sorted_export_is_in_order_and_verbatim(spark, tmp_out):
+    from vartab import sources
+
+    lines = ["chr2\ta\tgene\t5\t9\t.\t+\t.\tx \"1\";", "chr1\ta\tgene\t70\t90\t.\t-\t.\ty;", "chr1\ta\tgene\t9\t10\t.\t+\t.\t"]
+    sinks.write_text(spark.createDataFrame([(x,) for x in lines], "value string"), ["#h"], tmp_out + "/in")
+    sinks.sort_annotation(sources.read_gtf(spark, tmp_out + "/in", keep_line=True), ["#h"], tmp_out + "/out")
+    got = [r.value for r in spark.read.text(tmp_out + "/out").collect() if not r.value.startswith("#")]
+    assert got == [lines[2], lines[1], lines[0]]

@@ -161,7 +161,7 @@ def test_t13_t14_prefix_and_fan_out(spark):
     out = ops.combine(base, e2g=e2g)
     assert "e2g_e2g_score" in out.columns and "e2g_target_gene_name" in out.columns
     assert out.count() == 2
-    assert ops.assert_unique(e2g, ["variant_id", "target_gene_id"]).count() == 1
+    assert ops.repeated_keys(e2g, ["variant_id", "target_gene_id"]).count() == 1
 
 
 def test_t15_t16_toggles_drop_metadata_miss_and_sv(spark):

@@ -84,6 +84,7 @@ def has_tag(attr: ColumnOrName, tag: str) -> Column:
 
 def paren_score(c: ColumnOrName) -> Column:
     """'deleterious(0.03)' -> 0.03; no number -> NULL."""
+    # Fixed value: the pattern of a score in parentheses.
     return F.regexp_extract(_c(c), r"\(([0-9.eE+-]+)\)", 1).try_cast("double")
 
 

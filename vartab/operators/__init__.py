@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators. None of them runs a job, except the
 size check behind ``broadcast_if_small``."""
 
-from vartab.operators.combine import assert_unique, combine  # noqa: F401
+from vartab.operators.combine import combine, repeated_keys  # noqa: F401
 from vartab.operators.consequence import (  # noqa: F401
     BASE_COLUMNS, base_table, csq_entries, explode_csq, union_tracks,
 )
@@ -13,9 +13,9 @@ from vartab.operators.funnel import (  # noqa: F401
 )
 from vartab.operators.genes import gene_ids, gene_version_map, map_gene_versions  # noqa: F401
 from vartab.operators.interval import interval_bins, interval_join  # noqa: F401
-from vartab.operators.joins import broadcast_if_small  # noqa: F401
+from vartab.operators.joins import broadcast_if_small, measured_bytes  # noqa: F401
 from vartab.operators.metadata import (  # noqa: F401
-    canonical_picks, gtf_attributes, transcript_metadata,
+    canonical_picks, exons_from_gtf, gtf_attributes, transcript_metadata, transcripts_from_gtf,
 )
 from vartab.operators.near_gene import near_gene  # noqa: F401
 from vartab.operators.nmd import exon_offsets, nmd_rules, tidy_nmd  # noqa: F401

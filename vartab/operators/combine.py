@@ -19,9 +19,9 @@ E2G_PREFIX = "e2g_"
 SPLICE_DROP = {"variant_id", "gene"}
 
 
-def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs more than once (empty = unique).
-    Part tables are not required to be unique; duplicates fan out."""
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of ``df`` that occur more than once, with their count. Part
+    tables are not required to be unique; duplicates fan out."""
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
@@ -29,13 +29,13 @@ COPARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None = None,
-            e2g: DataFrame | None = None, splice: DataFrame | None = None, *,
-            protein_coding_only: bool = False, canonical_only: bool = False,
+            e2g: DataFrame | None = None, splice: DataFrame | None = None,
+            scores: DataFrame | None = None, *, protein_coding_only: bool = False, canonical_only: bool = False,
             copartition: int | None = None) -> DataFrame:
     """Base rows (+ consequence one-hots, int, NULL -> 0), left-joined with
     any subset of the parts: VEP and NMD on (variant_id, transcript), E2G
-    and splice on (variant_id, gene). Toggles filter base rows (Spark
-    pushes them to the scan).
+    and splice on (variant_id, gene), site scores on variant_id. Toggles
+    filter base rows (Spark pushes them to the scan).
 
     Default layout: transcript-keyed parts are joined first so both share
     one shuffle of the base, then the gene-keyed ones (two base shuffles);
@@ -68,7 +68,6 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
         return out.join(right, keys, "left")
 
     if vep is not None:
-        # the base owns Consequence and its one-hots for every variant type
         out = attach(out, vep, VEP_DROP, ["variant_id", "transcript"],
                      {"variant_id": "variant_id", "Feature": "transcript"},
                      drop_prefix="Consequence")
@@ -81,5 +80,7 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
     if splice is not None:
         out = attach(out, splice, SPLICE_DROP, ["variant_id", "gene"],
                      {"variant_id": "variant_id", "gene": "gene"})
+    if scores is not None:
+        out = attach(out, scores, {"variant_id"}, ["variant_id"], {"variant_id": "variant_id"})
     named = {f"Consequence_{t}": c for t, c in zip(CONSEQUENCE_TERMS, onehots)}
     return out.select(*[named.get(c, F.col(c)) for c in order])

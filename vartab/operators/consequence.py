@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vartab.functions import field, int_field, nullif_empty, small_variant_type
-from vartab.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from vartab.operators.joins import BROADCAST_MAX_BYTES, broadcast_if_small
 
 # 1-based positions of the CSQ fields that are kept.
 CSQ_FIELDS = {
@@ -22,6 +22,7 @@ _ANN_ORDER = ["variant_id", "chrom", "start", "ref", "alt", "variant_type", "gen
               "cdna_position", "cds_position", "protein_position", "amino_acids", "codons",
               "strand", "ensp"]
 
+# Columns of the base table, in output order.
 BASE_COLUMNS = ["variant_id", "chrom", "start", "ref", "alt", "variant_type", "gene", "symbol",
                 "transcript", "gene_type", "biotype", "canonical", "tsl", "consequence",
                 "impact", "distance", "exon", "intron", "hgvsc", "hgvsp", "ensp",
@@ -35,11 +36,12 @@ def csq_entries(vcf: DataFrame) -> DataFrame:
     ``-`` or missing) are dropped."""
     keys = ["variant_id", "chrom", "start", "ref", "alt"]
     csq = F.regexp_extract(F.col("info"), r"CSQ=([^;]*)", 1)
-    return (vcf.select(*keys, csq.alias("csq"))
-            .filter(F.col("csq") != "")
-            .select(*keys, F.explode(F.split(F.col("csq"), ",", -1)).alias("entry"))
-            .select(*keys, F.split(F.col("entry"), r"\|", -1).alias("p"))
-            .filter(field("p", CSQ_FIELDS["gene"]) != "-"))
+    # Without a payload the one entry has no gene, so the array is empty and
+    # explode yields nothing: no filter below repeats the extraction, and each
+    # entry is split once.
+    gene = CSQ_FIELDS["gene"] - 1
+    entries = F.transform(F.split(csq, ",", -1), lambda e: F.split(e, r"\|", -1))
+    return vcf.select(*keys, F.explode(F.filter(entries, lambda p: F.get(p, F.lit(gene)) != "-")).alias("p"))
 
 
 def explode_csq(vcf: DataFrame, track: str = "small") -> DataFrame:
@@ -70,11 +72,11 @@ def union_tracks(small: DataFrame, sv: DataFrame | None = None) -> DataFrame:
 
 
 def base_table(small: DataFrame, sv: DataFrame | None, metadata: DataFrame,
-               broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_bytes: int | None = BROADCAST_MAX_BYTES) -> DataFrame:
     """The base table: exploded CSQ rows of both tracks, left-joined to
     transcript metadata on the transcript id (27 columns)."""
     ann = union_tracks(small, sv)
     meta = metadata.select(F.col("transcript_id").alias("transcript"), "symbol", "gene_type",
                            "biotype", "canonical", "tsl")
-    return (ann.join(broadcast_if_small(meta, broadcast_rows), "transcript", "left")
+    return (ann.join(broadcast_if_small(meta, broadcast_bytes), "transcript", "left")
             .select(*BASE_COLUMNS))

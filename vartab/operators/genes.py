@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vartab.functions import attr_value, strip_version
-from vartab.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from vartab.operators.joins import BROADCAST_MAX_BYTES, broadcast_if_small
 
 
 def gene_ids(gtf_genes: DataFrame, attr: str = "attributes") -> DataFrame:
@@ -32,7 +32,7 @@ def gene_version_map(gtf_genes: DataFrame, fan_out: bool = False,
 
 
 def map_gene_versions(df: DataFrame, gene_map: DataFrame, col: str, out: str | None = None,
-                      broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                      broadcast_bytes: int | None = BROADCAST_MAX_BYTES) -> DataFrame:
     """Replace unversioned ids in ``col`` by the versioned id when the map
     has one, else keep the original (left join + coalesce).
 
@@ -40,6 +40,6 @@ def map_gene_versions(df: DataFrame, gene_map: DataFrame, col: str, out: str | N
     gene that owns a large share of ``df`` never lands in a single task."""
     out = out or col
     m = gene_map.select(F.col("gene_id_unversioned").alias("_gu"), F.col("gene_id").alias("_gv"))
-    m = broadcast_if_small(m, broadcast_rows)
+    m = broadcast_if_small(m, broadcast_bytes)
     j = df.join(m, df[col] == m["_gu"], "left")
     return j.withColumn(out, F.coalesce(F.col("_gv"), F.col(col))).drop("_gu", "_gv")

@@ -35,7 +35,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
                   point_pos: str = "pos", interval_chrom: str = "chrom",
                   start: str = "start", end: str = "end",
                   bin_size: int | None = DEFAULT_BIN, how: str = "inner",
-                  broadcast_rows: int | None = None) -> DataFrame:
+                  broadcast_bytes: int | None = None) -> DataFrame:
     """All (point, interval) pairs with chrom equal and start <= pos < end.
 
     Column names of the two inputs must be distinct apart from
@@ -49,9 +49,9 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
     tasks of the other side. By default both sides are shuffled on
     (chrom, bin) with a sort-merge join (pinned by a hint, so adaptive
     execution cannot broadcast the points), and a skewed partition (a
-    dense bin) is split by adaptive skew handling. With ``broadcast_rows``
-    the binned intervals are broadcast when a bounded count proves them
-    small; the count runs the interval side's plan once more, so pass it
+    dense bin) is split by adaptive skew handling. With ``broadcast_bytes``
+    the binned intervals are broadcast when measured to be small; the
+    measurement runs the interval side's plan once more, so pass it
     only when that side is a cheap scan (e.g. transcripts of a GTF).
     """
     same = point_chrom == interval_chrom
@@ -67,7 +67,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
         iv = interval_bins(iv, start, end, bin_size, "_ibin")
         cond = ((p[point_chrom] == iv[ichrom]) & (p["_bin"] == iv["_ibin"])
                 & (p[point_pos] >= iv[start]) & (p[point_pos] < iv[end]))
-    small = broadcast_if_small(iv, broadcast_rows)
+    small = broadcast_if_small(iv, broadcast_bytes)
     if small is iv:
         p = p.hint("merge")
     out = p.join(small, cond, how)

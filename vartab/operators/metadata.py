@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vartab.functions import attr_value, has_tag, nullif_empty
@@ -58,3 +58,32 @@ def transcript_metadata(gtf_transcripts: DataFrame, attr: str = "attributes") ->
             .select("transcript_id", "gene_id", "symbol", "gene_type", "biotype",
                     tsl.alias("tsl"), "appris", "mane_select", "basic", "ccds", "principal",
                     canonical.alias("canonical")))
+
+
+def _strand(c: Column) -> Column:
+    return F.when(c == "-", F.lit(-1)).otherwise(F.lit(1))
+
+
+def transcripts_from_gtf(gtf: DataFrame, attr: str = "attributes") -> DataFrame:
+    """GTF rows -> (transcript_id, chrom, tx_start, tx_end, strand) of its
+    transcripts: half-open 0-based positions, strand 1 or -1."""
+    t = gtf.filter(F.col("feature") == "transcript")
+    return t.select(attr_value(F.col(attr), "transcript_id").alias("transcript_id"), F.col("seqname").alias("chrom"),
+                    (F.col("start") - 1).alias("tx_start"), F.col("end").alias("tx_end"),
+                    _strand(F.col("strand")).alias("strand"))
+
+
+def exons_from_gtf(gtf: DataFrame, attr: str = "attributes") -> DataFrame:
+    """GTF rows -> (transcript_id, chrom, exon_number, n_exons, exon_start,
+    exon_end) of its exons. Numbers are the file's (``exon_number 3`` or
+    ``exon_number "3"``); where it has none, exons are counted along the
+    transcript. A transcript has a bounded number of exons, so each window
+    partition is small."""
+    e = gtf.filter(F.col("feature") == "exon").select(
+        attr_value(F.col(attr), "transcript_id").alias("transcript_id"), F.col("seqname").alias("chrom"),
+        (F.col("start") - 1).alias("exon_start"), F.col("end").alias("exon_end"), _strand(F.col("strand")).alias("_s"),
+        F.regexp_extract(F.col(attr), r'exon_number "?([0-9]+)', 1).try_cast("int").alias("_n"))
+    along = Window.partitionBy("transcript_id").orderBy(F.col("_s") * F.col("exon_start"))
+    whole = Window.partitionBy("transcript_id")
+    return e.select("transcript_id", "chrom", F.coalesce("_n", F.row_number().over(along)).alias("exon_number"),
+                    F.count(F.lit(1)).over(whole).cast("int").alias("n_exons"), "exon_start", "exon_end")

@@ -2,84 +2,110 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vartab.functions import strip_chr as _strip_chr
-from vartab.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from vartab.operators.joins import BROADCAST_MAX_BYTES, broadcast_if_small
 
 SITE_KEYS = ("chrom", "start", "ref", "alt")
 SPLICE_COLUMNS = ["variant_id", "gene", "AbSplice_DNA_max", "AbSplice2_max"]
+_MOST_CHROMOSOMES = 1000
 
 
-# Largest variant side (rows) broadcast against a site-score table.
-VARIANTS_BROADCAST_ROWS = 1_000_000
+def site_keys(df: DataFrame, strip_chr: bool = False) -> list:
+    """The site columns with one type on every side of a lookup: text and
+    bigint, the chromosome without ``chr`` if asked for."""
+    chrom = F.col("chrom").cast("string")
+    return [(_strip_chr(chrom) if strip_chr else chrom).alias("chrom"),
+            F.col("start").cast("bigint").alias("start"),
+            F.col("ref").cast("string").alias("ref"), F.col("alt").cast("string").alias("alt")]
+
+
+def on_chromosomes_of(scores: DataFrame, sites: DataFrame, strip_chr: bool = False) -> DataFrame:
+    """``scores`` without the chromosomes that no site is on: a literal list, so
+    that a table partitioned by ``chrom`` is pruned when it is planned. A reference
+    with more sequences than ``_MOST_CHROMOSOMES`` is read whole."""
+    chrom = F.col("chrom").cast("string")
+    key = _strip_chr(chrom) if strip_chr else chrom
+    found = [r["c"] for r in sites.select(key.alias("c")).distinct().limit(_MOST_CHROMOSOMES + 1).collect()
+             if r["c"] is not None]
+    if len(found) > _MOST_CHROMOSOMES:
+        return scores
+    if strip_chr:  # both spellings, so that the test stays on the column itself
+        found = [c for f in found for c in (f, f"chr{f}")]
+    return scores.filter(chrom.isin(found))
 
 
 def splice_lookup(variants: DataFrame, scores: DataFrame, gene_pairs: DataFrame,
-                  strip_chr: bool = False, broadcast_rows: int | None = BROADCAST_MAX_ROWS,
-                  variants_broadcast_rows: int | None = VARIANTS_BROADCAST_ROWS
-                  ) -> DataFrame:
+                  strip_chr: bool = False, broadcast_bytes: int | None = BROADCAST_MAX_BYTES,
+                  prune: bool = False) -> DataFrame:
     """Per-(variant, gene) splice scores: inner join on the site, then the
     unversioned gene id is versioned through ``gene_pairs`` (every pair, so
     an id shared by two versioned genes yields two rows), falling back to
     the unversioned id. Chromosome names are compared as given unless
-    ``strip_chr``.
-
-    Site join: when a bounded count proves the variant side (the funnel's
-    sites) small, it is broadcast and the score table (billions of rows)
-    streams through without any shuffle; otherwise both sides shuffle on
-    the four keys (sites are unique, so no key is hot). The gene-pair map
-    is broadcast behind a size check because one gene can own a large
-    share of the score rows."""
-    v = variants.select("variant_id", "chrom", "start", "ref", "alt")
-    a = scores.select(F.col("chrom").cast("string").alias("chrom"),
-                      F.col("start").cast("bigint").alias("start"),
-                      F.col("ref").cast("string").alias("ref"),
-                      F.col("alt").cast("string").alias("alt"),
+    ``strip_chr``. ``prune``: read only the sites' chromosomes (one small job
+    over the variants, so pass stored ones).
+
+    Site join: when the variant side (the funnel's sites) is measured to be
+    small, it is broadcast and the score table (billions of rows) streams
+    through without any shuffle; otherwise both sides shuffle on the four
+    keys (sites are unique, so no key is hot). The gene-pair map is
+    broadcast behind a size check because one gene can own a large share of
+    the score rows. ``broadcast_bytes=None`` plans the shuffles."""
+    v = variants.select("variant_id", *site_keys(variants, strip_chr))
+    if prune:
+        scores = on_chromosomes_of(scores, variants, strip_chr)
+    a = scores.select(*site_keys(scores, strip_chr),
                       F.col("gene_id").cast("string").alias("gene_unversioned"),
                       "AbSplice_DNA_max", "AbSplice2_max")
-    if strip_chr:
-        v = v.withColumn("chrom", _strip_chr("chrom"))
-        a = a.withColumn("chrom", _strip_chr("chrom"))
-    hits = broadcast_if_small(v, variants_broadcast_rows).join(a, list(SITE_KEYS))
+    hits = broadcast_if_small(v, broadcast_bytes).join(a, list(SITE_KEYS))
     g = broadcast_if_small(gene_pairs.select(F.col("gene_id").alias("gene"),
                                              F.col("gene_id_unversioned").alias("gene_unversioned")),
-                           broadcast_rows)
+                           broadcast_bytes)
     return (hits.join(g, "gene_unversioned", "left")
             .select("variant_id", F.coalesce("gene", "gene_unversioned").alias("gene"),
                     "AbSplice_DNA_max", "AbSplice2_max"))
 
 
 def lookup_scores(variants: DataFrame, sources: Mapping[str, tuple[DataFrame, Sequence[str]] | None],
-                  keys: Sequence[str] = SITE_KEYS,
-                  variants_broadcast_rows: int | None = VARIANTS_BROADCAST_ROWS) -> DataFrame:
+                  strip_chr: bool = False, broadcast_bytes: int | None = BROADCAST_MAX_BYTES,
+                  prune: bool = False) -> DataFrame:
     """Left-join every configured site-score source onto the variants.
 
     ``sources`` maps a source name to ``(table, score_columns)`` or to None
     when the source is not configured (it is skipped, its columns absent).
-    A source with repeated keys repeats the variant's row, as any left join.
-
-    Score tables can be hundreds of GB. When a bounded count proves the
-    variant sites small, each table is first reduced by a LEFT SEMI join
-    against the broadcast sites (the table streams, nothing of it is
-    shuffled), and only the matching rows take part in the left join.
-    Otherwise each join shuffles on the site keys; the variant side keeps
-    that partitioning across sources.
+    A score column that several sources have comes out as ``source_column``.
+    Keys are compared as text and bigint; with ``strip_chr`` a ``chr1`` site
+    meets a ``1`` row. A source with repeated keys repeats the variant's row,
+    as any left join. ``prune`` as in ``splice_lookup``.
+
+    Score tables can be hundreds of GB. When the variant sites are measured
+    to be small, each table is first reduced by a LEFT SEMI join against the
+    broadcast sites (the table streams, nothing of it is shuffled), and only
+    the matching rows take part in the left join. Otherwise each join
+    shuffles on the site keys; the variant side keeps that partitioning
+    across sources.
     """
-    out = variants.select("variant_id", *keys)
+    keys = list(SITE_KEYS)
+    used = {name: src for name, src in sources.items() if src is not None}
+    times = Counter(c for _, cols in used.values() for c in cols)
+    out = variants.select("variant_id", *site_keys(variants, strip_chr))
     sites = out.select(*keys)
-    small = broadcast_if_small(sites, variants_broadcast_rows)
+    small = broadcast_if_small(sites, broadcast_bytes) if used else sites
     cols: list[str] = []
-    for _name, src in sources.items():
-        if src is None:
-            continue
-        table, score_cols = src
-        right = table.select(*keys, *score_cols)
+    for name, (table, score_cols) in used.items():
+        named = [c if times[c] == 1 else f"{name}_{c}" for c in score_cols]
+        if len(set(named) | set(cols) | {"variant_id"}) != len(named) + len(cols) + 1:
+            raise ValueError(f"score columns of {name} clash with others: {named}")
+        if prune:
+            table = on_chromosomes_of(table, variants, strip_chr)
+        right = table.select(*site_keys(table, strip_chr), *[F.col(c).alias(n) for c, n in zip(score_cols, named)])
         if small is not sites:
-            right = right.join(small, list(keys), "left_semi")
-        out = out.join(right, list(keys), "left")
-        cols += list(score_cols)
+            right = right.join(small, keys, "left_semi")
+        out = out.join(right, keys, "left")
+        cols += named
     return out.select("variant_id", *cols)

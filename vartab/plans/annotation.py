@@ -12,9 +12,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vartab import operators as ops
 from vartab import sinks, sources
+from vartab.session import work_dir
+
+SITE_TYPES = {"chrom": "string", "start": "bigint", "ref": "string", "alt": "string"}
 
 TOOLS = ("vep", "nmd", "e2g", "absplice")
 
@@ -31,6 +35,13 @@ class E2GConfig:
     bin_size: int = 10_000
 
 
+@dataclass
+class ScoreTable:
+    """A site-score table (chrom, start, ref, alt and score columns)."""
+    path: str
+    columns: list[str]
+
+
 @dataclass
 class AnnotationConfig:
     input_vcf: str | None = None
@@ -47,10 +58,19 @@ class AnnotationConfig:
     nmd_csv: str | list[str] | None = None
     e2g: E2GConfig | None = None
     absplice_result: str | None = None
+    score_tables: dict[str, ScoreTable] | None = None
     input_partitions: int | None = None
     export_funnel: bool = False
-
-    def validate(self) -> None:
+    strip_chr: bool = False
+
+    def validate(self, files: bool = False) -> None:
+        """``files``: also what a run from files needs."""
+        if files:
+            missing = [n for n in ("input_vcf", "gtf", "output_dir") if not getattr(self, n)]
+            if self.e2g is not None:
+                missing += [f"e2g.{n}" for n in ("predictions", "enhancers") if not getattr(self.e2g, n)]
+            if missing:
+                raise ValueError(f"missing configuration: {', '.join(missing)}")
         if self.distance < 0:
             raise ValueError("distance must be >= 0")
         if self.variants_per_chunk <= 0:
@@ -69,6 +89,7 @@ class Inputs:
     predictions: DataFrame | None = None
     enhancers: DataFrame | None = None
     splice_scores: DataFrame | None = None
+    scores: dict[str, tuple[DataFrame, list[str]]] | None = None
 
 
 def funnel(base: DataFrame, cfg: AnnotationConfig) -> DataFrame:
@@ -100,7 +121,9 @@ def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame,
     return {"paths": paths, "rows": counts}
 
 
-def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig) -> dict[str, DataFrame]:
+def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig, prune: bool = False) -> dict[str, DataFrame]:
+    """``prune``: ``filtered`` is stored, so the score tables' chromosomes may be
+    taken from it."""
     parts: dict[str, DataFrame] = {}
     if inp.vep is not None:
         parts["vep"] = ops.tidy_vep(inp.vep)
@@ -115,29 +138,33 @@ def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig) -> dict[
             distance_to_tss=e.distance_to_tss, bin_size=e.bin_size)
     if inp.splice_scores is not None:
         pairs = ops.gene_version_map(inp.gtf_genes, fan_out=True)
-        parts["absplice"] = ops.splice_lookup(filtered, inp.splice_scores, pairs)
+        parts["absplice"] = ops.splice_lookup(filtered, inp.splice_scores, pairs, cfg.strip_chr, prune=prune)
+    if inp.scores:
+        parts["scores"] = ops.lookup_scores(filtered, inp.scores, cfg.strip_chr, prune=prune)
     return parts
 
 
 def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None = None,
-                     checkpoint_base: bool = True) -> DataFrame:
+                     parts: dict[str, DataFrame] | None = None) -> DataFrame:
     """The combined table.
 
     The base table feeds both the funnel and the combine. When it is not
-    given (already persisted), it is built and, with ``checkpoint_base``,
-    checkpointed once into the shared checkpoint directory (reliable
-    storage, lineage cut) so the CSQ parse and explode run once, not twice.
+    given (already stored), it is built and written once as Parquet under
+    the shared checkpoint directory, so the CSQ parse and explode run once,
+    and what reads it scans only the columns and rows it needs.
     """
     cfg.validate()
     if base is None:
         meta = ops.transcript_metadata(inp.gtf_transcripts)
         base = ops.base_table(inp.small, inp.sv if cfg.include_sv else None, meta)
-        if checkpoint_base:
-            base = base.checkpoint(eager=True)
-    filtered = funnel(base, cfg)
-    parts = tool_parts(inp, filtered, cfg)
+        spark, path = base.sparkSession, work_dir(base.sparkSession, "base")
+        sinks.write_parquet(base, path)
+        base = spark.read.parquet(path)
+    if parts is None:
+        parts = tool_parts(inp, funnel(base, cfg), cfg)
     return ops.combine(base, parts.get("vep"), parts.get("nmd"), parts.get("e2g"),
-                       parts.get("absplice"), protein_coding_only=cfg.protein_coding_only,
+                       parts.get("absplice"), parts.get("scores"),
+                       protein_coding_only=cfg.protein_coding_only,
                        canonical_only=cfg.canonical_only)
 
 
@@ -155,32 +182,49 @@ def read_inputs(spark: SparkSession, cfg: AnnotationConfig) -> Inputs:
         enhancers=sources.read_parquet(spark, e2g.enhancers) if e2g else None,
         splice_scores=(sources.read_score_files(spark, cfg.absplice_result)
                        if cfg.absplice_result else None),
+        scores={n: (sources.read_score_files(spark, t.path, SITE_TYPES), t.columns)
+                for n, t in (cfg.score_tables or {}).items()} or None,
     )
 
 
+# What is counted of each stored part: distinct values of these columns.
+PART_COUNTS = {"vep": ["variant_id"], "nmd": ["variant_id"], "e2g": ["variant_id", "target_gene_id"],
+               "absplice": ["variant_id"], "scores": []}
+
+
 def annotate(spark: SparkSession, cfg: AnnotationConfig) -> dict:
-    """A full run. Writes ``transcript_metadata``, ``parts/base`` and the
-    hive-partitioned ``annotations`` under ``output_dir`` (plus the funnel
-    exports when ``export_funnel``); returns run metrics: row counts
-    observed during each write, and distinct variants / canonical rows of
-    the base (one scan of two columns of the written table)."""
-    cfg.validate()
+    """A full run. Writes, under ``output_dir``, every table that more than
+    one step reads or that a rerun could start from: the transcript and gene
+    tables, ``parts/base``, ``parts/filtered`` (the funnel's sites), one part
+    per tool, and the hive-partitioned ``annotations`` (plus the funnel
+    exports when ``export_funnel``). Returns run metrics: counts observed
+    during each write (``base_variants`` approximately, by HyperLogLog) and,
+    per part, distinct variants and genes (a scan of one stored column each)."""
+    cfg.validate(files=True)
     out = cfg.output_dir.rstrip("/")
     inp = read_inputs(spark, cfg)
-    meta_path, base_path = f"{out}/transcript_metadata.parquet", f"{out}/parts/base.parquet"
-    metrics = {"transcripts": sinks.write_parquet(ops.transcript_metadata(inp.gtf_transcripts),
-                                                  meta_path)["rows"]}
-    meta = spark.read.parquet(meta_path)
-    metrics["base_rows"] = sinks.write_parquet(ops.base_table(inp.small, inp.sv, meta),
-                                               base_path)["rows"]
-    base = spark.read.parquet(base_path)
-    summary = sinks.run_metrics(base, distinct=["variant_id"], flags=["canonical"]).first()
-    metrics["base_variants"] = summary["distinct_variant_id"]
-    metrics["base_canonical_rows"] = summary["n_canonical"]
+    metrics: dict = {}
+
+    def keep(df: DataFrame, name: str, label: str, more=None) -> DataFrame:
+        found = sinks.write_parquet(df, f"{out}/{name}.parquet", metrics=more)
+        metrics.update({f"{label}_{k}": v for k, v in found.items()})
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}.parquet")
+
+    meta = keep(ops.transcript_metadata(inp.gtf_transcripts), "transcript_metadata", "transcript", {
+        "canonical": F.count_if("canonical"), "mane": F.count_if("mane_select"), "symbol": F.count("symbol")})
+    inp.gtf_genes = keep(inp.gtf_genes.select("attributes"), "genes", "gene")
+    base = keep(ops.base_table(inp.small, inp.sv, meta), "parts/base", "base", {
+        "canonical_rows": F.count_if("canonical"), "variants": F.approx_count_distinct("variant_id", 0.01)})
     if cfg.export_funnel:
         header = sources.read_vcf_header(spark, cfg.input_vcf) or VCF_HEADER
         metrics["funnel"] = export_funnel(spark, inp.small, base, cfg, header)
-    metrics["rows"] = sinks.write_annotations(annotation_table(inp, cfg, base=base),
+    filtered = keep(funnel(base, cfg), "parts/filtered", "filtered")
+    parts = {}
+    for name, part in tool_parts(inp, filtered, cfg, prune=True).items():
+        parts[name] = keep(part, f"parts/{name}", name)
+        counts = sinks.distinct_counts(parts[name], PART_COUNTS[name])
+        metrics.update({f"{name}_{'genes' if 'gene' in c else 'variants'}": n for c, n in counts.items()})
+    metrics["rows"] = sinks.write_annotations(annotation_table(inp, cfg, base, parts),
                                               f"{out}/annotations.parquet")["rows"]
     return metrics
 

@@ -6,14 +6,38 @@ VEP and NMD are external programs; their outputs are inputs here, given as
 ``additional.vep.output`` (VEP tab files) and ``additional.nmd.output``
 (NMD CSV files). Keys that only steer scheduling or external programs
 (scratch, memory limits, threads, plugin paths, fasta/gff3) are accepted
-and ignored.
+and ignored; any other unknown key is an error, since a misspelt option
+would change the result silently. ``additional.scores`` names site-score
+tables: ``{name: {path: ..., columns: [...]}}``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from vartab.plans.annotation import TOOLS, AnnotationConfig, E2GConfig
+from vartab.plans.annotation import TOOLS, AnnotationConfig, E2GConfig, ScoreTable
+
+
+# The keys a configuration may have, by block.
+_KEYS = {
+    "": {"input_vcf", "sv_vcf", "output_dir", "chromosomes", "fasta", "gtf", "gff3", "assembly", "fastvep",
+         "additional", "input_partitions", "export_funnel", "strip_chr"},
+    "fastvep": {"distance", "protein_coding_only", "canonical_only", "include_sv", "scratch", "parse_memory_limit",
+                "parse_threads"},
+    "additional": {"variants_per_chunk", "vep", "nmd", "e2g", "absplice", "scores"},
+    "vep": {"enabled", "include_sv", "output", "distance", "plugin_dir", "fork", "plugin_data"},
+    "nmd": {"enabled", "include_sv", "output", "reassign_exons"},
+    "e2g": {"enabled", "include_sv", "predictions", "enhancers", "model", "score_threshold", "classes", "cell_types",
+            "distance_to_tss", "memory_limit", "threads"},
+    "absplice": {"enabled", "include_sv", "result"},
+    "score table": {"path", "columns"},
+}
+
+
+def _check_keys(block: str, given: Mapping | None) -> None:
+    unknown = set(given or {}) - _KEYS[block]
+    if unknown:
+        raise ValueError(f"unknown configuration keys{f' in {block}' if block else ''}: {sorted(unknown)}")
 
 
 def _glob_dir(path: str) -> str:
@@ -24,7 +48,14 @@ def _glob_dir(path: str) -> str:
 def from_mapping(cfg: Mapping) -> AnnotationConfig:
     fv = cfg.get("fastvep", {}) or {}
     add = cfg.get("additional", {}) or {}
+    _check_keys("", cfg)
+    _check_keys("fastvep", fv)
+    _check_keys("additional", add)
+    scores = add.get("scores") or {}
+    for table in scores.values():
+        _check_keys("score table", table)
     for tool in TOOLS:
+        _check_keys(tool, add.get(tool))
         if (add.get(tool) or {}).get("include_sv", False):
             raise ValueError(f"additional.{tool}.include_sv is not supported: "
                              "SV annotation is base-only")
@@ -54,6 +85,8 @@ def from_mapping(cfg: Mapping) -> AnnotationConfig:
         nmd_csv=add["nmd"]["output"] if enabled("nmd") else None,
         e2g=e2g,
         absplice_result=add["absplice"]["result"] if enabled("absplice") else None,
+        score_tables={n: ScoreTable(t["path"], list(t["columns"])) for n, t in scores.items()} or None,
+        strip_chr=bool(cfg.get("strip_chr", False)),
         input_partitions=cfg.get("input_partitions"),
         export_funnel=bool(cfg.get("export_funnel", False)),
     )

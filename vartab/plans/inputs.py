@@ -48,6 +48,16 @@ def gtf_gene_rows(fx: Fixtures) -> DataFrame:
                         F.lit(".").alias("frame"), attr.alias("attributes"))
 
 
+def gtf_exon_rows(fx: Fixtures) -> DataFrame:
+    x = fx.fx_exon.join(fx.fx_transcript.select("transcript_id", "strand"), "transcript_id")
+    attr = F.format_string('transcript_id "%s"; exon_number %d;', "transcript_id", "exon_number")
+    return x.select(F.col("chrom").alias("seqname"), F.lit("fixture").alias("source"),
+                    F.lit("exon").alias("feature"), (F.col("exon_start") + 1).alias("start"),
+                    F.col("exon_end").alias("end"), F.lit(".").alias("score"),
+                    _strand_sign(F.col("strand")).alias("strand"), F.lit(".").alias("frame"),
+                    attr.alias("attributes"))
+
+
 def gtf_lines(gtf: DataFrame) -> DataFrame:
     return gtf.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in gtf.columns])
                       .alias("value"))
@@ -106,8 +116,11 @@ def write_input_files(fx: Fixtures, root: str, **config):
     nmd.filter(F.col("chromosome") == "chr2").write.option("header", "true") \
         .csv(f"{root}/nmd/chunk_1.nmd.csv")
     pred = fx.fx_prediction
-    for c in ("1", "2", "3"):
+    known = ["1", "2"]
+    for c in known:
         pred.filter(F.col("chromosome") == c).write.parquet(f"{root}/predictions/{c}.parquet")
+    rest = ~F.coalesce(F.col("chromosome").isin(known), F.lit(False))
+    pred.filter(rest).write.parquet(f"{root}/predictions/others.parquet")
     fx.fx_enhancer.write.parquet(f"{root}/enhancers.parquet")
     s = fx.fx_splice
     s.filter(F.col("chrom") != "chr2").write.parquet(f"{root}/absplice/a/max_preds.parquet")

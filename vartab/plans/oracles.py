@@ -395,5 +395,35 @@ from (
 }
 
 
+_counts = {
+    "transcript_rows": "st_meta", "transcript_canonical": "st_meta where canonical", "transcript_mane": "st_meta where mane_select",
+    "transcript_symbol": "st_meta where symbol is not null", "gene_rows": "st_gtf_gene", "base_rows": "st_base",
+    "base_canonical_rows": "st_base where canonical", "filtered_rows": "st_fvcf_pc_canon", "vep_rows": "st_vep",
+    "nmd_rows": "st_nmd", "e2g_rows": "st_e2g_f_pc_canon", "absplice_rows": "st_splice_f_pc_canon",
+    "rows": f"({ORACLES['annotate']})", "stored_base": "st_base", "stored_filtered": "st_fvcf_pc_canon", "stored_vep": "st_vep",
+    "stored_nmd": "st_nmd", "stored_e2g": "st_e2g_f_pc_canon", "stored_absplice": "st_splice_f_pc_canon"}
+_distinct = {"vep_variants": ("variant_id", "st_vep"), "nmd_variants": ("variant_id", "st_nmd"),
+             "e2g_variants": ("variant_id", "st_e2g_f_pc_canon"), "e2g_genes": ("target_gene_id", "st_e2g_f_pc_canon"),
+             "absplice_variants": ("variant_id", "st_splice_f_pc_canon")}
+ORACLES["annotate_metrics"] = "select " + ", ".join(
+    [f"(select count(*) from {t}) as {n}" for n, t in _counts.items()]
+    + [f"(select count(*) from (select distinct {c} from {t})) as {n}" for n, (c, t) in _distinct.items()])
+ORACLES["annotate_scores"] = f"""
+select b.*, {ONEHOT_INT}, s.CADD_PHRED, s.CADD_raw
+from st_base b left join (
+    select v.variant_id, c.CADD_PHRED, c.CADD_raw
+    from st_fvcf v left join fx_cadd c
+      on v.chrom = c.chrom and v.start = c.start and v.ref = c.ref and v.alt = c.alt) s using (variant_id)"""
+
+
+# The same result by the plan that runs when nothing may be broadcast, and from
+# a compacted table.
+for _same, _as in (("splice_lookup_shuffled", "splice_lookup"), ("score_lookup_shuffled", "score_lookup"),
+                   ("compacted_scores_lookup", "score_lookup"), ("base_table_shuffled", "base_table"),
+                   ("near_gene_shuffled", "near_gene"),
+                   ("gtf_near_gene", "near_gene"), ("gtf_nmd_rules", "nmd_rules")):
+    ORACLES[_same] = ORACLES[_as]
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: build(v) for k, v in ORACLES.items()}

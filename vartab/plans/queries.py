@@ -135,8 +135,11 @@ def q_scan_predictions(spark, sf_dir):
     """SRC-5: a folder of per-chromosome Parquet files read as one table."""
     fx = _fx(spark, sf_dir)
     path = work_dir(spark, "pred")
-    for c in ("1", "2", "3"):
+    known = ["1", "2"]
+    for c in known:
         fx.fx_prediction.filter(F.col("chromosome") == c).write.parquet(f"{path}/chr{c}.parquet")
+    rest = ~F.coalesce(F.col("chromosome").isin(known), F.lit(False))
+    fx.fx_prediction.filter(rest).write.parquet(f"{path}/others.parquet")
     return sources.read_parquet(spark, f"{path}/*.parquet")
 
 
@@ -233,6 +236,13 @@ def q_base_table(spark, sf_dir):
     return _base(_fx(spark, sf_dir))
 
 
+@query
+def q_base_table_shuffled(spark, sf_dir):
+    """JN-1 with the transcript metadata shuffled instead of broadcast."""
+    fx = _fx(spark, sf_dir)
+    return ops.base_table(I.vcf_rows(fx, "small"), I.vcf_rows(fx, "sv"), _metadata(fx), broadcast_bytes=None)
+
+
 @query
 def q_filter_toggles(spark, sf_dir):
     """FLT-6, FLT-7: protein_coding_only and canonical_only."""
@@ -408,6 +418,14 @@ def q_splice_lookup(spark, sf_dir):
     return ops.splice_lookup(_filtered(fx), fx.fx_splice, pairs)
 
 
+@query
+def q_splice_lookup_shuffled(spark, sf_dir):
+    """JN-6, JN-7 with every side shuffled (the plan beyond the broadcast bound)."""
+    fx = _fx(spark, sf_dir)
+    pairs = ops.gene_version_map(I.gtf_gene_rows(fx), fan_out=True)
+    return ops.splice_lookup(_filtered(fx), fx.fx_splice, pairs, broadcast_bytes=None)
+
+
 def _score_sources(fx, with_cadd=True):
     return {
         "absplice": (fx.fx_splice, ["AbSplice_DNA_max", "AbSplice2_max"]),
@@ -422,6 +440,26 @@ def q_score_lookup(spark, sf_dir):
     return ops.lookup_scores(fx.fx_variant, _score_sources(fx))
 
 
+@query
+def q_score_lookup_shuffled(spark, sf_dir):
+    """RE-2 with the sites shuffled instead of broadcast."""
+    fx = _fx(spark, sf_dir)
+    return ops.lookup_scores(fx.fx_variant, _score_sources(fx), broadcast_bytes=None)
+
+
+@query
+def q_compacted_scores_lookup(spark, sf_dir):
+    """SRC-6, RE-2: score files compacted by chromosome, read back and looked up
+    with their chromosomes pruned."""
+    fx = _fx(spark, sf_dir)
+    path = work_dir(spark, "compact")
+    sinks.compact_scores(fx.fx_splice, path)
+    scores = sources.read_score_files(spark, path)
+    return ops.lookup_scores(fx.fx_variant, {
+        "absplice": (scores, ["AbSplice_DNA_max", "AbSplice2_max"]),
+        "cadd": (fx.fx_cadd, ["CADD_PHRED", "CADD_raw"])}, prune=True)
+
+
 @query
 def q_score_lookup_missing(spark, sf_dir):
     """RE-2: an unconfigured source is skipped."""
@@ -521,6 +559,13 @@ def q_near_gene(spark, sf_dir):
     return ops.near_gene(fx.fx_variant, I.transcripts(fx), I.exons(fx), NEAR_GENE_DISTANCE)
 
 
+@query
+def q_near_gene_shuffled(spark, sf_dir):
+    """RE-1 with the binned transcripts shuffled instead of broadcast."""
+    fx = _fx(spark, sf_dir)
+    return ops.near_gene(fx.fx_variant, I.transcripts(fx), I.exons(fx), NEAR_GENE_DISTANCE, broadcast_bytes=None)
+
+
 @query
 def q_nmd_rules(spark, sf_dir):
     """RE-3: escape rules for stop_gained positions inside exons."""
@@ -534,6 +579,32 @@ def q_nmd_rules(spark, sf_dir):
                          start_nt=NMD_START_NT)
 
 
+def _gene_model(spark, fx) -> DataFrame:
+    """Transcripts and exons as GTF text, read back."""
+    path = work_dir(spark, "gtf")
+    sinks.write_text(I.gtf_lines(I.gtf_transcript_rows(fx).unionByName(I.gtf_exon_rows(fx))), I.GTF_HEADER, path)
+    return sources.read_gtf(spark, path)
+
+
+@query
+def q_gtf_near_gene(spark, sf_dir):
+    """RE-1 with transcripts and exons derived from GTF text."""
+    fx = _fx(spark, sf_dir)
+    gtf = _gene_model(spark, fx)
+    return ops.near_gene(fx.fx_variant, ops.transcripts_from_gtf(gtf), ops.exons_from_gtf(gtf), NEAR_GENE_DISTANCE)
+
+
+@query
+def q_gtf_nmd_rules(spark, sf_dir):
+    """RE-3 with exons and strands derived from GTF text."""
+    fx = _fx(spark, sf_dir)
+    gtf = _gene_model(spark, fx)
+    stops = (ops.explode_csq(I.vcf_rows(fx)).filter(F.col("consequence") == "stop_gained")
+             .select("variant_id", F.col("transcript").alias("transcript_id"), "chrom", F.col("start").alias("pos")))
+    return ops.nmd_rules(stops, ops.exons_from_gtf(gtf), ops.transcripts_from_gtf(gtf).select("transcript_id", "strand"),
+                         long_exon_nt=NMD_LONG_EXON_NT, start_nt=NMD_START_NT)
+
+
 # --- the whole run from files ------------------------------------------------
 
 @query
@@ -547,3 +618,28 @@ def q_annotate(spark, sf_dir):
                               canonical_only=True, e2g=E2GConfig(classes=E2G_CLASSES))
     annotate(spark, cfg)
     return sources.read_annotations(spark, f"{cfg.output_dir}/annotations.parquet")
+
+
+@query
+def q_annotate_metrics(spark, sf_dir):
+    """SNK-1, SNK-8: the counts of the same run, which are of its stored tables."""
+    cfg = I.write_input_files(_fx(spark, sf_dir), work_dir(spark, "run"),
+                              distance=ANALYSIS_WINDOW, protein_coding_only=True,
+                              canonical_only=True, e2g=E2GConfig(classes=E2G_CLASSES))
+    found = annotate(spark, cfg)
+    names = ["transcript_rows", "transcript_canonical", "transcript_mane", "transcript_symbol", "gene_rows", "base_rows",
+             "base_canonical_rows", "filtered_rows", "vep_rows", "vep_variants", "nmd_rows", "nmd_variants", "e2g_rows",
+             "e2g_variants", "e2g_genes", "absplice_rows", "absplice_variants", "rows"]
+    for n in ("base", "filtered", "vep", "nmd", "e2g", "absplice"):
+        found[f"stored_{n}"] = spark.read.parquet(f"{cfg.output_dir}/parts/{n}.parquet").count()
+        names.append(f"stored_{n}")
+    return spark.createDataFrame([[found[n] for n in names]], ", ".join(f"{n} long" for n in names))
+
+
+@query
+def q_annotate_scores(spark, sf_dir):
+    """RE-2 in the annotation table: site scores of the funnel's variants."""
+    fx = _fx(spark, sf_dir)
+    inp = _inputs(fx, ())
+    inp.scores = {"cadd": (fx.fx_cadd, ["CADD_PHRED", "CADD_raw"])}
+    return annotation_table(inp, _config())

@@ -1,6 +1,6 @@
 """Writers. These are the only functions in the package that run jobs."""
 
 from vartab.sinks.writers import (  # noqa: F401
-    compact_scores, run_metrics, sort_by_position, vcf_lines, write_annotations, write_chunks,
+    compact_scores, distinct_counts, run_metrics, sort_by_position, vcf_lines, write_annotations, write_chunks,
     write_ids, write_parquet, write_text, write_vcf, write_vcf_chunks, sort_annotation,
 )

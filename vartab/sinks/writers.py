@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from vartab.session import work_dir
+
 PARTITION_COLUMNS = ("variant_type", "gene_type", "canonical")
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Row count observed while the write runs (no second pass)."""
+def _counted(df: DataFrame, name: str, metrics: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """Row count and ``metrics`` observed while the write runs (no second pass)."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    more = [c.alias(k) for k, c in (metrics or {}).items()]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *more), obs
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> dict:
-    """One flat part table. Returns the observed row count."""
-    out, obs = _counted(df, "parquet")
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
+                  metrics: Mapping[str, Column] | None = None) -> dict:
+    """One flat part table. Returns the observed row count, and the observed
+    values of ``metrics`` (aggregates other than DISTINCT ones)."""
+    out, obs = _counted(df, "parquet", metrics)
     out.write.mode(mode).parquet(path)
     return dict(obs.get)
 
@@ -49,9 +54,14 @@ def write_ids(ids: DataFrame, path: str) -> dict:
     return dict(obs.get)
 
 
-def _vcf_line():
-    return F.concat_ws("\t", "chrom", (F.col("start") + 1).cast("string"), "variant_id", "ref",
-                       "alt", F.lit("."), F.lit("."), "info")
+def _tab_line(*cols) -> Column:
+    """Fields joined by tabs; a missing one is '.', so none shifts."""
+    return F.concat_ws("\t", *[F.coalesce(c.cast("string"), F.lit(".")) for c in cols])
+
+
+def _vcf_line() -> Column:
+    return _tab_line(F.col("chrom"), F.col("start") + 1, F.col("variant_id"), F.col("ref"),
+                     F.col("alt"), F.lit("."), F.lit("."), F.col("info"))
 
 
 def vcf_lines(vcf: DataFrame) -> DataFrame:
@@ -93,10 +103,11 @@ def write_chunks(df: DataFrame, path: str, rows_per_chunk: int = 500_000) -> dic
 def sort_annotation(gtf: DataFrame, header: Sequence[str], path: str,
                     chrom: str = "seqname", start: str = "start") -> dict:
     """Coordinate-sorted gene-model text export (comments first, then lines
-    ordered by chromosome text and numeric start), gzip-compressed."""
+    ordered by chromosome text and numeric start), gzip-compressed. Lines
+    are the input's own when the rows carry ``line``, else rebuilt."""
     body, obs = _counted(sort_by_position(gtf, chrom, start), "sorted")
-    lines = body.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in gtf.columns])
-                        .alias("value"))
+    line = F.col("line") if "line" in gtf.columns else _tab_line(*[F.col(c) for c in gtf.columns])
+    lines = body.select(line.alias("value"))
     write_text(lines, header, path, compression="gzip")
     return dict(obs.get)
 
@@ -116,6 +127,12 @@ def run_metrics(df: DataFrame, distinct: Sequence[str] = (),
     return df.agg(*aggs)
 
 
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """Distinct values per column of a stored table, one pruned scan each:
+    several DISTINCTs in one aggregate would multiply its rows instead."""
+    return {c: df.select(c).distinct().count() for c in cols}
+
+
 def compact_scores(scores: DataFrame, path: str, chrom: str = "chrom", start: str = "start",
                    max_records_per_file: int = 20_000_000) -> None:
     """Rewrite a score source spread over many small files (one per gene) once
@@ -127,30 +144,34 @@ def compact_scores(scores: DataFrame, path: str, chrom: str = "chrom", start: st
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(chrom).parquet(path))
 
 
-
 def write_vcf_chunks(vcf: DataFrame, header: Sequence[str], path: str,
                      rows_per_chunk: int = 500_000) -> dict:
     """Standalone VCF chunk files: every chunk folder (``chunk=<id>``) holds
     one text file with the header lines followed by at most
     ``rows_per_chunk`` data lines.
 
-    A chunk is a run of ``rows_per_chunk`` rows of one input partition;
+    The lines are stored first and numbered as they are read back, so a
+    retried task sees the same rows in the same order. A chunk is a run of
+    ``rows_per_chunk`` rows of one partition of that table;
     ``monotonically_increasing_id`` carries both the partition and the
-    position inside it, so there is no global row numbering, no single task
-    and no join: the first row of each chunk is exploded into the header
-    lines plus its own line. A chunk is the largest unit a task holds.
-    Returns the observed number of data lines.
+    position inside it, so there is no global row numbering and no single
+    task. The header is a small table joined to the list of chunks. A chunk
+    is the largest unit a task holds. Returns the observed number of data
+    lines.
     """
-    counted, obs = _counted(vcf, "vcf_chunks")
-    rows = counted.withColumn("_mid", F.monotonically_increasing_id())
+    spark = vcf.sparkSession
+    counted, obs = _counted(vcf_lines(vcf), "vcf_chunks")
+    lines_path = work_dir(spark, "chunk-lines")
+    counted.write.parquet(lines_path)
+    rows = spark.read.schema("value string").parquet(lines_path).withColumn("_mid", F.monotonically_increasing_id())
     pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     chunk = F.concat_ws("_", F.shiftright(F.col("_mid"), 33).cast("string"),
                         F.floor(pos / F.lit(rows_per_chunk)).cast("string"))
-    line = F.col("line") if "line" in vcf.columns else _vcf_line()
-    first = (pos % F.lit(rows_per_chunk)) == 0
-    lines = F.when(first, F.array(*[F.lit(h) for h in header], line)).otherwise(F.array(line))
-    out = rows.select(chunk.alias("chunk"), pos.alias("pos"),
-                      F.posexplode(lines).alias("k", "value"))
-    (out.repartition("chunk").sortWithinPartitions("chunk", "pos", "k")
+    data = rows.select(chunk.alias("chunk"), (pos + F.lit(len(header))).alias("pos"), "value")
+    head = spark.createDataFrame([(0, i, h) for i, h in enumerate(header)], "k int, pos long, value string")
+    firsts = rows.filter(pos % F.lit(rows_per_chunk) == 0).select(chunk.alias("chunk"), F.lit(0).alias("k"))
+    tops = firsts.join(F.broadcast(head), "k").select("chunk", (F.col("pos") - F.lit(len(header))).alias("pos"), "value")
+    out = data.unionByName(tops)
+    (out.repartition("chunk").sortWithinPartitions("chunk", "pos")
      .select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(path))
     return dict(obs.get)

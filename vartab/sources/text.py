@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 from vartab.functions import null_tokens
 
 
+# Compressions Spark does not unpack by extension: it would read them as text.
+_UNREADABLE = (".bgz", ".bgzf", ".zip", ".xz", ".7z", ".tar", ".tgz")
+
+
 def _body(spark: SparkSession, path, comment: str = "#") -> DataFrame:
     lines = spark.read.text(path)
+    bad = [f for f in lines.inputFiles() if f.lower().endswith(_UNREADABLE)]
+    if bad:
+        raise ValueError(f"unsupported compression (use .gz): {bad[0]}")
     return lines.filter(~F.col("value").startswith(comment) & (F.col("value") != ""))
 
 
@@ -32,7 +39,7 @@ def read_vcf(spark: SparkSession, path, partitions: int | None = None,
     ``keep_line`` adds the raw ``line`` (all columns, samples included) for
     verbatim re-export; column pruning drops it wherever it is not used.
     """
-    p = F.split(F.col("value"), "\t", -1)
+    p = F.split(F.col("value"), "\t", 9)  # FORMAT and the samples stay one field
     cols = [
         F.get(p, 2).alias("variant_id"),
         F.get(p, 0).alias("chrom"),
@@ -51,21 +58,20 @@ def read_vcf_header(spark: SparkSession, path, probe: int = 1000) -> list[str]:
     """The ``#`` header lines at the top of the first input file.
 
     Reads only the top of the file: ``limit(k)`` with k doubling until a
-    data line shows up or the file ends, never a scan of the whole input."""
+    data line shows up or the file ends, never a scan of the whole input.
+    Only header lines reach the driver; of a data line just that it is one."""
     files = sorted(spark.read.text(path).inputFiles())
     if not files:
         return []
     k = probe
+    lines = spark.read.text(files[0]).select(
+        F.when(F.col("value").startswith("#"), F.col("value")).alias("value"))
     while True:
-        top = [r["value"] for r in spark.read.text(files[0]).limit(k).collect()]
-        data_seen = any(not line.startswith("#") for line in top)
-        if data_seen or len(top) < k:
-            header = []
-            for line in top:
-                if not line.startswith("#"):
-                    break
-                header.append(line)
-            return header
+        top = [r["value"] for r in lines.limit(k).collect()]
+        if None in top:
+            return top[:top.index(None)]
+        if len(top) < k:
+            return top
         k *= 4
 
 
@@ -74,9 +80,10 @@ GTF_COLUMNS = ["seqname", "source", "feature", "start", "end", "score", "strand"
 
 
 def read_gtf(spark: SparkSession, path, feature: str | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, keep_line: bool = False) -> DataFrame:
     """GTF lines -> 9 named columns (1-based inclusive start/end as bigint),
-    optionally only one feature type (``transcript``, ``gene``, ``exon``)."""
+    optionally only one feature type (``transcript``, ``gene``, ``exon``).
+    ``keep_line`` adds the raw ``line`` for verbatim re-export."""
     p = F.split(F.col("value"), "\t", -1)
     cols = []
     for i, name in enumerate(GTF_COLUMNS):
@@ -84,6 +91,8 @@ def read_gtf(spark: SparkSession, path, feature: str | None = None,
         if name in ("start", "end"):
             c = c.try_cast("bigint")
         cols.append(c.alias(name))
+    if keep_line:
+        cols.append(F.col("value").alias("line"))
     df = _body(spark, path).select(*cols)
     if feature is not None:
         df = df.filter(F.col("feature") == feature)
@@ -96,19 +105,26 @@ def _vep_header(spark: SparkSession, path) -> list[tuple[list[str], list[str]]]:
     Each probe scans only until the header line of one file (``limit(1)``
     stops the job after the first partition that has it), so the data is
     not read twice. A file without a header line (a later part file of a
-    folder written in parts) takes the header of its folder."""
+    folder written in parts) takes the header of its folder, which must then
+    have exactly one."""
     by_file: dict[str, str | None] = {}
     for f in spark.read.text(path).inputFiles():
         row = (spark.read.text(f)
                .filter(F.col("value").startswith("#") & ~F.col("value").startswith("##"))
                .limit(1).collect())
         by_file[f] = row[0]["value"] if row else None
-    folder_header = {f.rsplit("/", 1)[0]: h for f, h in by_file.items() if h is not None}
+    in_folder: dict[str, set[str]] = {}
+    for f, h in by_file.items():
+        if h is not None:
+            in_folder.setdefault(f.rsplit("/", 1)[0], set()).add(h)
     groups: dict[str, list[str]] = {}
     for f, h in by_file.items():
-        h = h if h is not None else folder_header.get(f.rsplit("/", 1)[0])
         if h is None:
-            raise ValueError(f"no '#Uploaded_variation' header for {f}")
+            known = in_folder.get(f.rsplit("/", 1)[0], set())
+            if len(known) != 1:
+                raise ValueError(f"{'no' if not known else 'more than one'} '#Uploaded_variation' "
+                                 f"header in the folder of {f}")
+            (h,) = known
         groups.setdefault(h, []).append(f)
     return [(h.split("\t"), files) for h, files in groups.items()]
 
