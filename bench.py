@@ -29,11 +29,11 @@ from vartab.plans.queries import _inputs  # noqa: E402
 BCAST = "spark.sql.autoBroadcastJoinThreshold"
 COPART = "spark.sql.requireAllClusterKeysForCoPartition"
 from vartab.plans.queries import QUERIES  # noqa: E402
-from vartab.session import get_session  # noqa: E402
+from vartab.session import get_session, work_dir  # noqa: E402
 
 HEADLINE = ["base_table", "analysis_set_ids", "filtered_vcf", "interval_overlap", "e2g",
             "splice_lookup", "score_lookup", "vep_tidy", "near_gene", "nmd_rules",
-            "combine_all", "read_annotations"]
+            "combine_all", "read_annotations", "annotate"]
 
 
 def run(df) -> None:
@@ -79,6 +79,9 @@ def comparisons(spark, sf_dir) -> dict:
     meta = ops.transcript_metadata(I.gtf_transcript_rows(fx))
     base = ops.base_table(I.vcf_rows(fx), I.vcf_rows(fx, "sv"), meta)
     near = ops.filter_variants(I.vcf_rows(fx), ops.analysis_set(base, 500))
+    few = ops.filter_variants(I.vcf_rows(fx), ops.analysis_set(base.filter("distance is not null"), 20, True, True))
+    out["e2g_funnel_selective"] = timed(lambda: ops.enhancer_links(
+        few, fx.fx_prediction, fx.fx_enhancer, gmap))
     out["e2g_funnel_on"] = timed(lambda: ops.enhancer_links(
         near, fx.fx_prediction, fx.fx_enhancer, gmap))
     out["e2g_funnel_off"] = timed(lambda: ops.enhancer_links(
@@ -90,8 +93,13 @@ def comparisons(spark, sf_dir) -> dict:
     # The two combine layouts, with broadcast joins off as at full scale.
     cfg = AnnotationConfig(distance=500, e2g=E2GConfig())
     inp = _inputs(fx)
-    b = base.checkpoint()
-    parts = {k: v.checkpoint() for k, v in tool_parts(inp, funnel(b, cfg), cfg).items()}
+    def kept(df, name):
+        path = work_dir(spark, f"bench-{name}")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    b = kept(base, "base")
+    parts = {k: kept(v, k) for k, v in tool_parts(inp, funnel(b, cfg), cfg).items()}
     args = (b, parts["vep"], parts["nmd"], parts["e2g"], parts["absplice"])
     old = {k: spark.conf.get(k) for k in (BCAST, COPART)}
     spark.conf.set(BCAST, "-1")

@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators. None of them runs a job, except the
 size check behind ``broadcast_if_small``."""
 
-from vartab.operators.combine import combine, repeated_keys  # noqa: F401
+from vartab.operators.combine import COPARTITION_CONF, combine, repeated_keys  # noqa: F401
 from vartab.operators.consequence import (  # noqa: F401
     BASE_COLUMNS, base_table, csq_entries, explode_csq, union_tracks,
 )

@@ -31,27 +31,33 @@ COPARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
 def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None = None,
             e2g: DataFrame | None = None, splice: DataFrame | None = None,
             scores: DataFrame | None = None, *, protein_coding_only: bool = False, canonical_only: bool = False,
-            copartition: int | None = None) -> DataFrame:
+            copartition: bool | int = False) -> DataFrame:
     """Base rows (+ consequence one-hots, int, NULL -> 0), left-joined with
     any subset of the parts: VEP and NMD on (variant_id, transcript), E2G
     and splice on (variant_id, gene), site scores on variant_id. Toggles
     filter base rows (Spark pushes them to the scan).
 
-    Default layout: transcript-keyed parts are joined first so both share
-    one shuffle of the base, then the gene-keyed ones (two base shuffles);
-    adaptive execution can split a skewed base partition in every join.
-    ``copartition=n``: every side is hash-partitioned by ``variant_id``
-    alone into n partitions, so the wide base is shuffled once for all four
-    joins. It needs ``spark.sql.requireAllClusterKeysForCoPartition=false``
-    (checked) and gives up adaptive skew splitting, which does not apply to
-    explicit repartitions; use it when variant ids are not skewed.
+    Layout: with ``copartition`` every side is hash-partitioned by
+    ``variant_id`` alone, so the wide base is shuffled once for all joins
+    (True: as many partitions as adaptive execution sees fit; a number: that
+    many). A variant has a bounded number of transcripts, so partitions are
+    even, unless many rows lack an id. It needs
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (checked) when
+    the result is computed. Without it, transcript-keyed parts are joined
+    first so both share one shuffle of the base, then the gene-keyed ones
+    (two base shuffles), and adaptive execution can split a skewed base
+    partition in every join: the layout for inputs with missing ids.
     """
     spark = base.sparkSession
     if copartition and spark.conf.get(COPARTITION_CONF, "true").lower() != "false":
         raise ValueError(f"copartition needs {COPARTITION_CONF}=false")
     out = toggle_filter(base, protein_coding_only, canonical_only)
-    if copartition:
-        out = out.repartition(copartition, "variant_id")
+    def deal(df: DataFrame) -> DataFrame:
+        if not copartition:
+            return df
+        return df.repartition("variant_id") if copartition is True else df.repartition(copartition, "variant_id")
+
+    out = deal(out)
     # One-hots are derived from ``consequence`` after the joins, so the
     # shuffles carry one text column instead of 17 extra ones.
     onehots = onehot_columns("consequence", null_as_zero=True)
@@ -62,10 +68,8 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
                  and not (drop_prefix and c.startswith(drop_prefix))]
         right = part.select(*[F.col(src).alias(dst) for src, dst in rename.items()],
                             *[F.col(c).alias(prefix + c) for c in extra])
-        if copartition:
-            right = right.repartition(copartition, "variant_id")
         order.extend(prefix + c for c in extra)
-        return out.join(right, keys, "left")
+        return out.join(deal(right), keys, "left")
 
     if vep is not None:
         out = attach(out, vep, VEP_DROP, ["variant_id", "transcript"],

@@ -144,8 +144,23 @@ def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig, prune: b
     return parts
 
 
+def base_counts() -> dict:
+    """What is observed of the base table while it is written."""
+    return {"canonical_rows": F.count_if("canonical"), "variants": F.approx_count_distinct("variant_id", 0.01),
+            "unnamed_rows": F.count_if(F.col("variant_id").isNull() | (F.col("variant_id") == "."))}
+
+
+def one_base_shuffle(spark: SparkSession, unnamed_rows: int) -> bool:
+    """Whether the combine may deal all its sides by variant id alone, which
+    shuffles the wide base once: yes, unless rows lack an id (these would all
+    meet). Allows it in the session, as it is read when the result is computed."""
+    if unnamed_rows == 0:
+        spark.conf.set(ops.COPARTITION_CONF, "false")
+    return unnamed_rows == 0
+
+
 def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None = None,
-                     parts: dict[str, DataFrame] | None = None) -> DataFrame:
+                     parts: dict[str, DataFrame] | None = None, copartition: bool = False) -> DataFrame:
     """The combined table.
 
     The base table feeds both the funnel and the combine. When it is not
@@ -158,14 +173,15 @@ def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None
         meta = ops.transcript_metadata(inp.gtf_transcripts)
         base = ops.base_table(inp.small, inp.sv if cfg.include_sv else None, meta)
         spark, path = base.sparkSession, work_dir(base.sparkSession, "base")
-        sinks.write_parquet(base, path)
+        counts = sinks.write_parquet(base, path, metrics=base_counts())
+        copartition = one_base_shuffle(spark, counts["unnamed_rows"])
         base = spark.read.parquet(path)
     if parts is None:
         parts = tool_parts(inp, funnel(base, cfg), cfg)
     return ops.combine(base, parts.get("vep"), parts.get("nmd"), parts.get("e2g"),
                        parts.get("absplice"), parts.get("scores"),
                        protein_coding_only=cfg.protein_coding_only,
-                       canonical_only=cfg.canonical_only)
+                       canonical_only=cfg.canonical_only, copartition=copartition)
 
 
 def read_inputs(spark: SparkSession, cfg: AnnotationConfig) -> Inputs:
@@ -213,8 +229,7 @@ def annotate(spark: SparkSession, cfg: AnnotationConfig) -> dict:
     meta = keep(ops.transcript_metadata(inp.gtf_transcripts), "transcript_metadata", "transcript", {
         "canonical": F.count_if("canonical"), "mane": F.count_if("mane_select"), "symbol": F.count("symbol")})
     inp.gtf_genes = keep(inp.gtf_genes.select("attributes"), "genes", "gene")
-    base = keep(ops.base_table(inp.small, inp.sv, meta), "parts/base", "base", {
-        "canonical_rows": F.count_if("canonical"), "variants": F.approx_count_distinct("variant_id", 0.01)})
+    base = keep(ops.base_table(inp.small, inp.sv, meta), "parts/base", "base", base_counts())
     if cfg.export_funnel:
         header = sources.read_vcf_header(spark, cfg.input_vcf) or VCF_HEADER
         metrics["funnel"] = export_funnel(spark, inp.small, base, cfg, header)
@@ -224,7 +239,8 @@ def annotate(spark: SparkSession, cfg: AnnotationConfig) -> dict:
         parts[name] = keep(part, f"parts/{name}", name)
         counts = sinks.distinct_counts(parts[name], PART_COUNTS[name])
         metrics.update({f"{name}_{'genes' if 'gene' in c else 'variants'}": n for c, n in counts.items()})
-    metrics["rows"] = sinks.write_annotations(annotation_table(inp, cfg, base, parts),
+    metrics["rows"] = sinks.write_annotations(annotation_table(
+        inp, cfg, base, parts, one_base_shuffle(spark, metrics["base_unnamed_rows"])),
                                               f"{out}/annotations.parquet")["rows"]
     return metrics
 
