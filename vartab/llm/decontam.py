@@ -10,7 +10,8 @@
    projected to the latent space (scaled by the singular values, so that what
    all passages have in common does not dominate), and pairs with a cosine of
    ``COSINE`` or more are candidates. Windows are kept as sums of eight-word
-   blocks; short items meet short windows.
+   blocks; a window is less than twice as long as the item passage it may hold,
+   so that a verbatim passage has a cosine of about 0.7 or more.
 3. Candidates whose shared words carry half of the item passage's weight get a
    longest common subsequence of item and surrounding text. An item is found if
    it covers ``EXACT`` of the item's words, or ``PARAPHRASE`` of them and the
@@ -37,8 +38,8 @@ DIMS, RANK = 8192, 64
 PASSAGE = 48
 BLOCK = 8
 # (longest item passage, window in blocks, stride in blocks)
-SCALES = ((16, 3, 1), (32, 6, 2))
-COSINE, OVERLAP = 0.3, 0.5
+SCALES = ((16, 3, 1), (24, 4, 1), (32, 6, 2))
+COSINE, OVERLAP = 0.4, 0.5
 EXACT, PARAPHRASE = 0.8, 0.6
 LEAST_WORDS = 5
 ITEMS_PER_PASS = 5000
@@ -206,7 +207,7 @@ class Items:
             owner, offset, vectors, weights = [], [], [], []
             for n, i in enumerate(keep):
                 size = len(self.words[n])
-                if (size <= SCALES[0][0]) != (k == 0):
+                if k != next((j for j, c in enumerate(SCALES) if size <= c[0]), len(SCALES) - 1):
                     continue
                 starts = [0] if size <= longest else [*range(0, size - longest, longest), size - longest]
                 for a in starts:
