@@ -22,20 +22,29 @@ def brute(text, weights, exceptions):
     words = toxicity.fold_words(text)
     joined = " " + " ".join(words) + " "
     excused = [(m.start(1), m.end(1)) for e in exceptions for m in re.finditer(f"(?=( {re.escape(e)} ))", joined)]
-    hits = [(m.start(1), m.end(1), w) for w in weights for m in re.finditer(f"(?=( {re.escape(w)} ))", joined)]
+    pattern = lambda w: re.escape(w[:-1]) if w.endswith("*") else re.escape(w) + " "
+    hits = [(m.start(1), m.end(1), w) for w in weights for m in re.finditer(f"(?=( {pattern(w)}))", joined)]
     hits = [w for a, b, w in hits if not any(x <= a and b <= y for x, y in excused)]
     return sum(weights[w] for w in hits), len(hits), len(words)
 
 
 def test_matches_like_brute_force(spark):
-    weights = {w: 1.0 + i for i, w in enumerate(toxicity.DEFAULT_WORDS)} | {"trash clown": 3.0}
+    weights = {w: 1.0 + i for i, w in enumerate(toxicity.DEFAULT_WORDS)} | {"trash clown": 3.0, "trashi*": 9.0, "the*": 0.5}
     matcher = toxicity.Matcher(weights)
     texts = [r.text for r in table(spark, SF_SMALL, "documents").collect()]
-    texts += ["idiot idiot idiot", "the trash can and the trash", "not an idiot, an idiot", "trash clown fish", "idiots trashy", "clown"]
+    texts += ["idiot idiot idiot", "the trash can and the trash", "not an idiot, an idiot", "trash clown fish", "idiots trashy", "clown", "trashi trashing strashing"]
     for t in texts:
         assert matcher.measure(t) == pytest.approx(brute(t, weights, toxicity.EXCEPTIONS))
 
 
+def test_entries_are_chosen_by_what_they_tell():
+    tox = {"idiot": 60, "idio*": 60, "idi*": 61, "cass*": 30, "casso": 5, "the": 100, "rare": 3}
+    rest = {"idi*": 50, "the": 900, "cass*": 4}
+    chosen = toxicity.choose(tox, rest, 100, 900)
+    assert set(chosen) == {"idiot", "cass*"} and chosen["idiot"] > chosen["cass*"] > 2
+    assert toxicity.entries_of("Abcde xy") == {"abcde", "abc*", "abcd*", "xy"}
+
+
 def test_held_out_accuracy(spark):
     rows = {r.doc_id: r for r in op9_toxicity(spark, SF).collect()}
     labels = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
@@ -48,7 +57,7 @@ def test_held_out_accuracy(spark):
             good += r.predicted and labels[i]
             bad += r.predicted and not labels[i]
             missed += labels[i] and not r.predicted
-    assert good / (good + bad) >= 0.9 and good / (good + missed) >= 0.8
+    assert good / (good + bad) >= 0.95 and good / (good + missed) >= 0.9
 
 
 def test_held_out_labels_teach_nothing(spark):

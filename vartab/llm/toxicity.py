@@ -6,13 +6,19 @@ matches inside an exception phrase don't count. The weight of a document is the
 sum of the weights of its matches; that sum and the sum per hundred words give
 the score through a logistic curve.
 
+Entries of the lexicon are words, or stems (``idio*``) that match the words they
+begin, as toxic words of inflected languages come in many forms.
+
 Lexicon and curve are learned from labelled rows only, from a bounded sample of
-them: the ``SAMPLE`` training ids with the smallest hash. Word counts run in
-Spark; the driver gets at most ``MOST_WORDS`` words and one row per sampled id.
+them: the ``SAMPLE`` training ids with the smallest hash. Words and stems are
+counted in Spark, first over the toxic texts, then those frequent there over the
+others; the driver gets at most ``CANDIDATES`` counts and one row per sampled
+id. Of entries that contain one another the one that tells most stays.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -25,11 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 20_000
+CANDIDATES = 50_000
 MOST_WORDS = 500
+STEMS = range(3, 9)  # lengths
 THRESHOLD = 0.3
-# A lexicon word is in this share of the toxic sample at least, and this many
-# times (log) as frequent there as elsewhere.
-LEAST_SHARE, LEAST_LOG_ODDS = 0.01, 3.0
+SLICE = 500
+# An entry is in this share of the toxic sample (and in three texts) at least, this
+# many times (log) as frequent there as elsewhere, and tells this much (in nats, over
+# the sample) about the labels.
+LEAST_SHARE, LEAST_LOG_ODDS, LEAST_GAIN = 0.01, 1.8, 10.0
 # Without usable labels: a small general lexicon, all weights 4.
 DEFAULT_WORDS = ("idiot", "moron", "stupid", "loser", "scum", "pathetic", "worthless", "disgusting", "trash", "clown")
 EXCEPTIONS = ("trash can", "trash bin", "white trash bag", "clown fish", "circus clown", "pond scum", "sore loser board",
@@ -68,7 +78,8 @@ class Matcher:
         for phrase in exceptions:
             self.machine.add_word(f" {phrase} ", (phrase, True))
         for word in weights:
-            self.machine.add_word(f" {word} ", (word, False))
+            key = f" {word[:-1]}" if word.endswith("*") else f" {word} "
+            self.machine.add_word(key, (word, False))
         self.machine.make_automaton()
 
     def measure(self, text: str | None) -> tuple[float, int, int]:
@@ -82,6 +93,13 @@ class Matcher:
         return float(sum(self.weights[k] for *_, k in found)), len(found), len(words)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``SLICE`` rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, SLICE):
+            yield batch.slice(a, SLICE)
+
+
 class Scorer:
     """Lexicon, exceptions and curve together."""
 
@@ -113,18 +131,50 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return beta
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per word and class, summed over the task before the shuffle."""
-    tox, rest = Counter(), Counter()
-    for batch in batches:
-        for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-            (tox if toxic else rest).update(set(fold_words(text)))
-    words = list(tox.keys() | rest.keys())
-    for i in range(0, len(words), 50_000):
-        part = words[i:i + 50_000]
-        yield pa.RecordBatch.from_pydict({
-            "word": pa.array(part, pa.string()), "tox": pa.array([tox[w] for w in part], pa.int64()),
-            "rest": pa.array([rest[w] for w in part], pa.int64())})
+def entries_of(text: str | None) -> set[str]:
+    """The words of a text and the stems they begin with."""
+    words = set(fold_words(text))
+    return words.union(w[:n] + "*" for w in words for n in STEMS if n < len(w))
+
+
+def _count(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
+    """(entry, n): texts that hold an entry, summed over each task before the shuffle."""
+    shared = rows.sparkSession.sparkContext.broadcast(among)  # at most CANDIDATES entries
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in _sliced(batches):
+            for text in batch["text"].to_pylist():
+                found = entries_of(text)
+                seen.update(found if shared.value is None else found & shared.value)
+        keys = list(seen)
+        for i in range(0, len(keys), 50_000):
+            part = keys[i:i + 50_000]
+            yield pa.RecordBatch.from_pydict({"entry": pa.array(part, pa.string()),
+                                              "n": pa.array([seen[k] for k in part], pa.int64())})
+    return rows.select("text").mapInArrow(run, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+
+
+def choose(tox: dict[str, int], rest: dict[str, int], n_tox: int, n_rest: int) -> dict[str, float]:
+    """Weights (log odds) of the entries that tell most about the labels; none
+    contains another."""
+    total, ranked = n_tox + n_rest, []
+    for entry, t in tox.items():
+        n = rest.get(entry, 0)
+        odds = math.log((t + 0.5) / (n_tox + 1)) - math.log((n + 2) / (n_rest + 2))
+        gain = sum(c * math.log(c * total / (label * side)) for c, label, side in (
+            (t, n_tox, t + n), (n, n_rest, t + n), (n_tox - t, n_tox, total - t - n), (n_rest - n, n_rest, total - t - n))
+            if c > 0)
+        if odds >= LEAST_LOG_ODDS and gain >= LEAST_GAIN:
+            ranked.append((-round(gain, 6), entry.endswith("*"), -len(entry), entry, odds))
+    chosen: dict[str, float] = {}
+    for _, is_stem, _, entry, odds in sorted(ranked):
+        bare = entry.rstrip("*")
+        if not any((c[-1] == "*" and bare.startswith(c[:-1])) or (is_stem and c.rstrip("*").startswith(bare)) for c in chosen):
+            chosen[entry] = odds
+        if len(chosen) == MOST_WORDS:
+            break
+    return chosen
 
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
@@ -143,12 +193,11 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[dict[
     weights = dict.fromkeys(DEFAULT_WORDS, 4.0)
     if n_tox < 10 or n_rest < 10:
         return weights, np.array([-4.0, 1.0, 1.0])
-    odds = (F.log((F.col("tox") + 0.5) / F.lit(n_tox + 1.0)) - F.log((F.col("rest") + 2.0) / F.lit(n_rest + 2.0)))
-    found = (rows.mapInArrow(_counts, "word string, tox long, rest long")
-             .groupBy("word").agg(F.sum("tox").alias("tox"), F.sum("rest").alias("rest"))
-             .filter(F.col("tox") >= max(5, LEAST_SHARE * n_tox)).withColumn("odds", odds)
-             .filter(F.col("odds") >= LEAST_LOG_ODDS).orderBy(F.desc("odds"), "word").limit(MOST_WORDS).collect())
-    weights = {r["word"]: r["odds"] for r in found} or weights
+    least = max(3, LEAST_SHARE * n_tox)
+    tox = {r["entry"]: r["n"] for r in _count(rows.filter("toxic = 1")).filter(F.col("n") >= least)
+           .orderBy(F.desc("n"), "entry").limit(CANDIDATES).collect()}
+    rest = {r["entry"]: r["n"] for r in _count(rows.filter("toxic = 0"), set(tox)).collect()}
+    weights = choose(tox, rest, n_tox, n_rest) or weights
     seen = (_measured(rows, weights, ["doc_id", "toxic"]).groupBy("doc_id")
             .agg(F.max("toxic").alias("toxic"), F.max("total").alias("total"), F.min("words").alias("words")).toPandas())
     seen = seen.sort_values("doc_id")
@@ -162,7 +211,7 @@ def _measured(rows: DataFrame, weights: dict[str, float], keep: list[str],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(weights, exceptions)
-        for batch in batches:
+        for batch in _sliced(batches):
             got = [matcher.measure(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch[c] for c in keep] + [pa.array([g[i] for g in got], kind) for i, kind in
@@ -186,7 +235,7 @@ def score(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, threshold: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(weights, curve)
-        for batch in batches:
+        for batch in _sliced(batches):
             scores, matches, words = scorer.measure(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(scores, pa.float64()), pa.array(scores >= threshold, pa.bool_()).cast(pa.int32()),
@@ -205,7 +254,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(weights, curve)
-        for batch in batches:
+        for batch in _sliced(batches):
             scores, _, _ = scorer.measure(batch["text"].to_pylist())
             yield batch.filter(pa.array(scores < threshold, pa.bool_()))
 
