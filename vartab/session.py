@@ -68,3 +68,13 @@ def work_dir(spark: SparkSession, label: str = "work") -> str:
     directory; writers create it."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/vartab-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder under the shared checkpoint directory that this program
+    wrote and no longer reads; anything else is left alone."""
+    if not path.startswith(f"{ensure_checkpoint_dir(spark).rstrip('/')}/vartab-"):
+        raise ValueError(f"not a work folder: {path}")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

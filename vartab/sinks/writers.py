@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from vartab.session import work_dir
+from vartab.session import drop_path, work_dir
 
 PARTITION_COLUMNS = ("variant_type", "gene_type", "canonical")
 
@@ -174,4 +174,5 @@ def write_vcf_chunks(vcf: DataFrame, header: Sequence[str], path: str,
     out = data.unionByName(tops)
     (out.repartition("chunk").sortWithinPartitions("chunk", "pos")
      .select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(path))
+    drop_path(spark, lines_path)
     return dict(obs.get)
