@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vartab.llm.common import stored
+from vartab.session import drop_path, work_dir
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
@@ -16,9 +16,19 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     (large star), then all on the least of the smaller ones (small star); both
     are a partially aggregated minimum and a join on the node. Rounds, of which
     there are about log(size of a component) squared, end when a round changes
-    nothing; each is written out, so none is recomputed after a loss."""
+    nothing; each is written out, so none is recomputed after a loss, and the
+    round before is dropped."""
+    spark, paths = edges.sparkSession, []
+
+    def written(df: DataFrame) -> DataFrame:
+        paths.append(work_dir(spark, "edges"))
+        df.write.parquet(paths[-1])
+        if len(paths) > 1:
+            drop_path(spark, paths.pop(0))
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
     pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = stored(pairs, "edges")
+    pairs = written(pairs)
     before = None
     for _ in range(rounds):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -29,7 +39,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
-        pairs = stored(small, "edges")
+        pairs = written(small)
         now = pairs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if now == before:
             break
