@@ -18,6 +18,11 @@ def test_folding(text, words):
     assert " ".join(toxicity.fold_words(text)) == words
 
 
+@pytest.mark.parametrize("text", ["x" * 300_000, "x1" * 150_000, "$" * 300_000, "1" * 300_000 + "a"])
+def test_long_runs_take_no_time(text):
+    assert len(toxicity.fold_words(text)) <= 1
+
+
 def brute(text, weights, exceptions):
     words = toxicity.fold_words(text)
     joined = " " + " ".join(words) + " "

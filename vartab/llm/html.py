@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -77,6 +78,7 @@ def blocks_of(page: str) -> list[Block]:
     text: list[str] = []
     links = 0
     stack: list[tuple[str, bool, bool, bool]] = []  # name, in main, in boilerplate, in a link
+    opened: Counter[str] = Counter()  # names on the stack
     main = boiler = link = False
     at = 0
 
@@ -104,12 +106,11 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCKS:
             close()
         if closing:
-            if any(s[0] == name for s in stack):
-                while stack:
-                    s = stack.pop()
-                    main, boiler, link = s[1:]
-                    if s[0] == name:
-                        break
+            while opened[name]:
+                inner, main, boiler, link = stack.pop()
+                opened[inner] -= 1
+                if inner == name:
+                    break
             continue
         if name in SKIPPED:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -122,8 +123,10 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or m[3].rstrip().endswith("/"):
             continue
         if name in ("p", "li", "option", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == name:
-            main, boiler, link = stack.pop()[1:]  # these end where the next one starts
+            _, main, boiler, link = stack.pop()  # these end where the next one starts
+            opened[name] -= 1
         stack.append((name, main, boiler, link))
+        opened[name] += 1
         header = name == "header" and not main  # an article's own header holds its heading
         boiler = boiler or name in BOILERPLATE or header or (name not in ("html", "body") and _hinted(m[3]))
         main = main or name in MAIN

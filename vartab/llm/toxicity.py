@@ -50,7 +50,7 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 
 _FOLD = str.maketrans(HOMOGLYPHS)
 _SUBST = str.maketrans(SUBSTITUTES)
-_MIXED = re.compile(r"(?=[\d@$]*[^\W\d_])[^\W_@$]*[\d@$][\w@$]*")
+_MIXED = re.compile(r"(?<![\w@$])(?=[\d@$]*[^\W\d_])[^\W_@$]*[\d@$][\w@$]*")
 _WORD = re.compile(r"[^\W_]+")
 
 
