@@ -17,12 +17,11 @@ from vartab.plans.queries import QUERIES  # noqa: E402
 from vartab.session import get_session  # noqa: E402
 
 KEY = ["base_table", "canonical_pick", "analysis_set_ids", "interval_overlap",
-       "e2g", "splice_lookup", "score_lookup", "near_gene", "nmd_rules", "vep_tidy",
+       "e2g", "splice_lookup", "splice_lookup_shuffled", "score_lookup", "near_gene", "near_gene_shuffled", "nmd_rules", "vep_tidy",
        "combine_all", "run_metrics"]
 NODES = ["Exchange", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin",
          "BroadcastNestedLoopJoin", "CartesianProduct", "HashAggregate", "SortAggregate",
-         "ObjectHashAggregate", "Generate", "Window", "BroadcastExchange", "Scan parquet",
-         "Scan ExistingRDD"]
+         "ObjectHashAggregate", "Generate", "Window", "BroadcastExchange", "Scan parquet"]
 
 
 def summarize(df) -> dict:
@@ -46,7 +45,7 @@ def main():
           "fixtures are read from their materialized Parquet; the other fixture views "
           "(genes, transcripts, enhancers, predictions, splice scores) are derived from "
           "the TPC-H tables inside each plan, so part of every count is fixture "
-          "derivation. `Scan ExistingRDD` is the checkpointed base table.\n")
+          "derivation.\n")
     print("| query | shuffles | broadcasts | joins | aggregates (hash/sort/object) | generate | window |")
     print("|---|---|---|---|---|---|---|")
     details = []
