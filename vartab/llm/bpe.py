@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 CACHE_WORDS = 1_000_000
 BATCH_BYTES = 8 << 20
-ROWS_PER_QUERY = 1 << 20  # positions stay below 2**21 unless one word is longer
+ROWS_PER_QUERY = 1 << 20  # at most; positions stay below 2**21 unless one word is longer
+ROWS_PER_BATCH = 500
 LONG_WORD = 100
 
 # One step contracts the leftmost pair of the least rank of each word.
@@ -82,18 +83,21 @@ class Vocabulary:
     and by chunk) are made in the process that uses them."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, cache_words: int = CACHE_WORDS,
-                 space_starts_word: bool = True):
+                 space_starts_word: bool = True, batch_bytes: int = BATCH_BYTES):
         """``space_starts_word``: a space between two other characters always starts
         a match of the pattern (true of the given one, where a space is optional
-        before letters, numbers and signs, and white space yields its last)."""
+        before letters, numbers and signs, and white space yields its last).
+        ``cache_words`` and ``batch_bytes`` bound what a Python worker holds: a
+        million words take some 250 MB, a batch some twenty times its bytes."""
+        self.batch_bytes = batch_bytes
         self.ranks, self.pattern, self.cache_words = ranks, pattern, cache_words
         self.space_starts_word = space_starts_word
         self._con = None
 
     @classmethod
-    def load(cls, path: str, pattern: str) -> Vocabulary:
+    def load(cls, path: str, pattern: str, **bounds: int) -> Vocabulary:
         with open(path, "rb") as lines:
-            return cls({base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}, pattern)
+            return cls({base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}, pattern, **bounds)
 
     def _open(self) -> None:
         ranks = self.ranks
@@ -149,11 +153,12 @@ class Vocabulary:
                 out[word] = rank.to_bytes(4, "little")
             else:
                 (long if len(data) > LONG_WORD else short).append(word)
+        most = min(ROWS_PER_QUERY, max(1 << 16, self.batch_bytes // 8))
         for pending, query in ((short, ENCODE_SQL), (long, ENCODE_LONG_SQL)):
             at = 0
             while at < len(pending):
                 part, size = [], 0
-                while at < len(pending) and (not part or size + 4 * len(pending[at]) <= ROWS_PER_QUERY):
+                while at < len(pending) and (not part or size + 4 * len(pending[at]) <= most):
                     part.append(pending[at].encode())
                     size += len(part[-1])
                     at += 1
@@ -234,7 +239,7 @@ class Vocabulary:
         return out
 
 
-def _slices(texts: list[str], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
     """Runs of texts of at most about ``most`` characters, one text at least."""
     at = 0
     while at < len(texts):
@@ -252,7 +257,7 @@ def _shared(df: DataFrame, vocabulary: Vocabulary):
     keeps the opened vocabulary, with its word cache, from task to task."""
     sent = df.sparkSession.sparkContext.broadcast({
         "ranks": vocabulary.ranks, "pattern": vocabulary.pattern, "cache_words": vocabulary.cache_words,
-        "space_starts_word": vocabulary.space_starts_word})
+        "space_starts_word": vocabulary.space_starts_word, "batch_bytes": vocabulary.batch_bytes})
 
     def get() -> Vocabulary:
         state = sent.value
@@ -263,15 +268,17 @@ def _shared(df: DataFrame, vocabulary: Vocabulary):
 
 
 def _run(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], schema: str, make) -> DataFrame:
-    get = _shared(docs, vocabulary)
+    get, most = _shared(docs, vocabulary), vocabulary.batch_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            for a, b in _slices(texts):
-                made = make(get(), texts[a:b])
-                yield pa.RecordBatch.from_arrays(
-                    [batch[c].slice(a, b - a) for c in keep] + list(made.values()), keep + list(made))
+        for whole in batches:
+            for i in range(0, whole.num_rows, ROWS_PER_BATCH):
+                batch = whole.slice(i, ROWS_PER_BATCH)
+                texts = [t or "" for t in batch["text"].to_pylist()]
+                for a, b in _slices(texts, most):
+                    made = make(get(), texts[a:b])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch[c].slice(a, b - a) for c in keep] + list(made.values()), keep + list(made))
 
     kinds = dict(docs.dtypes)
     fields = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), schema])

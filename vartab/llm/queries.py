@@ -14,8 +14,8 @@ def op1_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Vocabulary:
-    return bpe.Vocabulary.load(public_tokenizers.path(name), public_tokenizers.PATTERN)
+def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken", **bounds: int) -> bpe.Vocabulary:
+    return bpe.Vocabulary.load(public_tokenizers.path(name), public_tokenizers.PATTERN, **bounds)
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
