@@ -34,8 +34,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded bytes (operator 2)."""
-    return bpe.round_trip(docs, vocabulary())
+    """Token counts and digests of ids and decoded bytes (operator 2), with a small
+    cache, as the executors' heaps have grown in the stages before."""
+    return bpe.round_trip(docs, vocabulary(cache_words=200_000, batch_bytes=2 << 20))
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
