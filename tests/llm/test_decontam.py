@@ -60,6 +60,32 @@ def test_paraphrases_are_found_and_clean_hosts_are_not(spark, planted):
     assert all(r.doc_id >= 1000 for r in found)
 
 
+def test_short_items_and_what_the_rule_accepts_are_found(spark, planted):
+    """Verbatim runs of 5 to 14 words, and every paraphrase (one word in five
+    replaced) that shares the weight and the subsequence step 3 asks for."""
+    clean, items = planted
+    rng = random.Random(6)
+    short, rows, sure = [], [], set()
+    for k in range(200):
+        size = 5 + k % 10
+        words = plain(rng.choice(items)[1]).decode().split()
+        at = rng.randint(0, len(words) - size)
+        short.append((k, " ".join(words[at:at + size])))
+        host = rng.choice(clean)[1].split()
+        at = rng.randint(0, len(host))
+        rows.append((1000 + k, " ".join(host[:at] + [short[k][1]] + host[at:])))
+        put = [f"q{rng.randrange(10**6)}" if rng.random() < 0.2 else w for w in short[k][1].split()]
+        if sum(a == b for a, b in zip(put, short[k][1].split())) >= 0.8 * size:
+            sure.add(k)
+        rows.append((2000 + k, " ".join(host[:at] + put + host[at:])))
+    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(
+        spark.createDataFrame(clean + rows, "doc_id long, text string"),
+        spark.createDataFrame(short, "item_id long, text string")).collect()}
+    assert {(1000 + k, k) for k in range(200)} <= found
+    # a replaced word may carry more than half of a short item's weight; then step 3 refuses
+    assert len(sure) > 100 and sum((2000 + k, k) in found for k in sure) >= 0.95 * len(sure)
+
+
 def test_passes_over_items_give_the_same(spark, planted):
     clean, items = planted
     docs = spark.createDataFrame(clean[:20] + [(2000 + k, clean[0][1] + " " + t) for k, t in items], "doc_id long, text string")

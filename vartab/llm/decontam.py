@@ -12,6 +12,11 @@
    ``COSINE`` or more are candidates. Windows are kept as sums of eight-word
    blocks; a window is less than twice as long as the item passage it may hold,
    so that a verbatim passage has a cosine of about 0.7 or more.
+   The cosine is lossy, so there is an exact route beside it. An item of m words
+   of which step 3 wants k has at least two matched words among its m - k + 2
+   rarest; two of these in one text within the item's span (its words and half as
+   many, at least eight, others) make the words around them a candidate. This
+   loses nothing that step 3 accepts within a span, at any length and order.
 3. Candidates whose shared words carry half of the item passage's weight get a
    longest common subsequence of item and surrounding text. An item is found if
    it covers ``EXACT`` of the item's words, or ``PARAPHRASE`` of them and the
@@ -41,6 +46,8 @@ BLOCK = 8
 SCALES = ((16, 3, 1), (24, 4, 1), (32, 6, 2))
 COSINE, OVERLAP = 0.4, 0.5
 EXACT, PARAPHRASE = 0.8, 0.6
+LEAST_GAP, GAP_SHARE = 8, 0.5  # foreign words in an item's span
+REGIONS = 4096  # looked at together
 LEAST_WORDS = 5
 ITEMS_PER_PASS = 5000
 SLICE_BYTES = 4 << 20
@@ -191,8 +198,23 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - v.bit_count()
 
 
+class Rare:
+    """What the exact route needs of one item; words are numbers in the vocabulary of the pass."""
+
+    def __init__(self, words: np.ndarray, weights: np.ndarray, latent: np.ndarray):
+        size = len(words)
+        self.words, at, self.times = np.unique(words, return_index=True, return_counts=True)
+        self.weights = weights[at]
+        self.least = next(k for k in range(size + 1) if k / size >= PARAPHRASE)
+        self.span = size + max(LEAST_GAP, int(size * GAP_SHARE))
+        self.anchors = np.unique(words[np.argsort(-weights, kind="stable")[:size - self.least + 2]])
+        norm = np.linalg.norm(latent)
+        self.vector = latent / norm if norm > 0 else latent
+
+
 class Items:
-    """Items of one pass: their words, and the latent vectors of their passages by scale."""
+    """Items of one pass: their words, the latent vectors of their passages by
+    scale, and their rarest words."""
 
     def __init__(self, items: list[tuple[int, bytes]], space: tuple[np.ndarray, np.ndarray]):
         latent, idf = space
@@ -202,6 +224,15 @@ class Items:
         self.ids = [items[i][0] for i in keep]
         self.words = [words.hashes[words.first[i]:words.first[i + 1]].tolist() for i in keep]
         idx = buckets_of(words)
+        self.vocabulary = np.unique(np.concatenate([np.array(w, np.uint64) for w in self.words] or [np.empty(0, np.uint64)]))
+        self.rare = []
+        for n, i in enumerate(keep):
+            b = idx[words.first[i]:words.first[i + 1]]
+            at = np.searchsorted(self.vocabulary, np.array(self.words[n], np.uint64))
+            self.rare.append(Rare(at, idf[b], latent[b].sum(0)))
+        self.is_anchor = np.zeros(len(self.vocabulary) + 1, bool)
+        for r in self.rare:
+            self.is_anchor[r.anchors] = True
         self.scales = []
         for k, (longest, blocks, stride) in enumerate(SCALES):
             owner, offset, vectors, weights = [], [], [], []
@@ -224,11 +255,53 @@ class Items:
             self.scales.append((blocks, stride, owner, offset, np.array(vectors, np.float32).reshape(-1, RANK), weights))
 
 
+def _judge(items: Items, item: int, region: list[int]) -> tuple[float, float] | None:
+    """(lcs, answer) if the item is found in the words of ``region``."""
+    size = len(items.words[item])
+    tail = max(3, size // 4)
+    whole = lcs(items.words[item], region) / size
+    answer = lcs(items.words[item][-tail:], region) / tail
+    return (whole, answer) if whole >= EXACT or (whole >= PARAPHRASE and answer >= PARAPHRASE) else None
+
+
+def _rare_regions(words: Words, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, start, stop) of the regions of the exact route."""
+    vocabulary, missing = items.vocabulary, len(items.vocabulary)
+    number = np.searchsorted(vocabulary, words.hashes)
+    number[vocabulary[np.minimum(number, missing - 1)] != words.hashes] = missing
+    spots = np.flatnonzero(items.is_anchor[number])
+    spots = spots[np.argsort(number[spots], kind="stable")]
+    cuts = np.searchsorted(number[spots], np.arange(missing + 1))
+    local = np.zeros(missing + 1, np.int16)  # of the item at hand: 1, 2, ... for its words
+    for item, rare in enumerate(items.rare):
+        at = np.sort(np.concatenate([spots[cuts[v]:cuts[v + 1]] for v in rare.anchors]))
+        near = np.flatnonzero(np.diff(at) < rare.span)
+        text = np.searchsorted(words.first, at[near], side="right") - 1
+        same = at[near + 1] < words.first[text + 1]
+        near, text = near[same], text[same]
+        if not len(near):
+            continue
+        local[rare.words] = np.arange(1, len(rare.words) + 1)
+        starts = np.maximum(words.first[text], at[near + 1] - rare.span + 1)
+        stops = np.minimum(words.first[text + 1], at[near] + rare.span)
+        for a in range(0, len(near), REGIONS):
+            lo, hi = starts[a:a + REGIONS, None], stops[a:a + REGIONS, None]
+            spread = lo + np.arange(2 * rare.span)
+            held = np.where(spread < hi, local[number[np.minimum(spread, len(number) - 1)]], 0)
+            there = np.zeros((len(lo), len(rare.words) + 1), bool)
+            there[np.arange(len(lo))[:, None], held] = True
+            there = there[:, 1:]
+            good = (there @ rare.times >= rare.least) & (there @ rare.weights >= OVERLAP * rare.weights.sum() * (1 - 1e-5))
+            for j in (a + np.flatnonzero(good)).tolist():
+                yield int(text[j]), item, int(starts[j]), int(stops[j])
+        local[rare.words] = 0
+
+
 def search_texts(texts: list[bytes], items: Items, latent: np.ndarray) -> list[tuple[int, int, float, float, float]]:
     """(text, item, cosine, lcs, answer) of the items found, the best window each."""
     words = hash_words(texts)
     idx = buckets_of(words)
-    if not len(idx):
+    if not len(idx) or not items.ids:
         return []
     starts, first = _cut(words, BLOCK)
     ends = np.repeat(words.first[1:], np.diff(first))  # of the text a block is in
@@ -273,18 +346,20 @@ def search_texts(texts: list[bytes], items: Items, latent: np.ndarray) -> list[t
             mine = mine[(own[there] * once).sum(1) >= OVERLAP * total]
             item = owner[p]
             size = len(items.words[item])
-            tail = max(3, size // 4)
             for j in mine.tolist():
                 t = int(np.searchsorted(words.first, a[j], side="right") - 1)
                 lo = max(int(words.first[t]), int(a[j]) - offset[p] - 2 * BLOCK)
                 hi = min(int(words.first[t + 1]), int(a[j] + n[j]) + size - offset[p] + BLOCK)
-                region = words.hashes[lo:hi].tolist()
-                whole = lcs(items.words[item], region) / size
-                answer = lcs(items.words[item][-tail:], region) / tail
-                if whole >= EXACT or (whole >= PARAPHRASE and answer >= PARAPHRASE):
-                    found = (whole, answer, float(cosine[at[j], passage[j]]))
+                judged = _judge(items, item, words.hashes[lo:hi].tolist())
+                if judged:
+                    found = (*judged, float(cosine[at[j], passage[j]]))
                     if found > best.get((t, item), (0.0, 0.0, 0.0)):
                         best[t, item] = found
+    for t, item, lo, hi in _rare_regions(words, items):
+        judged = _judge(items, item, words.hashes[lo:hi].tolist())
+        if judged and judged > best.get((t, item), (0.0, 0.0, 0.0))[:2]:
+            z = latent[idx[lo:hi]].sum(0)
+            best[t, item] = (*judged, float(z @ items.rare[item].vector / max(np.linalg.norm(z), 1e-30)))
     return [(t, item, c, w, x) for (t, item), (w, x, c) in best.items()]
 
 
