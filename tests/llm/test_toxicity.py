@@ -72,6 +72,21 @@ def test_held_out_labels_teach_nothing(spark):
     assert one == sorted((r.doc_id, r.score) for r in toxicity.score(docs, lied).collect())
 
 
+def test_a_repeated_id_teaches_once(spark):
+    """One labelled id in more rows than there are sampled ids, equal and with other texts."""
+    docs = [(i, f"plain words number{i} " + ("vileness here" if i % 2 else "kindness there")) for i in range(200)]
+    hot = next(i for i in range(1, 200, 2) if zlib.crc32(str(i).encode()) % 4 != 2)
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    weights, curve = toxicity.learn(frame(docs), labels)
+    again, curve_again = toxicity.learn(frame(docs + [docs[hot]] * 500), labels)
+    assert set(weights) & {"vileness", "vilenes*"} and again == weights and curve_again == pytest.approx(curve)
+    other, _ = toxicity.learn(frame(docs + [(hot, f"oddity vileness {k}") for k in range(500)]), labels)
+    assert other == weights
+    rows = toxicity.sample(frame(docs + [docs[hot]] * 500), labels)
+    assert rows.count() == rows.select("doc_id").distinct().count()
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 0, 1), (1, 0, 0), (None, 1, 1), (2, None, None), (99, 0, 1)], "doc_id long, quality int, toxic int")
     rows = toxicity.score(odd_docs, labels).collect()

@@ -13,7 +13,8 @@ Lexicon and curve are learned from labelled rows only, from a bounded sample of
 them: the ``SAMPLE`` training ids with the smallest hash. Words and stems are
 counted in Spark, first over the toxic texts, then those frequent there over the
 others; the driver gets at most ``CANDIDATES`` counts and one row per sampled
-id. Of entries that contain one another the one that tells most stays.
+id. An id counts once per entry, however many rows or texts it has. Of entries
+that contain one another the one that tells most stays.
 """
 
 from __future__ import annotations
@@ -138,21 +139,34 @@ def entries_of(text: str | None) -> set[str]:
 
 
 def _count(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
-    """(entry, n): texts that hold an entry, summed over each task before the shuffle."""
+    """(entry, n): ids that hold an entry. Those of one row are summed over each task
+    before the shuffle, the others meet by entry and id."""
     shared = rows.sparkSession.sparkContext.broadcast(among)  # at most CANDIDATES entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in _sliced(batches):
-            for text in batch["text"].to_pylist():
+            kind, pairs = batch["doc_id"].type, set()
+            for i, alone, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "alone", "text")), strict=True):
                 found = entries_of(text)
-                seen.update(found if shared.value is None else found & shared.value)
+                found = found if shared.value is None else found & shared.value
+                if alone:
+                    seen.update(found)
+                else:
+                    pairs.update((e, i) for e in found)
+            if pairs:
+                yield pa.RecordBatch.from_pydict({"entry": pa.array([e for e, _ in pairs], pa.string()),
+                                                  "doc_id": pa.array([i for _, i in pairs], kind),
+                                                  "n": pa.array([1] * len(pairs), pa.int64())})
         keys = list(seen)
         for i in range(0, len(keys), 50_000):
             part = keys[i:i + 50_000]
-            yield pa.RecordBatch.from_pydict({"entry": pa.array(part, pa.string()),
+            yield pa.RecordBatch.from_pydict({"entry": pa.array(part, pa.string()), "doc_id": pa.nulls(len(part), kind),
                                               "n": pa.array([seen[k] for k in part], pa.int64())})
-    return rows.select("text").mapInArrow(run, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+
+    counts = rows.select("doc_id", "alone", "text").mapInArrow(run, f"entry string, doc_id {dict(rows.dtypes)['doc_id']}, n long")
+    by_id = counts.groupBy("entry", "doc_id").agg(F.sum("n").alias("n"))
+    return by_id.groupBy("entry").agg(F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(1)).alias("n"))
 
 
 def choose(tox: dict[str, int], rest: dict[str, int], n_tox: int, n_rest: int) -> dict[str, float]:
@@ -178,11 +192,17 @@ def choose(tox: dict[str, int], rest: dict[str, int], n_tox: int, n_rest: int) -
 
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """Labelled training rows (doc_id, text, toxic) of at most ``size`` ids."""
+    """Labelled training rows (doc_id, toxic, alone, text) of at most ``size`` ids, each
+    text of an id once; ``alone``: the id has one row in the table."""
     ids = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
            .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(size))
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    texts = docs.select("doc_id", "text")
+    times = (texts.select("doc_id").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic")
+             .agg((F.count(F.lit(1)) == 1).alias("alone")))
+    if times.filter("NOT alone").isEmpty():  # saves the shuffles
+        return texts.join(F.broadcast(ids.withColumn("alone", F.lit(True))), "doc_id")
+    return texts.join(F.broadcast(times), "doc_id").dropDuplicates()
 
 
 def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[dict[str, float], np.ndarray]:
@@ -228,7 +248,8 @@ def score(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, threshold: flo
     Defined cases: a null text scores as an empty one, which gets the score of a
     text without matches; rows with a null id are scored and not held out; rows
     that share an id are scored one by one; labels that are null, or without an
-    id, teach nothing, and the larger of several labels of an id holds; without
+    id, teach nothing, and the larger of several labels of an id holds; an id
+    with several rows teaches once, by the words of all its texts; without
     ten labelled rows of each class a fixed general lexicon is used; an empty
     table gives no rows. Other columns are not read."""
     weights, curve = learn(docs, labels, size)
