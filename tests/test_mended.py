@@ -132,3 +132,23 @@ def test_configuration_needs_its_paths():
     scores = from_mapping({"input_vcf": "a", "gtf": "b", "output_dir": "c", "additional": {
         "scores": {"cadd": {"path": "p", "columns": ["x"]}}}}).score_tables
     assert scores["cadd"].path == "p" and scores["cadd"].columns == ["x"]
+
+
+def test_pruning_keeps_every_chromosome_that_meets(spark, monkeypatch):
+    """A null among the names does not hide that there are too many, and every
+    name that strips to a site's is read."""
+    from vartab.operators import scores as s
+
+    monkeypatch.setattr(s, "_MOST_CHROMOSOMES", 2)
+    table = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "chrom string")
+    sites = spark.createDataFrame([(None,), ("a",), ("b",), ("c",)], "chrom string")
+    # whichever three of the four names the limit takes
+    for order in ([0, 1, 2, 3], [1, 2, 0, 3], [3, 2, 0, 1]):
+        rows = sites.collect()
+        given = spark.createDataFrame([rows[i] for i in order], "chrom string").coalesce(1)
+        assert s.on_chromosomes_of(table, given).count() == 4
+    two = sites.filter("chrom IS NULL OR chrom < 'c'")
+    assert {r.chrom for r in s.on_chromosomes_of(table, two).collect()} == {"a", "b"}
+    odd = spark.createDataFrame([("Un_chr1",), ("chr2",), ("2",), ("3",)], "chrom string")
+    wanted = spark.createDataFrame([("Un_1",), ("chr2",)], "chrom string")
+    assert {r.chrom for r in s.on_chromosomes_of(odd, wanted, strip_chr=True).collect()} == {"Un_chr1", "chr2", "2"}

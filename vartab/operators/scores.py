@@ -28,16 +28,15 @@ def site_keys(df: DataFrame, strip_chr: bool = False) -> list:
 def on_chromosomes_of(scores: DataFrame, sites: DataFrame, strip_chr: bool = False) -> DataFrame:
     """``scores`` without the chromosomes that no site is on: a literal list, so
     that a table partitioned by ``chrom`` is pruned when it is planned. A reference
-    with more sequences than ``_MOST_CHROMOSOMES`` is read whole."""
+    with more sequences than ``_MOST_CHROMOSOMES`` is read whole. With ``strip_chr``
+    the test is on the stripped name, as several names strip to the same one."""
     chrom = F.col("chrom").cast("string")
     key = _strip_chr(chrom) if strip_chr else chrom
-    found = [r["c"] for r in sites.select(key.alias("c")).distinct().limit(_MOST_CHROMOSOMES + 1).collect()
-             if r["c"] is not None]
+    names = sites.select(key.alias("c")).filter(F.col("c").isNotNull()).distinct()
+    found = [r["c"] for r in names.limit(_MOST_CHROMOSOMES + 1).collect()]
     if len(found) > _MOST_CHROMOSOMES:
         return scores
-    if strip_chr:  # both spellings, so that the test stays on the column itself
-        found = [c for f in found for c in (f, f"chr{f}")]
-    return scores.filter(chrom.isin(found))
+    return scores.filter(key.isin(found))
 
 
 def splice_lookup(variants: DataFrame, scores: DataFrame, gene_pairs: DataFrame,
