@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.llm import ann, bpe, decontam, html, jaccard, packing, secrets, sharding, substrings, toxicity, whitening
+from vartab.llm import (ann, bpe, decontam, html, jaccard, packing, secrets, sharding, spelling, substrings, toxicity,
+                        whitening)
 from vartab.llm.common import table
 
 
@@ -61,7 +62,11 @@ def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_latent_decontamination, op2_byte_bpe, op3_multi_index_hashing, op4_substring_dedup, op5_packed_rows,
     op6_html_extraction, op7_bayes_jaccard, op8_secret_scan, op9_toxicity, op10_feistel_sharding,
-    op12_qdwh_whitening)}
+    op12_qdwh_whitening, op13_spelling_variants)}
