@@ -6,8 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.llm import (ann, bpe, decontam, html, jaccard, packing, secrets, sharding, spelling, substrings, toxicity,
-                        whitening)
+from vartab.llm import (ann, bpe, decontam, html, jaccard, packing, quality, secrets, sharding, spelling, substrings,
+                        toxicity, whitening)
 from vartab.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op10_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op11_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -69,4 +73,4 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_latent_decontamination, op2_byte_bpe, op3_multi_index_hashing, op4_substring_dedup, op5_packed_rows,
     op6_html_extraction, op7_bayes_jaccard, op8_secret_scan, op9_toxicity, op10_feistel_sharding,
-    op12_qdwh_whitening, op13_spelling_variants)}
+    op11_factorisation_machine, op12_qdwh_whitening, op13_spelling_variants)}
