@@ -88,8 +88,8 @@ class Inputs:
     nmd: DataFrame | None = None          # NMD CSV rows (text)
     predictions: DataFrame | None = None
     enhancers: DataFrame | None = None
-    splice_scores: DataFrame | None = None
-    scores: dict[str, tuple[DataFrame, list[str]]] | None = None
+    splice_scores: DataFrame | sources.BucketedScores | None = None
+    scores: dict[str, tuple[DataFrame | sources.BucketedScores, list[str]]] | None = None
 
 
 def funnel(base: DataFrame, cfg: AnnotationConfig) -> DataFrame:
@@ -184,6 +184,13 @@ def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None
                        canonical_only=cfg.canonical_only, copartition=copartition)
 
 
+def _score_table(spark: SparkSession, path: str, types: dict[str, str] | None = None):
+    """A bucketed table as such, anything else as a folder of score files."""
+    if sources.is_bucketed(spark, path):
+        return sources.read_bucketed(spark, path)
+    return sources.read_score_files(spark, path, types)
+
+
 def read_inputs(spark: SparkSession, cfg: AnnotationConfig) -> Inputs:
     n = cfg.input_partitions
     e2g = cfg.e2g
@@ -196,9 +203,8 @@ def read_inputs(spark: SparkSession, cfg: AnnotationConfig) -> Inputs:
         nmd=sources.read_nmd_csv(spark, cfg.nmd_csv) if cfg.nmd_csv else None,
         predictions=sources.read_parquet(spark, e2g.predictions) if e2g else None,
         enhancers=sources.read_parquet(spark, e2g.enhancers) if e2g else None,
-        splice_scores=(sources.read_score_files(spark, cfg.absplice_result)
-                       if cfg.absplice_result else None),
-        scores={n: (sources.read_score_files(spark, t.path, SITE_TYPES), t.columns)
+        splice_scores=_score_table(spark, cfg.absplice_result) if cfg.absplice_result else None,
+        scores={n: (_score_table(spark, t.path, SITE_TYPES), t.columns)
                 for n, t in (cfg.score_tables or {}).items()} or None,
     )
 

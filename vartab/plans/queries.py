@@ -36,6 +36,7 @@ TSS_CAP = 2000
 CHROMOSOMES = ["chr1", "chr3"]
 NMD_LONG_EXON_NT = 400
 NMD_START_NT = 150
+BUCKETS = 16
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -426,6 +427,26 @@ def q_splice_lookup_shuffled(spark, sf_dir):
     return ops.splice_lookup(_filtered(fx), fx.fx_splice, pairs, broadcast_bytes=None)
 
 
+@query
+def q_splice_lookup_bucketed(spark, sf_dir):
+    """JN-6, JN-7 on a score table bucketed by site: nothing of it is shuffled, at
+    any number of sites."""
+    fx = _fx(spark, sf_dir)
+    path = work_dir(spark, "bucketed")
+    sinks.write_bucketed_scores(fx.fx_splice, path, buckets=BUCKETS)
+    pairs = ops.gene_version_map(I.gtf_gene_rows(fx), fan_out=True)
+    return ops.splice_lookup(_filtered(fx), sources.read_bucketed(spark, path), pairs, broadcast_bytes=None)
+
+
+@query
+def q_splice_lookup_filtered(spark, sf_dir):
+    """JN-6, JN-7 past the broadcast bound: a Bloom filter of the sites thins out the
+    score rows before they are shuffled."""
+    fx = _fx(spark, sf_dir)
+    pairs = ops.gene_version_map(I.gtf_gene_rows(fx), fan_out=True)
+    return ops.splice_lookup(_filtered(fx), fx.fx_splice, pairs, broadcast_bytes=0)
+
+
 def _score_sources(fx, with_cadd=True):
     return {
         "absplice": (fx.fx_splice, ["AbSplice_DNA_max", "AbSplice2_max"]),
@@ -447,6 +468,25 @@ def q_score_lookup_shuffled(spark, sf_dir):
     return ops.lookup_scores(fx.fx_variant, _score_sources(fx), broadcast_bytes=None)
 
 
+@query
+def q_score_lookup_bucketed(spark, sf_dir):
+    """RE-2 on bucketed score tables: the variants are dealt once for all of them."""
+    fx = _fx(spark, sf_dir)
+    found = {}
+    for name, (scores, columns) in _score_sources(fx).items():
+        path = work_dir(spark, f"bucketed-{name}")
+        sinks.write_bucketed_scores(scores, path, buckets=BUCKETS)
+        found[name] = (sources.read_bucketed(spark, path), columns)
+    return ops.lookup_scores(fx.fx_variant, found, broadcast_bytes=None)
+
+
+@query
+def q_score_lookup_filtered(spark, sf_dir):
+    """RE-2 past the broadcast bound: one Bloom filter of the sites for all sources."""
+    fx = _fx(spark, sf_dir)
+    return ops.lookup_scores(fx.fx_variant, _score_sources(fx), broadcast_bytes=0)
+
+
 @query
 def q_compacted_scores_lookup(spark, sf_dir):
     """SRC-6, RE-2: score files compacted by chromosome, read back and looked up
