@@ -418,7 +418,7 @@ from st_base b left join (
 
 # The same result by the plan that runs when nothing may be broadcast, and from
 # a compacted table.
-for _same, _as in (("splice_lookup_bucketed", "splice_lookup"), ("splice_lookup_filtered", "splice_lookup"),
+for _same, _as in (("scan_vcf_blocks", "scan_vcf"), ("splice_lookup_bucketed", "splice_lookup"), ("splice_lookup_filtered", "splice_lookup"),
                    ("score_lookup_bucketed", "score_lookup"), ("score_lookup_filtered", "score_lookup"),
                    ("splice_lookup_shuffled", "splice_lookup"), ("score_lookup_shuffled", "score_lookup"),
                    ("compacted_scores_lookup", "score_lookup"), ("base_table_shuffled", "base_table"),

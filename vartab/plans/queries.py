@@ -37,6 +37,7 @@ CHROMOSOMES = ["chr1", "chr3"]
 NMD_LONG_EXON_NT = 400
 NMD_START_NT = 150
 BUCKETS = 16
+SPLIT_BYTES = 128 << 10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -97,6 +98,15 @@ def q_scan_vcf(spark, sf_dir):
     return sources.read_vcf(spark, path)
 
 
+@query
+def q_scan_vcf_blocks(spark, sf_dir):
+    """SRC-1: block-gzip VCF, each file read in byte ranges by several tasks."""
+    fx = _fx(spark, sf_dir)
+    path = work_dir(spark, "bvcf")
+    sinks.write_vcf(I.vcf_rows(fx).coalesce(2), I.VCF_HEADER, path, compression="blocks", sort=False)
+    return sources.read_vcf(spark, path, split_bytes=SPLIT_BYTES)
+
+
 def _write_gtf(spark, fx) -> str:
     path = work_dir(spark, "gtf")
     gtf = I.gtf_gene_rows(fx).unionByName(I.gtf_transcript_rows(fx))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vartab.session import drop_path, work_dir
+from vartab.sources.blocks import write_blocks
 
 PARTITION_COLUMNS = ("variant_type", "gene_type", "canonical")
 
@@ -74,10 +75,15 @@ def vcf_lines(vcf: DataFrame) -> DataFrame:
 def write_text(lines: DataFrame, header: Sequence[str], path: str,
                compression: str | None = None) -> None:
     """Text lines (column ``value``) with ``header`` lines in the first part
-    file, so the part files in name order concatenate to one valid file."""
+    file, so the part files in name order concatenate to one valid file.
+    ``compression="blocks"`` writes block-gzip files, which are read in ranges."""
     spark = lines.sparkSession
     head = spark.createDataFrame([(h,) for h in header], "value string").coalesce(1)
-    w = head.union(lines.select("value")).write.mode("overwrite")
+    whole = head.union(lines.select("value"))
+    if compression == "blocks":
+        write_blocks(whole, path)
+        return
+    w = whole.write.mode("overwrite")
     if compression:
         w = w.option("compression", compression)
     w.text(path)

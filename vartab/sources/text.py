@@ -1,9 +1,10 @@
 """Tab-separated text scans: VCF, GTF and VEP ``--tab`` output.
 
 All three are read with ``spark.read.text`` and split on tabs, so a file is
-split across tasks when its codec allows it. A ``.gz`` file is one task
-(gzip is not splittable); pass ``partitions`` to spread the rows right
-after the scan.
+split across tasks when its codec allows it. A ``.gz`` file is one task there;
+``split_bytes`` reads it in ranges instead, which spreads block-gzip files (what
+``bgzip`` writes) over many tasks (``vartab.sources.blocks``). For other gzip files
+pass ``partitions`` to spread the rows right after the scan.
 """
 
 from __future__ import annotations
@@ -12,17 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vartab.functions import null_tokens
+from vartab.sources.blocks import read_blocks
 
 
 # Compressions Spark does not unpack by extension: it would read them as text.
 _UNREADABLE = (".bgz", ".bgzf", ".zip", ".xz", ".7z", ".tar", ".tgz")
 
 
-def _body(spark: SparkSession, path, comment: str = "#") -> DataFrame:
-    lines = spark.read.text(path)
-    bad = [f for f in lines.inputFiles() if f.lower().endswith(_UNREADABLE)]
-    if bad:
-        raise ValueError(f"unsupported compression (use .gz): {bad[0]}")
+def _body(spark: SparkSession, path, comment: str = "#", split_bytes: int | None = None) -> DataFrame:
+    if split_bytes:
+        lines = read_blocks(spark, path, split_bytes)
+    else:
+        lines = spark.read.text(path)
+        bad = [f for f in lines.inputFiles() if f.lower().endswith(_UNREADABLE)]
+        if bad:
+            raise ValueError(f"unsupported compression (use .gz, or split_bytes for block-gzip): {bad[0]}")
     return lines.filter(~F.col("value").startswith(comment) & (F.col("value") != ""))
 
 
@@ -31,13 +36,14 @@ def _cols(parts, spec):
 
 
 def read_vcf(spark: SparkSession, path, partitions: int | None = None,
-             keep_line: bool = False) -> DataFrame:
+             keep_line: bool = False, split_bytes: int | None = None) -> DataFrame:
     """VCF data lines -> (variant_id, chrom, start, ref, alt, info).
 
     Lines starting with ``#`` are header/comment lines; a ``#`` later in a
     line is data. ``start`` is 0-based (POS - 1) and cast strictly.
     ``keep_line`` adds the raw ``line`` (all columns, samples included) for
     verbatim re-export; column pruning drops it wherever it is not used.
+    ``split_bytes``: the files are gzip, read in ranges of about so many bytes.
     """
     p = F.split(F.col("value"), "\t", 9)  # FORMAT and the samples stay one field
     cols = [
@@ -50,7 +56,7 @@ def read_vcf(spark: SparkSession, path, partitions: int | None = None,
     ]
     if keep_line:
         cols.append(F.col("value").alias("line"))
-    df = _body(spark, path).select(*cols)
+    df = _body(spark, path, split_bytes=split_bytes).select(*cols)
     return df.repartition(partitions) if partitions else df
 
 
@@ -80,10 +86,11 @@ GTF_COLUMNS = ["seqname", "source", "feature", "start", "end", "score", "strand"
 
 
 def read_gtf(spark: SparkSession, path, feature: str | None = None,
-             partitions: int | None = None, keep_line: bool = False) -> DataFrame:
+             partitions: int | None = None, keep_line: bool = False, split_bytes: int | None = None) -> DataFrame:
     """GTF lines -> 9 named columns (1-based inclusive start/end as bigint),
     optionally only one feature type (``transcript``, ``gene``, ``exon``).
-    ``keep_line`` adds the raw ``line`` for verbatim re-export."""
+    ``keep_line`` adds the raw ``line`` for verbatim re-export; ``split_bytes`` as
+    in ``read_vcf``."""
     p = F.split(F.col("value"), "\t", -1)
     cols = []
     for i, name in enumerate(GTF_COLUMNS):
@@ -93,7 +100,7 @@ def read_gtf(spark: SparkSession, path, feature: str | None = None,
         cols.append(c.alias(name))
     if keep_line:
         cols.append(F.col("value").alias("line"))
-    df = _body(spark, path).select(*cols)
+    df = _body(spark, path, split_bytes=split_bytes).select(*cols)
     if feature is not None:
         df = df.filter(F.col("feature") == feature)
     return df.repartition(partitions) if partitions else df
