@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vartab.functions import null_tokens
 from vartab.sources.blocks import read_blocks
+from vartab.sources.discovery import all_reachable, column_header, group_files
 
 
 # Compressions Spark does not unpack by extension: it would read them as text.
@@ -109,17 +110,20 @@ def read_gtf(spark: SparkSession, path, feature: str | None = None,
 def _vep_header(spark: SparkSession, path) -> list[tuple[list[str], list[str]]]:
     """Column-header row (``#Uploaded_variation ...``) of each file, grouped.
 
-    Each probe scans only until the header line of one file (``limit(1)``
-    stops the job after the first partition that has it), so the data is
-    not read twice. A file without a header line (a later part file of a
-    folder written in parts) takes the header of its folder, which must then
-    have exactly one."""
+    One job: its tasks read the top of every file, up to the header or the first data
+    line. (In a store that tasks can't open by themselves, one small job per file.) A
+    file without a header line (a later part file of a folder written in parts) takes
+    the header of its folder, which must then have exactly one."""
+    files = spark.read.text(path).inputFiles()
     by_file: dict[str, str | None] = {}
-    for f in spark.read.text(path).inputFiles():
-        row = (spark.read.text(f)
-               .filter(F.col("value").startswith("#") & ~F.col("value").startswith("##"))
-               .limit(1).collect())
-        by_file[f] = row[0]["value"] if row else None
+    if all_reachable(files):
+        by_file = {f: h for h, fs in group_files(spark, files, column_header).items() for f in fs}
+    else:
+        for f in files:
+            row = (spark.read.text(f)
+                   .filter(F.col("value").startswith("#") & ~F.col("value").startswith("##"))
+                   .limit(1).collect())
+            by_file[f] = row[0]["value"] if row else None
     in_folder: dict[str, set[str]] = {}
     for f, h in by_file.items():
         if h is not None:
