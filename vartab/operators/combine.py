@@ -3,11 +3,12 @@ enabled tool part."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vartab.functions import CONSEQUENCE_TERMS, onehot_columns
 from vartab.operators.funnel import toggle_filter
+from vartab.operators.heavy import copy_to_salts, salt_rows
 
 # Tool columns not carried into the combined table (join
 # keys or duplicates of base columns), and the E2G column prefix.
@@ -28,10 +29,22 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 COPARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
+def copartition_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark``, with its settings, in which a join may leave sides in
+    place that are dealt by some of its keys. Frames read in it are planned so; ``spark``
+    itself, and every other query of it, keeps its setting."""
+    beside = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            beside.conf.set(key, value)
+    beside.conf.set(COPARTITION_CONF, "false")
+    return beside
+
+
 def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None = None,
             e2g: DataFrame | None = None, splice: DataFrame | None = None,
             scores: DataFrame | None = None, *, protein_coding_only: bool = False, canonical_only: bool = False,
-            copartition: bool | int = False) -> DataFrame:
+            copartition: bool | int = False, heavy: DataFrame | None = None) -> DataFrame:
     """Base rows (+ consequence one-hots, int, NULL -> 0), left-joined with
     any subset of the parts: VEP and NMD on (variant_id, transcript), E2G
     and splice on (variant_id, gene), site scores on variant_id. Toggles
@@ -40,28 +53,33 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
     Layout: with ``copartition`` every side is hash-partitioned by
     ``variant_id`` alone, so the wide base is shuffled once for all joins
     (True: as many partitions as adaptive execution sees fit; a number: that
-    many). A variant has a bounded number of transcripts, so partitions are
-    even, unless many rows lack an id. It needs
-    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (checked) when
-    the result is computed. Without it, transcript-keyed parts are joined
+    many). The base must then come from a ``copartition_session``. ``heavy``
+    (``heavy_ids``) names the ids with too many rows for one task: they are salted
+    on the base and copied on the parts, and all sides are dealt by id and salt.
+    Without ``copartition``, transcript-keyed parts are joined
     first so both share one shuffle of the base, then the gene-keyed ones
     (two base shuffles), and adaptive execution can split a skewed base
-    partition in every join: the layout for inputs with missing ids.
+    partition in every join.
     """
     spark = base.sparkSession
     if copartition and spark.conf.get(COPARTITION_CONF, "true").lower() != "false":
         raise ValueError(f"copartition needs {COPARTITION_CONF}=false")
+    if heavy is not None and not copartition:
+        raise ValueError("heavy ids are salted in the copartition layout only")
     out = toggle_filter(base, protein_coding_only, canonical_only)
+    columns, salts = out.columns, ["_salt"] if heavy is not None else []
+
     def deal(df: DataFrame) -> DataFrame:
         if not copartition:
             return df
-        return df.repartition("variant_id") if copartition is True else df.repartition(copartition, "variant_id")
+        by = ["variant_id", *salts]
+        return df.repartition(*by) if copartition is True else df.repartition(copartition, *by)
 
-    out = deal(out)
+    out = deal(salt_rows(out, heavy, "_salt") if salts else out)
     # One-hots are derived from ``consequence`` after the joins, so the
     # shuffles carry one text column instead of 17 extra ones.
     onehots = onehot_columns("consequence", null_as_zero=True)
-    order = list(out.columns) + [f"Consequence_{t}" for t in CONSEQUENCE_TERMS]
+    order = columns + [f"Consequence_{t}" for t in CONSEQUENCE_TERMS]
 
     def attach(out, part, drop, keys, rename, prefix="", drop_prefix=None):
         extra = [c for c in part.columns if c not in drop
@@ -69,7 +87,9 @@ def combine(base: DataFrame, vep: DataFrame | None = None, nmd: DataFrame | None
         right = part.select(*[F.col(src).alias(dst) for src, dst in rename.items()],
                             *[F.col(c).alias(prefix + c) for c in extra])
         order.extend(prefix + c for c in extra)
-        return out.join(deal(right), keys, "left")
+        if salts:
+            right = copy_to_salts(right, heavy, "_salt")
+        return out.join(deal(right), keys + salts, "left")
 
     if vep is not None:
         out = attach(out, vep, VEP_DROP, ["variant_id", "transcript"],

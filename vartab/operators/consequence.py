@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vartab.functions import field, int_field, nullif_empty, small_variant_type
@@ -30,18 +30,23 @@ BASE_COLUMNS = ["variant_id", "chrom", "start", "ref", "alt", "variant_type", "g
                 "strand"]
 
 
-def csq_entries(vcf: DataFrame) -> DataFrame:
-    """Explode ``CSQ=`` entries of INFO to rows with the split field array
-    ``p``; variants without a CSQ payload and intergenic entries (Gene
-    ``-`` or missing) are dropped."""
-    keys = ["variant_id", "chrom", "start", "ref", "alt"]
-    csq = F.regexp_extract(F.col("info"), r"CSQ=([^;]*)", 1)
+def gene_entries(info: str) -> Column:
+    """The ``CSQ=`` entries of INFO that name a gene, each as its split fields."""
+    csq = F.regexp_extract(F.col(info), r"CSQ=([^;]*)", 1)
     # Without a payload the one entry has no gene, so the array is empty and
     # explode yields nothing: no filter below repeats the extraction, and each
     # entry is split once.
     gene = CSQ_FIELDS["gene"] - 1
     entries = F.transform(F.split(csq, ",", -1), lambda e: F.split(e, r"\|", -1))
-    return vcf.select(*keys, F.explode(F.filter(entries, lambda p: F.get(p, F.lit(gene)) != "-")).alias("p"))
+    return F.filter(entries, lambda p: F.get(p, F.lit(gene)) != "-")
+
+
+def csq_entries(vcf: DataFrame) -> DataFrame:
+    """Explode ``CSQ=`` entries of INFO to rows with the split field array
+    ``p``; variants without a CSQ payload and intergenic entries (Gene
+    ``-`` or missing) are dropped."""
+    keys = ["variant_id", "chrom", "start", "ref", "alt"]
+    return vcf.select(*keys, F.explode(gene_entries("info")).alias("p"))
 
 
 def explode_csq(vcf: DataFrame, track: str = "small") -> DataFrame:

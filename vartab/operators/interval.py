@@ -10,12 +10,16 @@ test runs as the join's residual condition.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vartab.operators.joins import broadcast_if_small
 
 DEFAULT_BIN = 10_000
+# Bin sizes for intervals of very different length; the largest holds a chromosome.
+NESTED_BINS = tuple(1 << k for k in range(14, 30, 3))
 
 
 def bin_of(pos: Column, bin_size: int) -> Column:
@@ -31,10 +35,39 @@ def interval_bins(intervals: DataFrame, start: str = "start", end: str = "end",
     return intervals.filter(e > s).withColumn(bin_col, F.explode(bins))
 
 
+def _level(length: Column, sizes: Sequence[int]) -> Column:
+    """The least of ``sizes`` that holds an interval, by its number (the last, if none)."""
+    level = F.lit(len(sizes) - 1)
+    for k in range(len(sizes) - 2, -1, -1):
+        level = F.when(length <= sizes[k], k).otherwise(level)
+    return level
+
+
+def _size_of(level: Column, sizes: Sequence[int]) -> Column:
+    return F.element_at(F.array(*[F.lit(s).cast("bigint") for s in sizes]), level + 1)
+
+
+def nested_bins(intervals: DataFrame, start: str = "start", end: str = "end", sizes: Sequence[int] = NESTED_BINS,
+                bin_col: str = "bin", level_col: str = "level") -> DataFrame:
+    """One row per (interval, bin it touches) of the least bin size that holds it: one or
+    two rows, however long the interval (more only beyond the largest size)."""
+    s, e = F.col(start), F.col(end)
+    size = _size_of(F.col(level_col), sizes)
+    first, last = F.floor(s / size).cast("bigint"), F.floor((e - F.lit(1)) / size).cast("bigint")
+    return (intervals.filter(e > s).withColumn(level_col, _level(e - s, sizes).cast("int"))
+            .withColumn(bin_col, F.explode(F.sequence(first, last))))
+
+
+def _levels_in_use(intervals: DataFrame, start: str, end: str, sizes: Sequence[int]) -> list[int]:
+    """The levels that some interval is in (at most ``len(sizes)`` numbers)."""
+    own = intervals.filter(F.col(end) > F.col(start)).select(_level(F.col(end) - F.col(start), sizes).alias("k"))
+    return sorted(r["k"] for r in own.distinct().collect())
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str = "chrom",
                   point_pos: str = "pos", interval_chrom: str = "chrom",
                   start: str = "start", end: str = "end",
-                  bin_size: int | None = DEFAULT_BIN, how: str = "inner",
+                  bin_size: int | Sequence[int] | None = DEFAULT_BIN, how: str = "inner",
                   broadcast_bytes: int | None = None) -> DataFrame:
     """All (point, interval) pairs with chrom equal and start <= pos < end.
 
@@ -43,6 +76,10 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
     is kept). ``how='left'`` keeps points that hit nothing.
     ``bin_size=None`` plans the plain range join (hash on chrom only); it
     exists to measure and test the binned form against.
+    Several sizes (``NESTED_BINS``) put each interval into bins of the least size that
+    holds it, two at most, and look for a point in one bin of each size that is in use
+    (one small job over the intervals tells): for intervals of very different length,
+    where copies by a single size would grow with the length.
 
     Side choice: the points (variants) are the big, growing side and are
     never broadcast, since a broadcast build side leaves all output to the
@@ -62,6 +99,15 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
         iv = iv.filter(F.col(end) > F.col(start))
         cond = ((p[point_chrom] == iv[ichrom]) & (p[point_pos] >= iv[start])
                 & (p[point_pos] < iv[end]))
+    elif not isinstance(bin_size, int):
+        if how != "inner":
+            raise ValueError("bins of several sizes are for inner joins: a point is looked for in each")
+        levels = _levels_in_use(iv, start, end, bin_size) or [0]
+        p = points.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels])))
+        p = p.withColumn("_bin", F.floor(F.col(point_pos) / _size_of(F.col("_level"), bin_size)).cast("bigint"))
+        iv = nested_bins(iv, start, end, bin_size, "_ibin", "_ilevel")
+        cond = ((p[point_chrom] == iv[ichrom]) & (p["_level"] == iv["_ilevel"]) & (p["_bin"] == iv["_ibin"])
+                & (p[point_pos] >= iv[start]) & (p[point_pos] < iv[end]))
     else:
         p = points.withColumn("_bin", bin_of(F.col(point_pos), bin_size))
         iv = interval_bins(iv, start, end, bin_size, "_ibin")
@@ -72,5 +118,5 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
         p = p.hint("merge")
     out = p.join(small, cond, how)
     if bin_size is not None:
-        out = out.drop("_bin", "_ibin")
+        out = out.drop("_bin", "_ibin", "_level", "_ilevel")
     return out.drop("_ichrom") if same else out

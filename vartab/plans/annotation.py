@@ -62,6 +62,7 @@ class AnnotationConfig:
     input_partitions: int | None = None
     export_funnel: bool = False
     strip_chr: bool = False
+    rows_per_salt: int = ops.heavy.ROWS_PER_SALT
 
     def validate(self, files: bool = False) -> None:
         """``files``: also what a run from files needs."""
@@ -100,19 +101,19 @@ def funnel(base: DataFrame, cfg: AnnotationConfig) -> DataFrame:
                                  cfg.canonical_only)
 
 
-def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame,
+def export_funnel(spark: SparkSession, small: DataFrame, base: DataFrame, meta: DataFrame,
                   cfg: AnnotationConfig, header: list[str]) -> dict:
     """The funnel's file outputs for external annotators: the id list, the
-    filtered input VCF (the input lines of the analysis set, verbatim, by a
-    LEFT SEMI join, under the input's own header), and that VCF restricted
-    to ``chromosomes`` as standalone VCF chunks (header in each) of at most
-    ``variants_per_chunk`` rows."""
+    filtered input VCF (the input lines of the analysis set, verbatim, each told by
+    its own payload and so never shuffled before the sort, under the input's own
+    header), and that VCF restricted to ``chromosomes`` as standalone VCF chunks
+    (header in each) of ``variants_per_chunk`` rows."""
     out = cfg.output_dir.rstrip("/")
     paths = {"ids": f"{out}/funnel/small.ids", "vcf": f"{out}/funnel/small.vcf",
              "chunks": f"{out}/funnel/chunks"}
     ids = ops.analysis_set(base, cfg.distance, cfg.protein_coding_only, cfg.canonical_only)
     counts = {"ids": sinks.write_ids(ids, paths["ids"])["rows"]}
-    filtered = ops.filter_variants(small, spark.read.text(paths["ids"]))
+    filtered = ops.filter_lines(small, meta, cfg.distance, cfg.protein_coding_only, cfg.canonical_only)
     counts["vcf"] = sinks.write_vcf(filtered, header, paths["vcf"])["rows"]
     chunked = ops.chromosome_subset(sources.read_vcf(spark, paths["vcf"], keep_line=True),
                                     cfg.chromosomes)
@@ -147,41 +148,38 @@ def tool_parts(inp: Inputs, filtered: DataFrame, cfg: AnnotationConfig, prune: b
 def base_counts() -> dict:
     """What is observed of the base table while it is written."""
     return {"canonical_rows": F.count_if("canonical"), "variants": F.approx_count_distinct("variant_id", 0.01),
-            "unnamed_rows": F.count_if(F.col("variant_id").isNull() | (F.col("variant_id") == "."))}
-
-
-def one_base_shuffle(spark: SparkSession, unnamed_rows: int) -> bool:
-    """Whether the combine may deal all its sides by variant id alone, which
-    shuffles the wide base once: yes, unless rows lack an id (these would all
-    meet). Allows it in the session, as it is read when the result is computed."""
-    if unnamed_rows == 0:
-        spark.conf.set(ops.COPARTITION_CONF, "false")
-    return unnamed_rows == 0
+            "unnamed_rows": F.count_if(F.col("variant_id").isNull() | (F.col("variant_id") == ".")),
+            "frequent": ops.frequent_ids("variant_id")}
 
 
 def annotation_table(inp: Inputs, cfg: AnnotationConfig, base: DataFrame | None = None,
-                     parts: dict[str, DataFrame] | None = None, copartition: bool = False) -> DataFrame:
+                     parts: dict[str, DataFrame] | None = None, copartition: bool = False,
+                     heavy: DataFrame | None = None) -> DataFrame:
     """The combined table.
 
     The base table feeds both the funnel and the combine. When it is not
     given (already stored), it is built and written once as Parquet under
     the shared checkpoint directory, so the CSQ parse and explode run once,
-    and what reads it scans only the columns and rows it needs.
+    and what reads it scans only the columns and rows it needs. It is read in a
+    session beside the caller's, whose joins may deal it by variant id alone
+    (``copartition_session``); ids with very many rows, found while it is
+    written, are salted.
     """
     cfg.validate()
     if base is None:
         meta = ops.transcript_metadata(inp.gtf_transcripts)
         base = ops.base_table(inp.small, inp.sv if cfg.include_sv else None, meta)
-        spark, path = base.sparkSession, work_dir(base.sparkSession, "base")
+        path = work_dir(base.sparkSession, "base")
         counts = sinks.write_parquet(base, path, metrics=base_counts())
-        copartition = one_base_shuffle(spark, counts["unnamed_rows"])
+        spark = ops.copartition_session(base.sparkSession)
+        copartition, heavy = True, ops.heavy_ids(spark, counts["frequent"], cfg.rows_per_salt)
         base = spark.read.parquet(path)
     if parts is None:
         parts = tool_parts(inp, funnel(base, cfg), cfg)
     return ops.combine(base, parts.get("vep"), parts.get("nmd"), parts.get("e2g"),
                        parts.get("absplice"), parts.get("scores"),
                        protein_coding_only=cfg.protein_coding_only,
-                       canonical_only=cfg.canonical_only, copartition=copartition)
+                       canonical_only=cfg.canonical_only, copartition=copartition, heavy=heavy)
 
 
 def _score_table(spark: SparkSession, path: str, types: dict[str, str] | None = None):
@@ -236,18 +234,19 @@ def annotate(spark: SparkSession, cfg: AnnotationConfig) -> dict:
         "canonical": F.count_if("canonical"), "mane": F.count_if("mane_select"), "symbol": F.count("symbol")})
     inp.gtf_genes = keep(inp.gtf_genes.select("attributes"), "genes", "gene")
     base = keep(ops.base_table(inp.small, inp.sv, meta), "parts/base", "base", base_counts())
+    beside = ops.copartition_session(spark)
+    heavy = ops.heavy_ids(beside, metrics.pop("base_frequent"), cfg.rows_per_salt)
     if cfg.export_funnel:
         header = sources.read_vcf_header(spark, cfg.input_vcf) or VCF_HEADER
-        metrics["funnel"] = export_funnel(spark, inp.small, base, cfg, header)
+        metrics["funnel"] = export_funnel(spark, inp.small, base, meta, cfg, header)
     filtered = keep(funnel(base, cfg), "parts/filtered", "filtered")
     parts = {}
     for name, part in tool_parts(inp, filtered, cfg, prune=True).items():
         parts[name] = keep(part, f"parts/{name}", name)
         counts = sinks.distinct_counts(parts[name], PART_COUNTS[name])
         metrics.update({f"{name}_{'genes' if 'gene' in c else 'variants'}": n for c, n in counts.items()})
-    metrics["rows"] = sinks.write_annotations(annotation_table(
-        inp, cfg, base, parts, one_base_shuffle(spark, metrics["base_unnamed_rows"])),
-                                              f"{out}/annotations.parquet")["rows"]
+    whole = annotation_table(inp, cfg, beside.read.schema(base.schema).parquet(f"{out}/parts/base.parquet"), parts, True, heavy)
+    metrics["rows"] = sinks.write_annotations(whole, f"{out}/annotations.parquet")["rows"]
     return metrics
 
 

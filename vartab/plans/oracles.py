@@ -416,9 +416,27 @@ from st_base b left join (
       on v.chrom = c.chrom and v.start = c.start and v.ref = c.ref and v.alt = c.alt) s using (variant_id)"""
 
 
+ORACLES["filtered_vcf_toggles"] = "select * from st_fvcf_pc_canon"
+ORACLES["chunk_export_exact"] = f"""
+select (k - 1) // {Q.CHUNK_ROWS} as chunk, count(*) as n_lines, arg_min(chrom, k) as first_chrom, arg_min(start, k) as first_start,
+       arg_max(chrom, k) as last_chrom, arg_max(start, k) as last_start
+from (select chrom, start, row_number() over (order by chrom, start) as k from st_fvcf) t group by 1"""
+ORACLES["interval_overlap_nested"] = """
+select e.id as enhancer_id, count(*) as n, min(v.start) as first, max(v.start) as last
+from fx_variant v join fx_enhancer e
+  on replace(v.chrom, 'chr', '') = e.chromosome and v.start >= e.start
+ and v.start < e."end" + case when e.id % 40 = 0 then cast(pow(10, (e.id / 40) % 9) as bigint) else 0 end
+group by e.id"""
+ORACLES["merged_metrics"] = """
+select c as "column", (select count(*) from st_base) as rows, n as n_distinct, true as within_error
+from (select 'variant_id' as c, count(distinct variant_id) as n from st_base
+      union all select 'transcript', count(distinct transcript) from st_base
+      union all select 'gene', count(distinct gene) from st_base) t"""
+
 # The same result by the plan that runs when nothing may be broadcast, and from
 # a compacted table.
-for _same, _as in (("scan_vcf_blocks", "scan_vcf"), ("splice_lookup_bucketed", "splice_lookup"), ("splice_lookup_filtered", "splice_lookup"),
+for _same, _as in (("scan_vcf_blocks", "scan_vcf"), ("filtered_vcf_lines", "filtered_vcf"), ("combine_all_salted", "combine_all"),
+                   ("splice_lookup_bucketed", "splice_lookup"), ("splice_lookup_filtered", "splice_lookup"),
                    ("score_lookup_bucketed", "score_lookup"), ("score_lookup_filtered", "score_lookup"),
                    ("splice_lookup_shuffled", "splice_lookup"), ("score_lookup_shuffled", "score_lookup"),
                    ("compacted_scores_lookup", "score_lookup"), ("base_table_shuffled", "base_table"),

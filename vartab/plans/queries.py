@@ -37,6 +37,7 @@ CHROMOSOMES = ["chr1", "chr3"]
 NMD_LONG_EXON_NT = 400
 NMD_START_NT = 150
 BUCKETS = 16
+SALT_ROWS = 4
 SPLIT_BYTES = 128 << 10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -334,6 +335,26 @@ def q_filtered_vcf(spark, sf_dir):
     return sources.read_vcf(spark, vcf_path)
 
 
+def _filtered_lines(spark, sf_dir, **toggles):
+    fx = _fx(spark, sf_dir)
+    path = work_dir(spark, "lvcf")
+    kept = ops.filter_lines(I.vcf_rows(fx), _metadata(fx), ANALYSIS_WINDOW, **toggles)
+    sinks.write_vcf(kept, I.VCF_HEADER, path, sort=False)
+    return sources.read_vcf(spark, path)
+
+
+@query
+def q_filtered_vcf_lines(spark, sf_dir):
+    """JN-12, SNK-5 with each input line judged by its own payload: none is shuffled."""
+    return _filtered_lines(spark, sf_dir)
+
+
+@query
+def q_filtered_vcf_toggles(spark, sf_dir):
+    """JN-12, FLT-6, FLT-7: the same with both toggles on."""
+    return _filtered_lines(spark, sf_dir, protein_coding_only=True, canonical_only=True)
+
+
 @query
 def q_chrom_subset(spark, sf_dir):
     """FLT-12: chromosome list applied before chunking."""
@@ -351,6 +372,21 @@ def q_chunk_export(spark, sf_dir):
     return sources.read_vcf(spark, path).select("variant_id", "chrom", "start", "ref", "alt")
 
 
+@query
+def q_chunk_export_exact(spark, sf_dir):
+    """SNK-6: chunks of exactly CHUNK_ROWS lines in the order of the (sorted) input."""
+    path = work_dir(spark, "chunk")
+    lines = sinks.sort_by_position(_filtered(_fx(spark, sf_dir)).withColumn("info", F.lit(".")))
+    sinks.write_vcf_chunks(lines, I.VCF_HEADER, path, CHUNK_ROWS)
+    chunk = F.regexp_extract(F.col("_metadata.file_path"), r"chunk=(\d+)", 1).cast("long")
+    text = spark.read.option("recursiveFileLookup", "true").text(path).select("value", chunk.alias("chunk"))
+    part = F.split("value", "\t")
+    place = F.struct(F.get(part, 0).alias("chrom"), (F.get(part, 1).cast("long") - 1).alias("start"))
+    lines = text.filter(~F.col("value").startswith("#")).groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min(place).alias("first"), F.max(place).alias("last"))
+    return lines.select("chunk", "n_lines", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("first", "last") for c in ("chrom", "start")])
+
+
 # --- interval join and enhancer links ------------------------------------------
 
 @query
@@ -370,6 +406,17 @@ def q_interval_overlap(spark, sf_dir):
     return ops.interval_join(v, e, point_pos="pos").select("variant_id", "enhancer_id")
 
 
+@query
+def q_interval_overlap_nested(spark, sf_dir):
+    """JN-4, GEN-2 with intervals from some hundred bases to a whole chromosome."""
+    fx = _fx(spark, sf_dir)
+    v = fx.fx_variant.select("variant_id", F.replace("chrom", F.lit("chr"), F.lit("")).alias("chrom"), F.col("start").alias("pos"))
+    long = F.when(F.col("id") % 40 == 0, F.pow(F.lit(10), F.col("id") / 40 % 9).cast("bigint")).otherwise(0)
+    e = fx.fx_enhancer.select(F.col("id").alias("enhancer_id"), F.col("chromosome").alias("chrom"), "start", (F.col("end") + long).alias("end"))
+    pairs = ops.interval_join(v, e, point_pos="pos", bin_size=ops.NESTED_BINS)
+    return pairs.groupBy("enhancer_id").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+
+
 @query
 def q_collapse_pairs(spark, sf_dir):
     """AGG-1, FLT-8, FLT-10: cell types collapsed per (enhancer, gene)."""
@@ -562,6 +609,13 @@ def q_combine_all(spark, sf_dir):
                     protein_coding_only=True, canonical_only=True)
 
 
+@query
+def q_combine_all_salted(spark, sf_dir):
+    """JN-13 with the variants of more than SALT_ROWS rows salted."""
+    return _combine(spark, sf_dir, ("vep", "nmd", "e2g", "absplice"), protein_coding_only=True, canonical_only=True,
+                    rows_per_salt=SALT_ROWS)
+
+
 _ANN_KEYS = ["variant_id", "transcript", "variant_type", "gene_type", "canonical"]
 
 
@@ -600,6 +654,25 @@ def q_run_metrics(spark, sf_dir):
                              flags=["canonical"])
 
 
+@query
+def q_merged_metrics(spark, sf_dir):
+    """SNK-8, AGG-7: distinct counts of a table written in two parts, from the sketches
+    stored beside them; the exact counts for comparison, and whether each estimate is
+    within three standard errors."""
+    base, columns = _base(_fx(spark, sf_dir)), ["variant_id", "transcript", "gene"]
+    paths = []
+    for k, rows in enumerate((base.filter("start % 3 > 0"), base.filter("start % 3 = 0"))):
+        paths.append(work_dir(spark, f"part{k}"))
+        found = sinks.write_parquet(rows, paths[-1], metrics=sinks.sketches(columns))
+        sinks.store_metrics(spark, paths[-1], found, columns)
+    merged = sinks.merged_metrics(spark, paths)
+    exact = sinks.distinct_counts(spark.read.parquet(*paths), columns)
+    known = spark.createDataFrame(list(exact.items()), "column string, n_distinct long")
+    off = F.abs(F.col("distinct_estimate") - F.col("n_distinct")) / F.col("n_distinct")
+    return (merged.join(F.broadcast(known), "column")
+            .select("column", "rows", "n_distinct", (off <= 3 * 1.04 / 2 ** (sinks.metrics.LOG_SIZE / 2)).alias("within_error")))
+
+
 # --- re-aimed external annotators --------------------------------------------
 
 @query

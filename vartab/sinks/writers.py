@@ -126,11 +126,17 @@ def sort_by_position(df: DataFrame, chrom: str = "chrom", start: str = "start")
 
 def run_metrics(df: DataFrame, distinct: Sequence[str] = (),
                 flags: Sequence[str] = ()) -> DataFrame:
-    """One-row table: row count, distinct counts and true-counts of flags."""
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    aggs += [F.count_distinct(c).alias(f"distinct_{c}") for c in distinct]
-    aggs += [F.count_if(F.col(c)).alias(f"n_{c}") for c in flags]
-    return df.agg(*aggs)
+    """One-row table: row count, distinct counts and true-counts of flags. Every
+    distinct count is an aggregate of its own over one pruned column (several in one
+    aggregate would multiply the rows), so pass a stored or cheap table."""
+    counts = {"n_rows": F.count(F.lit(1)), **{f"n_{c}": F.count_if(F.col(c)) for c in flags}}
+    found = [df.agg(*[v.alias(k) for k, v in counts.items()])]
+    found += [df.agg(F.count_distinct(c).alias(f"distinct_{c}")) for c in distinct]
+    names = ["n_rows", *[f"distinct_{c}" for c in distinct], *[f"n_{c}" for c in flags]]
+    whole = found[0]
+    for one in found[1:]:
+        whole = whole.unionByName(one, allowMissingColumns=True)
+    return whole.agg(*[F.max(c).alias(c) for c in names])
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
@@ -150,35 +156,48 @@ def compact_scores(scores: DataFrame, path: str, chrom: str = "chrom", start: st
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(chrom).parquet(path))
 
 
+def number_rows(rows: DataFrame, mid: str, number: str) -> DataFrame:
+    """``rows`` (stored, with the ``monotonically_increasing_id`` they were written under
+    in ``mid``) numbered without gaps in that order: one pass counts the rows of each
+    partition, their prefix sums (one number per task) are broadcast."""
+    part = F.shiftright(F.col(mid), 33).cast("int")
+    counts = sorted((r["_part"], r["count"]) for r in rows.groupBy(part.alias("_part")).count().collect())
+    offsets, before = [], 0
+    for k, n in counts:
+        offsets.append((k, before))
+        before += n
+    table = rows.sparkSession.createDataFrame(offsets, "_part int, _before long")
+    own = F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))
+    return (rows.withColumn("_part", part).join(F.broadcast(table), "_part")
+            .withColumn(number, F.col("_before") + own).drop("_part", "_before"))
+
+
 def write_vcf_chunks(vcf: DataFrame, header: Sequence[str], path: str,
                      rows_per_chunk: int = 500_000) -> dict:
-    """Standalone VCF chunk files: every chunk folder (``chunk=<id>``) holds
-    one text file with the header lines followed by at most
-    ``rows_per_chunk`` data lines.
-
-    The lines are stored first and numbered as they are read back, so a
-    retried task sees the same rows in the same order. A chunk is a run of
-    ``rows_per_chunk`` rows of one partition of that table;
-    ``monotonically_increasing_id`` carries both the partition and the
-    position inside it, so there is no global row numbering and no single
-    task. The header is a small table joined to the list of chunks. A chunk
-    is the largest unit a task holds. Returns the observed number of data
-    lines.
+    """Standalone VCF chunk files: every chunk folder (``chunk=<k>``, k from 0)
+    holds one text file with the header lines followed by ``rows_per_chunk`` data
+    lines, in the order of ``vcf`` (its partitions one after another); only the last
+    chunk holds fewer.
+
+    The lines are stored first, with their partition and place in it, so a retried
+    task sees the same rows in the same order, and then numbered
+    (``number_rows``); a line's chunk is its number div ``rows_per_chunk``. No task
+    holds more than a chunk. Returns the observed number of data lines.
     """
     spark = vcf.sparkSession
     counted, obs = _counted(vcf_lines(vcf), "vcf_chunks")
     lines_path = work_dir(spark, "chunk-lines")
-    counted.write.parquet(lines_path)
-    rows = spark.read.schema("value string").parquet(lines_path).withColumn("_mid", F.monotonically_increasing_id())
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    chunk = F.concat_ws("_", F.shiftright(F.col("_mid"), 33).cast("string"),
-                        F.floor(pos / F.lit(rows_per_chunk)).cast("string"))
-    data = rows.select(chunk.alias("chunk"), (pos + F.lit(len(header))).alias("pos"), "value")
-    head = spark.createDataFrame([(0, i, h) for i, h in enumerate(header)], "k int, pos long, value string")
-    firsts = rows.filter(pos % F.lit(rows_per_chunk) == 0).select(chunk.alias("chunk"), F.lit(0).alias("k"))
-    tops = firsts.join(F.broadcast(head), "k").select("chunk", (F.col("pos") - F.lit(len(header))).alias("pos"), "value")
-    out = data.unionByName(tops)
-    (out.repartition("chunk").sortWithinPartitions("chunk", "pos")
+    counted.withColumn("_mid", F.monotonically_increasing_id()).write.parquet(lines_path)
+    total = obs.get["rows"]
+    rows = number_rows(spark.read.schema("value string, _mid long").parquet(lines_path), "_mid", "_number")
+    n = F.lit(rows_per_chunk)
+    data = rows.select(F.expr(f"_number div {rows_per_chunk}").alias("chunk"), (F.col("_number") % n).alias("pos"), "value")
+    lines = F.array(*[F.struct(F.lit(i - len(header)).cast("long").alias("pos"), F.lit(h).alias("value")) for i, h in enumerate(header)])
+    if header:
+        tops = (spark.range(-(-total // rows_per_chunk)).select(F.col("id").alias("chunk"), F.explode(lines).alias("h"))
+                .select("chunk", "h.pos", "h.value"))
+        data = data.unionByName(tops)
+    (data.repartition("chunk").sortWithinPartitions("chunk", "pos")
      .select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(path))
     drop_path(spark, lines_path)
-    return dict(obs.get)
+    return {"rows": total}
