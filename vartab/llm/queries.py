@@ -25,8 +25,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries: rows whose vec_id is divisible by 50, against all rows."""
-    vectors = table(spark, sf_dir, "embeddings")
-    return ann.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
