@@ -60,6 +60,14 @@ def test_pattern_without_the_space_rule(vocab):
     assert [ids_of(g) for g in plain.encode(texts)] == [other.encode_ordinary(t) for t in texts]
 
 
+def test_texts_with_every_private_sign(vocab, reference):
+    """No sign is left to mark cuts with."""
+    texts = ["".join(map(chr, range(0xE000, 0xF900))) + " some words follow  here", "other words", ""]
+    got = vocab.encode(texts)
+    assert [ids_of(g) for g in got] == [reference.encode_ordinary(t) for t in texts]
+    assert vocab.decode(got) == [t.encode() for t in texts]
+
+
 def expected(reference, text):
     ids = np.array(reference.encode_ordinary(text or ""), "<u4").tobytes()
     return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()

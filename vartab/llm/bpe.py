@@ -182,22 +182,23 @@ class Vocabulary:
             if len(parts) != 1:
                 cache[chunk] = b"".join(map(cache.__getitem__, parts))
 
-    def _marked(self, texts: list[str]) -> tuple[list[str], str]:
-        """The texts with a sign, found in none of them, where a word surely
-        starts: before a space between two characters that are not white space."""
+    def _chunks(self, texts: list[str]) -> pa.ListArray:
+        """Each text as a list of chunks, cut where a word surely starts: before a space
+        between two characters that are not white space. A sign found in none of the
+        texts marks the cuts; texts that hold all of these signs are one chunk each."""
         joined = "".join(texts)
-        sign = next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in joined)
-        if not self.space_starts_word:
-            return texts, sign
+        sign = next((c for c in map(chr, range(0xE000, 0xF8FF)) if c not in joined), None) if self.space_starts_word else None
+        if sign is None:
+            return pa.ListArray.from_arrays(pa.array(range(len(texts) + 1), pa.int32()), pa.array(texts, pa.large_string()))
         cut = sign + " "
-        return [self._cut.sub(cut, t) if self._wide.search(t) else t.replace(" ", cut) for t in texts], sign
+        marked = [self._cut.sub(cut, t) if self._wide.search(t) else t.replace(" ", cut) for t in texts]
+        return pc.split_pattern(pa.array(marked, pa.large_string()), sign)
 
     def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text)."""
         if self._con is None:
             self._open()
-        marked, sign = self._marked(texts)
-        chunks = pc.split_pattern(pa.array(marked, pa.large_string()), sign)
+        chunks = self._chunks(texts)
         coded = chunks.values.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         cache = self._cache
