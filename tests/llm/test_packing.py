@@ -50,6 +50,23 @@ def test_lossless_over_the_table(spark):
     assert put_together(op5_packed_rows(spark, SF_SMALL).collect()) == sorted(str(w) for w in want if w[1])
 
 
+def test_long_blanks(spark, monkeypatch):
+    v = vocabulary()
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=v.ranks, special_tokens={})
+    monkeypatch.setattr(packing, "_BLANKS", packing.re.compile(packing._BLANKS.pattern.replace("1000", "3")))
+    own = packing.Coder(v.ranks, v.pattern)
+    for blank in (" ", "\n", "\t ", " \u3000\x85", "\r\n"):
+        for n in (1, 2, 3, 4, 9, 5000):
+            for before, after in (("", ""), ("x", "y"), ("1", "'s"), ("!", "\x1cé"), ("", " 5"), (" ", "\n")):
+                text = f"{before}{(blank * n)[:n]}{after}{(blank * n)[:n]}{before}"
+                assert own.encode(text) == coder.encode_ordinary(text)
+    monkeypatch.undo()
+    texts = [" " * 1_200_000 + "a", "b" + "\n" * 1_100_000, "c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack_tokens(docs, v.ranks, v.pattern).collect()
+    assert sum(r.n_tokens for r in rows) == 1_200_000 + 1_100_000 + 1 + 1 - 1 + 1
+
+
 def test_odd_rows_and_small_chunks(odd_docs, no_docs):
     v = vocabulary()
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=v.ranks, special_tokens={})

@@ -17,6 +17,7 @@ positions reset at segment starts) and which part of which text each segment is.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +30,35 @@ from pyspark.sql import functions as F
 ROW_TOKENS = 2048
 CHUNK_TOKENS = 4 << 20
 BATCH_BYTES = 4 << 20
+LONG_BLANKS = 1000
+# White space of the pattern (the Unicode property), in runs that the library's regular
+# expression would track back through.
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_BLANKS)
 
 SCHEMA = ("partition int, chunk int, row int, n_tokens int, n_segments int, cu_seqlens array<int>, "
           "doc_ids array<long>, doc_rows array<long>, doc_starts array<int>, input_ids binary, position_ids binary, "
           "ids_sha256 string")
 
 
+class Coder:
+    """Encodes texts by the library. A long run of white space is one match of the
+    pattern, less its last sign if something follows, and is encoded as such, since the
+    library gives up on runs of a million."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.words = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> list[int]:
+        out, at = [], 0
+        for run in _BLANKS.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += self.words.encode_ordinary(text[at:run.start()])
+            out += self.whole.encode_ordinary(text[run.start():end])
+            at = end
+        return out + self.words.encode_ordinary(text[at:])
+
+
 class RoomTree:
     """A segment tree over room 0..most: counts of open rows by room, with a stack
     of the rows at each leaf."""
@@ -116,10 +140,11 @@ def pack_tokens(docs: DataFrame, ranks: dict[bytes, int], pattern: str, row_toke
                 pad_id: int | None = None, chunk_tokens: int = CHUNK_TOKENS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The packed rows of all texts (see SCHEMA); (partition, chunk, row) names a
-    row. Ids are 16-bit where the vocabulary and the padding fit, else 32-bit.
+    row. Which texts share a row depends on the partitions of ``docs``. Ids are 16-bit where the vocabulary and the padding fit, else 32-bit.
 
     Defined cases: a null or empty text has no ids and is in no row; a text longer
-    than a row becomes several segments, whose doc_starts tell their order; null
+    than a row becomes several segments, whose doc_starts tell their order; runs of
+    white space may be of any length; null
     and repeated doc_ids are told apart by doc_rows, the number of the input row
     in its partition; an empty table gives no rows. Other columns are not read."""
     pad = max(ranks.values()) + 1 if pad_id is None else pad_id
@@ -127,7 +152,7 @@ def pack_tokens(docs: DataFrame, ranks: dict[bytes, int], pattern: str, row_toke
     sent = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary: some 50,000 tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=sent.value, special_tokens={})
+        coder = Coder(sent.value, pattern)
         part = TaskContext.get().partitionId()
         ids, names, held, chunk, seen = [], [], 0, 0, 0
 
@@ -140,7 +165,7 @@ def pack_tokens(docs: DataFrame, ranks: dict[bytes, int], pattern: str, row_toke
 
         for batch in batches:
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                x = np.array(coder.encode_ordinary(text or ""), dtype)
+                x = np.array(coder.encode(text or ""), dtype)
                 if held and held + len(x) > chunk_tokens:
                     yield from flush()
                     ids, names, held, chunk = [], [], 0, chunk + 1
