@@ -1,6 +1,7 @@
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from llm_fixtures import SF_SMALL, no_docs, odd_docs  # noqa: F401
@@ -45,8 +46,11 @@ def test_matches_like_brute_force(spark):
 def test_entries_are_chosen_by_what_they_tell():
     tox = {"idiot": 60, "idio*": 60, "idi*": 61, "cass*": 30, "casso": 5, "the": 100, "rare": 3}
     rest = {"idi*": 50, "the": 900, "cass*": 4}
-    chosen = toxicity.choose(tox, rest, 100, 900)
+    chosen = toxicity.choose(tox, rest, 100, 900, general=())
     assert set(chosen) == {"idiot", "cass*"} and chosen["idiot"] > chosen["cass*"] > 2
+    more = toxicity.choose(tox, rest | {"trash": 300}, 100, 900)
+    assert set(more) == {"cass*", *toxicity.DEFAULT_WORDS} - {"trash"} and more["idiot"] > more["moron"] > 1.8
+    assert toxicity.choose({}, {}, 0, 0) == dict.fromkeys(toxicity.DEFAULT_WORDS, 4.0)
     assert toxicity.entries_of("Abcde xy") == {"abcde", "abc*", "abcd*", "xy"}
 
 
@@ -72,6 +76,17 @@ def test_held_out_labels_teach_nothing(spark):
     assert one == sorted((r.doc_id, r.score) for r in toxicity.score(docs, lied).collect())
 
 
+def test_labels_weigh_in_gradually():
+    """No number of labels switches from one rule to another."""
+    x = lambda n: np.concatenate([toxicity.features(np.full(n, 4.0), np.full(n, 50.0)), toxicity.features(np.zeros(9 * n), np.full(9 * n, 50.0))])
+    y = lambda n: np.array([1.0] * n + [0.0] * 9 * n)
+    assert toxicity.fit_curve(x(0), y(0)).tolist() == list(toxicity.PRIOR_CURVE)
+    curves = [toxicity.fit_curve(x(n), y(n)) for n in (0, 1, 2, 5, 9, 10, 11, 30, 100)]
+    hits = [float(x(1)[0] @ c) for c in curves]
+    assert hits == sorted(hits) and max(np.diff(hits[1:7])) < 1.5 and hits[-1] > 2
+    assert np.isfinite(toxicity.fit_curve(x(5), np.ones(50))).all()
+
+
 def test_a_repeated_id_teaches_once(spark):
     """One labelled id in more rows than there are sampled ids, equal and with other texts."""
     docs = [(i, f"plain words number{i} " + ("vileness here" if i % 2 else "kindness there")) for i in range(200)]

@@ -9,11 +9,13 @@ the score through a logistic curve.
 Entries of the lexicon are words, or stems (``idio*``) that match the words they
 begin, as toxic words of inflected languages come in many forms.
 
-Lexicon and curve are learned from labelled rows only, from a bounded sample of
-them: the ``SAMPLE`` training ids with the smallest hash. Words and stems are
+The lexicon starts from a few general words and the curve from a prior; both learn
+from labelled rows only, from a bounded sample of them: the ``SAMPLE`` training ids
+with the smallest hash. Few labels change little, many decide. Words and stems are
 counted in Spark, first over the toxic texts, then those frequent there over the
-others; the driver gets at most ``CANDIDATES`` counts and one row per sampled
-id. An id counts once per entry, however many rows or texts it has. Of entries
+others; the driver gets the counts of entries that ``LEAST_SHARE`` of the toxic texts
+hold (so at most 1 / LEAST_SHARE times the mean number of entries in one) and one row per
+sampled id. An id counts once per entry, however many rows or texts it has. Of entries
 that contain one another the one that tells most stays.
 """
 
@@ -32,8 +34,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 20_000
-CANDIDATES = 50_000
-MOST_WORDS = 500
 STEMS = range(3, 9)  # lengths
 THRESHOLD = 0.3
 SLICE = 500
@@ -41,7 +41,9 @@ SLICE = 500
 # many times (log) as frequent there as elsewhere, and tells this much (in nats, over
 # the sample) about the labels.
 LEAST_SHARE, LEAST_LOG_ODDS, LEAST_GAIN = 0.01, 1.8, 10.0
-# Without usable labels: a small general lexicon, all weights 4.
+# The general words, each as if seen in this many toxic texts and no other; the curve
+# that holds without any label, and how many texts' worth of it.
+PRIOR_TEXTS, PRIOR_CURVE, PRIOR_RIDGE = 2, (-4.0, 1.0, 1.0), 1.0
 DEFAULT_WORDS = ("idiot", "moron", "stupid", "loser", "scum", "pathetic", "worthless", "disgusting", "trash", "clown")
 EXCEPTIONS = ("trash can", "trash bin", "white trash bag", "clown fish", "circus clown", "pond scum", "sore loser board",
               "idiot light", "idiot proof", "not stupid", "not an idiot", "not a moron", "not a loser", "not worthless")
@@ -120,13 +122,14 @@ def features(total: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(total)), np.log1p(total), np.log1p(100.0 * total / np.maximum(words, 1))], axis=1)
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Logistic regression by Newton steps, with a ridge on all but the intercept."""
-    beta, pen = np.zeros(x.shape[1]), np.diag([1e-6] + [ridge] * (x.shape[1] - 1))
-    for _ in range(30):
+def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = PRIOR_RIDGE, prior: tuple = PRIOR_CURVE) -> np.ndarray:
+    """Logistic regression by Newton steps, with a ridge toward ``prior``."""
+    start = np.array(prior[:x.shape[1]], float)
+    beta, pen = start.copy(), ridge * np.eye(len(start))
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pen, x.T @ (y - p) - pen @ beta)
-        beta += step
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pen, x.T @ (y - p) - pen @ (beta - start))
+        beta += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
     return beta
@@ -141,7 +144,7 @@ def entries_of(text: str | None) -> set[str]:
 def _count(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
     """(entry, n): ids that hold an entry. Those of one row are summed over each task
     before the shuffle, the others meet by entry and id."""
-    shared = rows.sparkSession.sparkContext.broadcast(among)  # at most CANDIDATES entries
+    shared = rows.sparkSession.sparkContext.broadcast(among)  # entries of LEAST_SHARE of the toxic texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -169,25 +172,30 @@ def _count(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
     return by_id.groupBy("entry").agg(F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(1)).alias("n"))
 
 
-def choose(tox: dict[str, int], rest: dict[str, int], n_tox: int, n_rest: int) -> dict[str, float]:
-    """Weights (log odds) of the entries that tell most about the labels; none
-    contains another."""
+def choose(tox: dict[str, int], rest: dict[str, int], n_tox: int, n_rest: int,
+           general: tuple[str, ...] = DEFAULT_WORDS) -> dict[str, float]:
+    """Weights (log odds) of the entries that tell most about the labels, and of the
+    ``general`` words; none contains another."""
     total, ranked = n_tox + n_rest, []
-    for entry, t in tox.items():
-        n = rest.get(entry, 0)
-        odds = math.log((t + 0.5) / (n_tox + 1)) - math.log((n + 2) / (n_rest + 2))
+    for entry in {**tox, **dict.fromkeys(general, 0)}:
+        prior = PRIOR_TEXTS if entry in general else 0
+        t, n = tox.get(entry, 0), rest.get(entry, 0)
+        odds = math.log((t + prior + 0.5) / (n_tox + prior + 1)) - math.log((n + 2) / (n_rest + 2))
+        if not total and prior:  # nothing to compare with
+            odds = 4.0
         gain = sum(c * math.log(c * total / (label * side)) for c, label, side in (
             (t, n_tox, t + n), (n, n_rest, t + n), (n_tox - t, n_tox, total - t - n), (n_rest - n, n_rest, total - t - n))
             if c > 0)
-        if odds >= LEAST_LOG_ODDS and gain >= LEAST_GAIN:
+        if odds >= LEAST_LOG_ODDS and (gain >= LEAST_GAIN or prior):
             ranked.append((-round(gain, 6), entry.endswith("*"), -len(entry), entry, odds))
     chosen: dict[str, float] = {}
+    begun: set[str] = set()  # how the chosen ones begin
     for _, is_stem, _, entry, odds in sorted(ranked):
         bare = entry.rstrip("*")
-        if not any((c[-1] == "*" and bare.startswith(c[:-1])) or (is_stem and c.rstrip("*").startswith(bare)) for c in chosen):
+        starts = [bare[:n] for n in STEMS if n <= len(bare)]
+        if not any(f"{s}*" in chosen for s in starts) and not (is_stem and bare in begun):
             chosen[entry] = odds
-        if len(chosen) == MOST_WORDS:
-            break
+            begun.update(starts)
     return chosen
 
 
@@ -210,14 +218,11 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[dict[
     rows = sample(docs, labels, size)
     classes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count_distinct("doc_id").alias("n")).collect()}
     n_tox, n_rest = classes.get(1, 0), classes.get(0, 0)
-    weights = dict.fromkeys(DEFAULT_WORDS, 4.0)
-    if n_tox < 10 or n_rest < 10:
-        return weights, np.array([-4.0, 1.0, 1.0])
     least = max(3, LEAST_SHARE * n_tox)
-    tox = {r["entry"]: r["n"] for r in _count(rows.filter("toxic = 1")).filter(F.col("n") >= least)
-           .orderBy(F.desc("n"), "entry").limit(CANDIDATES).collect()}
-    rest = {r["entry"]: r["n"] for r in _count(rows.filter("toxic = 0"), set(tox)).collect()}
-    weights = choose(tox, rest, n_tox, n_rest) or weights
+    general = F.col("entry").isin(*DEFAULT_WORDS)
+    tox = {r["entry"]: r["n"] for r in _count(rows.filter("toxic = 1")).filter((F.col("n") >= least) | general).collect()}
+    rest = {r["entry"]: r["n"] for r in _count(rows.filter("toxic = 0"), {*tox, *DEFAULT_WORDS}).collect()}
+    weights = choose(tox, rest, n_tox, n_rest)
     seen = (_measured(rows, weights, ["doc_id", "toxic"]).groupBy("doc_id")
             .agg(F.max("toxic").alias("toxic"), F.max("total").alias("total"), F.min("words").alias("words")).toPandas())
     seen = seen.sort_values("doc_id")
@@ -250,7 +255,7 @@ def score(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, threshold: flo
     that share an id are scored one by one; labels that are null, or without an
     id, teach nothing, and the larger of several labels of an id holds; an id
     with several rows teaches once, by the words of all its texts; without
-    ten labelled rows of each class a fixed general lexicon is used; an empty
+    labels the general words and the prior curve hold; an empty
     table gives no rows. Other columns are not read."""
     weights, curve = learn(docs, labels, size)
 
