@@ -76,6 +76,7 @@ def _secret_scan() -> str:
     assign = secrets.ASSIGN.replace("(?i:password|passwd|secret|token|api_?key)", f"(?:{names})")
     w = secrets.WINDOW
     allow = " AND ".join(f"NOT regexp_matches(v, '{a}')" for a in secrets.ALLOW)
+    allow += f" AND NOT (regexp_matches(v, '{secrets.WORDS}') AND NOT regexp_matches(v, '{secrets.RANDOM_CASE}'))"
     bits = " ".join(f"WHEN regexp_matches(v, '{c.pattern}') THEN {c.bits}" for c in secrets.CLASSES)
     return f"""
 WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -83,12 +84,21 @@ WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS
 {_positions("access", secrets.ACCESS)},
 {_positions("hexes", secrets.HEX)},
 {_positions("candidates", secrets.CANDIDATE)},
+tokens AS (
+    SELECT rid, i, s, m, unnest(range(1, len(m) + 1)) AS k
+    FROM (SELECT *, regexp_extract_all(v, '[A-Za-z0-9]+|[+/_=-]+') AS m FROM candidates)),
+cuts AS (
+    SELECT *, regexp_full_match(m[k], '{secrets.PLACEHOLDER}') AS cut,
+           s + coalesce(list_sum(list_transform(m[1:k - 1], lambda y: length(y))), 0) AS pos FROM tokens),
+segments AS (
+    SELECT rid, i * 1000000 + part AS i, min(pos) AS s, string_agg(m[k], '' ORDER BY k) AS v
+    FROM (SELECT *, sum(cut::INT) OVER (PARTITION BY rid, i ORDER BY k) AS part FROM cuts) WHERE NOT cut GROUP BY rid, i, part),
 base AS (
     SELECT rid, 0 AS k, 'assign' AS kind, s, e FROM assigned WHERE length(x) >= {secrets.ASSIGN_LEAST}
     UNION ALL SELECT rid, 1, 'access', s, e FROM access UNION ALL SELECT rid, 2, 'hex', s, e FROM hexes),
 windows AS (
     SELECT rid, i, s, j, list_aggregate(string_split(substr(v, j + 1, {w}), ''), 'entropy') AS h, CASE {bits} END AS least
-    FROM (SELECT *, unnest(range(0, length(v) - {w} + 1)) AS j FROM candidates WHERE {allow})),
+    FROM (SELECT *, unnest(range(0, length(v) - {w} + 1)) AS j FROM segments WHERE {allow})),
 marked AS (
     SELECT *, coalesce(j - lag(j) OVER (PARTITION BY rid, i ORDER BY j) > {w}, true)::INT AS opens
     FROM windows WHERE h >= least - 1e-9),

@@ -6,12 +6,14 @@ more) and ``hex`` (runs of 16 or more). The method adds ``entropy`` spans:
 candidate strings are judged by the Shannon entropy of a sliding window of
 ``WINDOW`` characters, per character class, with the count of each character
 and the sum of c*log2(c) updated as one character enters and one leaves; runs
-of windows above the threshold of their class are one span. Candidates that an
-allow-list pattern matches, and spans inside a base span, are not added.
+of windows above the threshold of their class are one span. Placeholder words between
+separators cut a candidate into segments, segments that an allow-list pattern matches
+are not looked at, and spans inside a base span are not added.
 
 Positions come from ``split``: the pieces between the matches of a pattern and
 the matches themselves alternate, so running sums of their lengths are the
-starts and ends, in code points.
+starts and ends, in code points. Arrays are folded in slices of ``SLICE``, so a text
+takes time in proportion to its matches.
 """
 
 from __future__ import annotations
@@ -53,38 +55,72 @@ CLASSES = (
     CharClass("base64", r"^[A-Za-z0-9+/_=-]+$",
               "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.7),
 )
-# Not secrets: words (no digit), numbers, dates and ids of digits, rules of
-# dashes, UUIDs, paths of lower-case words, placeholders.
+# Words that stand for a secret; between separators or ends they cut a candidate.
+PLACEHOLDER = (r"(?i:example|sample|placeholder|changeme|your|x{4,}"
+               r"|(?:0123456789|abcdef(?:ghijklmnopqrstuvwxyz)?)+[0-9]{0,9})")
+_SEP, _ALNUM = "[+/_=-]", "[A-Za-z0-9]"
+_PIECE = rf"(?<!{_ALNUM})(?!{PLACEHOLDER}(?!{_ALNUM})){_ALNUM}+"
+SEGMENT = rf"{_SEP}*{_PIECE}(?:{_SEP}+{_PIECE})*{_SEP}*"
+# Not secrets: numbers, dates and ids of digits, rules of dashes; UUIDs; paths of
+# lower-case words and short numbers; and words (no digit), unless the case of their
+# letters changes as at random.
 ALLOW = (
-    r"^[^0-9]*$", r"^[0-9_=+/-]*$",
+    r"^[0-9_=+/-]*$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^[a-z]+(?:[/_-][a-z0-9]{1,12})+$",
-    r"(?i:example|sample|placeholder|changeme|your_|xxxx|0123456789|abcdefgh)",
+    r"^[a-z]+(?:[/_-](?:[a-z]+[0-9]{0,4}|[0-9]{1,8}))+$",
 )
+WORDS, RANDOM_CASE = r"^[^0-9]*$", r"(?:[A-Z][a-z]{1,2}|[a-z][A-Z]{1,2}){3}"
 
+SLICE = 256
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once (what a lambda refers to otherwise is
+    evaluated per element)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _slices(items: Column) -> Column:
+    """An array as an array of arrays of at most ``SLICE``."""
+    return F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / SLICE).cast("int")),
+                                                 lambda k: F.slice(items, k * SLICE + 1, F.lit(SLICE)))).otherwise(F.array())
+
+
+def _fold(items: Column, state: Column, none: Column, step) -> Column:
+    """All that ``step(state, item) -> (state, array of outputs)`` puts out over an array,
+    in order. Appending copies what is there, so outputs are gathered by slice and the
+    slices joined: time in proportion to the array, not to its square."""
+    def part(before: Column, xs: Column) -> Column:
+        def one(s: Column, x: Column) -> Column:
+            after, more = step(s["state"], x)
+            return F.struct(after.alias("state"), F.concat(s["out"], more).alias("out"))
+        return F.aggregate(xs, F.struct(before.alias("state"), none.alias("out")), one)
+
+    def whole(xs: Column) -> Column:
+        return F.aggregate(
+            _slices(xs), F.struct(state.alias("state"), F.slice(F.array(none), 1, 0).alias("outs")),
+            lambda s, some: _let(part(s["state"], some), lambda p: F.struct(
+                p["state"].alias("state"), F.concat(s["outs"], F.array(p["out"])).alias("outs"))),
+            lambda s: F.flatten(s["outs"]))
+    return _let(items, whole)
+
+
 def _found(text: Column, pattern: str) -> Column:
     """array<struct<start, end, value>> of the leftmost non-overlapping matches."""
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    # what a lambda refers to is evaluated per element, so arrays are zipped first
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     zipped = F.filter(F.arrays_zip(gaps.alias("gap"), values.alias("value")), lambda z: z["value"].isNotNull())
-    matches = F.transform(zipped, lambda z: F.struct(
-        z["gap"].alias("gap"), F.length(z["value"]).alias("size"), z["value"].alias("value")))
-    placed = F.aggregate(
-        matches, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda s, m: F.struct(
-            (s["at"] + m["gap"] + m["size"]).alias("at"),
-            F.concat(s["out"], F.array(F.struct(
-                (s["at"] + m["gap"]).alias("start"), (s["at"] + m["gap"] + m["size"]).alias("end"),
-                m["value"].alias("value")))).alias("out")),
-        lambda s: s["out"])
+
+    def step(at: Column, m: Column) -> tuple[Column, Column]:
+        start = at + m["gap"]
+        end = start + F.length(m["value"])
+        return end, F.array(F.struct(start.alias("start"), end.alias("end"), m["value"].alias("value")))
+
     # most texts have no match: one search instead of an extraction and a split
-    return F.when(F.regexp_like(text, F.lit(pattern)), placed).otherwise(none)
+    return F.when(F.regexp_like(text, F.lit(pattern)), _fold(zipped, F.lit(0), none, step)).otherwise(none)
 
 
 def _of_kind(found: Column, kind: str) -> Column:
@@ -141,20 +177,37 @@ def entropy_runs(value: Column, cls: CharClass, window: int = WINDOW) -> Column:
 
 
 def _entropy(text: Column, base: Column) -> Column:
-    def spans(m: Column) -> Column:
-        runs = F.array().cast("array<struct<start:int,end:int>>")
+    """array<struct<start, kind, end>> of the entropy spans that are in no base span."""
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+
+    def runs_of(seg: Column) -> Column:
+        runs = empty
         for cls in reversed(CLASSES):
-            runs = F.when(F.regexp_like(m["value"], F.lit(cls.pattern)), entropy_runs(m["value"], cls)).otherwise(runs)
-        for allowed in ALLOW:
-            runs = F.when(F.regexp_like(m["value"], F.lit(allowed)), F.array().cast(
-                "array<struct<start:int,end:int>>")).otherwise(runs)
-        return F.transform(runs, lambda r: F.struct(
-            (m["start"] + r["start"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
-            (m["start"] + r["end"]).alias("end")))
+            runs = F.when(F.regexp_like(seg["value"], F.lit(cls.pattern)), entropy_runs(seg["value"], cls)).otherwise(runs)
+        words = F.regexp_like(seg["value"], F.lit(WORDS)) & ~F.regexp_like(seg["value"], F.lit(RANDOM_CASE))
+        for allowed in (words, *(F.regexp_like(seg["value"], F.lit(p)) for p in ALLOW)):
+            runs = F.when(allowed, empty).otherwise(runs)
+        return F.transform(runs, lambda r: F.struct((seg["start"] + r["start"]).alias("start"), (seg["start"] + r["end"]).alias("end")))
+
+    def spans(m: Column) -> Column:
+        segments = F.filter(_found(m["value"], SEGMENT), lambda g: F.length(g["value"]) >= WINDOW)
+        return F.transform(F.flatten(F.transform(segments, runs_of)), lambda r: F.struct(
+            (m["start"] + r["start"]).alias("start"), F.lit(1).alias("added"), (m["start"] + r["end"]).alias("end")))
 
-    found = F.flatten(F.transform(_found(text, CANDIDATE), spans))
-    return F.filter(found, lambda e: ~F.exists(
-        base, lambda b: (b["start"] <= e["start"]) & (b["end"] >= e["end"])))
+    def uncovered(found: Column) -> Column:
+        """In order of starts, a span lies in a base span if one that started before it,
+        or with it, ends as late."""
+        known = F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("added"), b["end"].alias("end")))
+        none = F.array().cast(SPANS)
+
+        def step(reach: Column, x: Column) -> tuple[Column, Column]:
+            kept = (x["added"] == 1) & (x["end"] > reach)
+            span = F.struct(x["start"].alias("start"), F.lit(KINDS.index("entropy")).alias("kind"), x["end"].alias("end"))
+            return F.when(x["added"] == 0, F.greatest(reach, x["end"])).otherwise(reach), F.when(kept, F.array(span)).otherwise(none)
+
+        return F.when(F.size(found) > 0, _fold(F.array_sort(F.concat(known, found)), F.lit(-1), none, step)).otherwise(none)
+
+    return _let(F.flatten(F.transform(_found(text, CANDIDATE), spans)), uncovered)
 
 
 def _listed(spans: Column) -> Column:
@@ -168,7 +221,8 @@ def with_spans(docs: DataFrame, text_col: str = "text", base_col: str = "base_sp
     all spans. ``kind`` is an index into KINDS; positions are code points.
 
     Defined cases: a null or empty text has no spans; spans of different kinds
-    may overlap (a hex value inside an assignment is both); rows are judged one
+    may overlap (a hex value inside an assignment is both); a text may hold any
+    number of matches of any length; rows are judged one
     by one, so repeated rows and ids need no rule; an empty table stays empty.
     The two result columns replace columns of the same name."""
     text = text_or_empty(text_col)
@@ -198,12 +252,21 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
     text = text_or_empty(text_col)
     base, spans = fresh(docs, "_secret_base"), fresh(docs, "_secret_spans")
     work = with_spans(docs, text_col, base, spans)
+    def cleaned_part(before: Column, some: Column) -> Column:
+        """The text from ``before`` to the end of some spans, which lie within it: the
+        parts are cut from that stretch alone, as a cut takes time up to its place."""
+        stop = F.greatest(before, F.array_max(F.transform(some, lambda x: x["end"])))
+        return _let(F.substring(text, before + 1, stop - before), lambda own: F.aggregate(
+            some, F.struct(before.alias("at"), F.array().cast("array<string>").alias("parts")),
+            lambda s, x: F.struct(
+                F.greatest(s["at"], x["end"]).alias("at"),
+                F.when((x["start"] < s["at"]) & (s["at"] > 0), s["parts"]).otherwise(F.concat(s["parts"], F.array(
+                    F.concat(F.substring(own, s["at"] - before + 1, x["start"] - s["at"]), F.lit(mark))))).alias("parts"))))
+
     blank = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda s, x: F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when((x["start"] < s["at"]) & (s["at"] > 0), s["parts"]).otherwise(F.concat(s["parts"], F.array(
-                F.concat(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark))))).alias("parts")),
+        _slices(F.col(spans)), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
+        lambda s, some: _let(cleaned_part(s["at"], some), lambda p: F.struct(
+            p["at"].alias("at"), F.concat(s["parts"], F.array(F.concat_ws("", p["parts"]))).alias("parts"))),
         lambda s: F.concat(F.concat_ws("", s["parts"]), F.substring(text, s["at"] + 1, F.length(text))))
     cleaned = F.when(F.size(spans) > 0, blank).otherwise(F.col(text_col))
     return work.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns])
