@@ -30,14 +30,14 @@ from pyspark.sql import functions as F
 
 from vartab.llm.common import stored
 
-BITS = 256
+BITS = 512
 SAMPLE = 8192
 CELL_ROWS = 65_536
 STEPS = 6            # flips 0 .. STEPS - 1, then all
 MISS = 0.08
 # Share of differing bits up to which rows are reranked at first, and by how much it
 # rises in each step in which a query has too few.
-FIRST_CUT, WIDER = 0.42, 0.04
+FIRST_CUT, WIDER = 0.42, 0.02
 _CHUNK = 1 << 20     # (query, bucket) tests and (query, row) pairs at a time
 _PREFIX = 16         # leading bits that tell a cell, at most
 
@@ -316,10 +316,10 @@ def nearest(vectors: DataFrame, asked: str = "vec_id % 50 = 0", k: int = 5, id_c
         best = stored(_best(best.unionByName(_scored(found.filter("query IS NOT NULL"), coded), allowMissingColumns=True), k), "ann-best")
         if high == index.size:
             break
-        # bits that differ at the angle of the k-th best, and three standard deviations
+        # bits that differ at the angle of the k-th best, and two and a half standard deviations
         off = F.acos(F.greatest(F.least("score", F.lit(1.0)), F.lit(-1.0))) / math.pi
         last = best.filter(F.col("place") == k + 1).select(
-            F.col("query").alias("uid"), "score", F.ceil(BITS * off + 3 * F.sqrt(BITS * off * (1 - off))).cast("int").alias("nearer"))
+            F.col("query").alias("uid"), "score", F.ceil(BITS * off + 2.5 * F.sqrt(BITS * off * (1 - off))).cast("int").alias("nearer"))
         last_is_next = high + 1 >= min(STEPS, index.size)  # which takes whatever is left
         wider = F.lit(BITS) if last_is_next else F.greatest("cut", F.coalesce("nearer", F.col("cut") + int(WIDER * BITS)))
         queries = stored(queries.join(last, "uid", "left")
