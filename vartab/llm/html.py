@@ -2,12 +2,16 @@
 
 A page is cut into blocks at block-level tags; each block knows its text, its
 share of link text, its stop-word density, and the container it stands in.
-Pass one classifies every block by itself: links, boilerplate containers and
-very short or link-heavy blocks are bad, long blocks with enough stop words are
-good, the rest is undecided. Pass two lets undecided blocks inherit from the
-nearest decided neighbours of the same container. Inside an ``article`` or
+Pass one classifies every block by itself: boilerplate containers and link-heavy
+blocks are bad, long blocks with enough stop words are good, the rest is undecided.
+Stop words are a list for some languages and, for any other, the short words that the
+page itself repeats. Pass two lets undecided blocks inherit from the nearest decided
+neighbours: a heading from what follows it, a short block from those in its own
+container or from both sides, others from either side. Inside an ``article`` or
 ``main`` element the container is evidence that a block is text, so there only
-link-heavy blocks are bad.
+runs of links are bad; what is good outside of it stays. A container is boilerplate by
+its element, or by a word of its class, id or role; if no text is left, only the
+elements count.
 """
 
 from __future__ import annotations
@@ -44,7 +48,15 @@ STOP_WORDS = frozenset((
     "le la les de des et un une du est que qui dans pour pas sur par plus avec au ne ce "
     "el los las que y en un una por con para es del se no lo como más su al").split())
 
+# Words that turn a class name around (no-sidebar, has-footer).
+NEGATIONS = {"no", "not", "without", "has", "with", "hide", "hidden"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# Elements that hold blocks together, unlike paragraphs, headings and lists.
+CONTAINERS = {"article", "aside", "body", "center", "details", "dialog", "div", "fieldset", "footer", "form", "header", "main", "nav",
+              "section", "table"}
+
 LENGTH_LOW, LENGTH_HIGH = 70, 200      # code points
+FREQUENT, SHORT_WORD, MOST_STOPS = 3, 4, 0.85  # times on a page, letters, share of words
 STOPS_LOW, STOPS_HIGH = 0.10, 0.20     # share of words
 LINKS_HIGH = 0.33                      # share of link characters
 
@@ -53,6 +65,7 @@ _HINT = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACE = re.compile(r"\s+")
+_SENTENCE = re.compile(r"[.!?…。！？؟।][\"'”’»)\]]*$")
 
 
 @dataclass
@@ -61,15 +74,21 @@ class Block:
     links: int
     main: bool
     boilerplate: bool
+    hinted: bool = False     # in a container that its class, id or role calls boilerplate
+    heading: bool = False
+    container: int = 0
     verdict: str = field(default="")
 
 
-def _hinted(attributes: str) -> bool:
-    if not attributes or not attributes.strip():
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    return any(w in HINTS for m in _HINT.findall(attributes) for w in re.split(r"[^a-z]+", m.lower()))
+def _hinted(name: str, attributes: str) -> bool:
+    """Whether a name of the element's class, id or role is a hint; of a name in two
+    parts (site-footer) either part, but for elements that hold the main text."""
+    for quoted in _HINT.findall(attributes):
+        for token in quoted.strip("\"'").lower().split():
+            parts = [w for w in re.split(r"[^a-z]+", token) if w]
+            if token in HINTS or (name not in MAIN and len(parts) <= 2 and not NEGATIONS & set(parts) and HINTS & set(parts)):
+                return True
+    return False
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -77,16 +96,17 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     links = 0
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, in main, in boilerplate, in a link
+    # name; in main, in boilerplate, in a hinted container, in a link; container, heading
+    stack: list[tuple] = []
     opened: Counter[str] = Counter()  # names on the stack
-    main = boiler = link = False
-    at = 0
+    main = boiler = hinted = link = heading = False
+    at = container = containers = 0
 
     def close() -> None:
         nonlocal links
         joined = _SPACE.sub(" ", "".join(text)).strip()
         if joined:
-            out.append(Block(joined, min(links, len(joined)), main, boiler))
+            out.append(Block(joined, min(links, len(joined)), main, boiler, hinted, heading, container))
         text.clear()
         links = 0
 
@@ -107,7 +127,7 @@ def blocks_of(page: str) -> list[Block]:
             close()
         if closing:
             while opened[name]:
-                inner, main, boiler, link = stack.pop()
+                inner, main, boiler, hinted, link, container, heading = stack.pop()
                 opened[inner] -= 1
                 if inner == name:
                     break
@@ -123,73 +143,105 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or m[3].rstrip().endswith("/"):
             continue
         if name in ("p", "li", "option", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == name:
-            _, main, boiler, link = stack.pop()  # these end where the next one starts
+            _, main, boiler, hinted, link, container, heading = stack.pop()  # these end where the next one starts
             opened[name] -= 1
-        stack.append((name, main, boiler, link))
+        stack.append((name, main, boiler, hinted, link, container, heading))
         opened[name] += 1
         header = name == "header" and not main  # an article's own header holds its heading
-        boiler = boiler or name in BOILERPLATE or header or (name not in ("html", "body") and _hinted(m[3]))
+        boiler = boiler or name in BOILERPLATE or header or bool(name not in ("html", "body") and _HIDDEN.search(m[3]))
+        hinted = hinted or name not in ("html", "body") and _hinted(name, m[3])
         main = main or name in MAIN
         link = link or name == "a"
+        heading = heading or name in HEADINGS
+        if name in CONTAINERS:
+            containers += 1
+            container = containers
     close()
     return out
 
 
-def _first_pass(b: Block) -> str:
-    if b.boilerplate:
+def _frequent(blocks: list[Block]) -> set[str]:
+    """Short words that a page repeats: what stop words are in any language."""
+    counts = Counter(w for b in blocks if not b.boilerplate for w in _WORD.findall(b.text.lower()) if len(w) <= SHORT_WORD)
+    return {w for w, n in counts.items() if n >= FREQUENT}
+
+
+def _stop_share(text: str, frequent: set[str]) -> float:
+    """Share of stop words, by the list or by the page, whichever is larger; where nearly
+    every word is one of the page's, it tells nothing."""
+    words = _WORD.findall(text.lower())
+    listed, own = (sum(w in known for w in words) / max(1, len(words)) for known in (STOP_WORDS, frequent))
+    return max(listed, own if own <= MOST_STOPS else 0.0)
+
+
+def _first_pass(b: Block, frequent: set[str], hints: bool) -> str:
+    """``bad`` and ``good`` are decided; ``heading``, ``short``, ``near`` and ``links`` are not."""
+    if b.boilerplate or (hints and b.hinted):
         return "bad"
     share = b.links / max(1, len(b.text))
-    if share > LINKS_HIGH and (not b.main or share > 0.8):
-        return "bad"
-    words = _WORD.findall(b.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if b.main:
-        return "good" if len(b.text) >= LENGTH_LOW or stops >= STOPS_HIGH else "short"
+        if share > 0.8:
+            return "links"
+        return "good" if len(b.text) >= LENGTH_LOW or _stop_share(b.text, frequent) >= STOPS_HIGH else "short"
+    if share > LINKS_HIGH:
+        return "bad"
+    if b.heading:
+        return "heading"
     if len(b.text) < LENGTH_LOW:
         return "bad" if b.links else "short"
-    if stops >= STOPS_HIGH:
-        return "good" if len(b.text) > LENGTH_HIGH else "near"
-    return "near" if stops >= STOPS_LOW else "bad"
+    stops = _stop_share(b.text, frequent)
+    if stops >= STOPS_HIGH and len(b.text) > LENGTH_HIGH:
+        return "good"
+    return "near" if stops >= STOPS_LOW or not b.links or _SENTENCE.search(b.text) else "bad"
 
 
-def classify(blocks: list[Block]) -> list[Block]:
+def classify(blocks: list[Block], hints: bool = True) -> list[Block]:
     """Both passes; afterwards every verdict is ``good`` or ``bad``."""
-    for b in blocks:
-        b.verdict = _first_pass(b)
-    first = [b.verdict for b in blocks]
+    frequent = _frequent(blocks)
+    first = [_first_pass(b, frequent, hints) for b in blocks]
     n = len(blocks)
+    for i in range(n):  # links in the main text: three or more in a row are a menu
+        if first[i] == "links" and (i == 0 or first[i - 1] != "links"):
+            j = i
+            while j < n and first[j] == "links":
+                j += 1
+            run = "bad" if j - i >= 3 else "short"
+            first[i:j] = [run] * (j - i)
     before, after = [None] * n, [None] * n
     for order, side in ((range(n), before), (range(n - 1, -1, -1), after)):
         last = {}
         for i in order:  # the nearest decided neighbour in the same kind of container
             side[i] = last.get(blocks[i].main)
-            if first[i] in ("good", "bad") and not blocks[i].boilerplate:
+            if first[i] in ("good", "bad") and not blocks[i].boilerplate and not (hints and blocks[i].hinted):
                 last[blocks[i].main] = (i, first[i])
     for i, b in enumerate(blocks):
+        b.verdict = first[i]
         if first[i] in ("good", "bad"):
             continue
-        near = sorted((abs(j - i), v != "good", v) for j, v in filter(None, (before[i], after[i])))
+        near = sorted((abs(j - i), v != "good", v, blocks[j].container) for j, v in filter(None, (before[i], after[i])))
         if b.main:
-            b.verdict = "good"
-            if near and all(v == "bad" for *_, v in near):
-                b.verdict = "bad" if b.links else "good"
+            good = not (near and all(v == "bad" for _, _, v, _ in near) and b.links)
+        elif first[i] == "heading":
+            good = (after[i] or before[i] or (i, "good"))[1] == "good"
         elif first[i] == "near":
-            b.verdict = "good" if any(v == "good" for *_, v in near) or not near else "bad"
+            good = not near or any(v == "good" for _, _, v, _ in near)
         else:
-            b.verdict = "good" if not near or len(near) == 2 and all(v == "good" for *_, v in near) else "bad"
+            good = (not near or any(v == "good" and c == b.container for _, _, v, c in near)
+                    or len(near) == 2 and all(v == "good" for _, _, v, _ in near))
+        b.verdict = "good" if good else "bad"
+    # headings that introduce undecided text, by what became of it
+    for i in range(n - 2, -1, -1):
+        if first[i] == "heading" and first[i + 1] not in ("good", "bad") and blocks[i + 1].container == blocks[i].container:
+            blocks[i].verdict = blocks[i + 1].verdict
     return blocks
 
 
 def main_text(page: str | None) -> str:
-    """The good blocks of a page, joined by one space; of a page without any, all
-    that are neither boilerplate by their container nor mostly links."""
+    """The good blocks of a page, joined by one space; of a page without any, those
+    that are good if class names tell nothing."""
     blocks = classify(blocks_of(page or ""))
     if not any(b.verdict == "good" for b in blocks):
-        for b in blocks:
-            if not b.boilerplate and b.links <= LINKS_HIGH * len(b.text):
-                b.verdict = "good"
-    if any(b.main and b.verdict == "good" for b in blocks):  # the page says where its text is
-        blocks = [b for b in blocks if b.main]
+        blocks = classify(blocks, hints=False)
     return " ".join(b.text for b in blocks if b.verdict == "good")
 
 
