@@ -17,7 +17,8 @@ from vartab.plans.queries import QUERIES  # noqa: E402
 from vartab.session import get_session  # noqa: E402
 
 KEY = ["base_table", "canonical_pick", "analysis_set_ids", "interval_overlap",
-       "e2g", "splice_lookup", "splice_lookup_shuffled", "score_lookup", "near_gene", "near_gene_shuffled", "nmd_rules", "vep_tidy",
+       "e2g", "splice_lookup", "splice_lookup_shuffled", "splice_lookup_filtered", "splice_lookup_bucketed", "score_lookup", "score_lookup_bucketed",
+       "filtered_vcf_lines", "interval_overlap_nested", "near_gene", "near_gene_shuffled", "nmd_rules", "vep_tidy",
        "combine_all", "run_metrics"]
 NODES = ["Exchange", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin",
          "BroadcastNestedLoopJoin", "CartesianProduct", "HashAggregate", "SortAggregate",
