@@ -107,3 +107,5 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert decontam.contaminated(no_docs, bench).collect() == [] and decontam.contaminated(odd_docs, bench.limit(0)).collect() == []
     assert decontam.drop_contaminated(no_docs, bench).collect() == []
     assert decontam.drop_contaminated(odd_docs, bench.limit(0)).count() == odd_docs.count()
+    left_out = [(r.item_id, r.text, r.n_words) for r in decontam.unsearched_items(bench).collect()]
+    assert sorted(left_out) == [(2, None, 0), (3, "", 0), (4, "one two", 2)]

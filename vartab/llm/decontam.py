@@ -369,7 +369,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     documents without any are not in the result.
 
     Defined cases: null or empty texts hold nothing; items that are null or of
-    fewer than five words are not searched; items with equal texts are found
+    fewer than five words are not searched (``unsearched_items`` returns them): a few
+    common words are in clean documents too; items with equal texts are found
     alike; rows that share a doc_id are reported together, the best match per
     item; rows without a doc_id are reported under null; an empty table on
     either side gives no rows. Other columns are not read, whatever their names."""
@@ -391,6 +392,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.max("cosine").alias("cosine"), F.max("lcs").alias("lcs"), F.max("answer").alias("answer"))
 
 
+def unsearched_items(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """item_id, text, n_words of the items that ``contaminated`` does not search: those
+    of fewer than ``LEAST_WORDS`` words, null ones included (no words)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = hash_words([plain(t) for t in batch["text"].to_pylist()]).counts()
+            short = pa.array(n < LEAST_WORDS)
+            yield batch.append_column("n_words", pa.array(n.astype(np.int64))).filter(short)
+
+    rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "item_id long, text string, n_words long")
+
+
 def _passes(texts: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, items_per_pass: int) -> list:
     """Per pass, a function that gives a task its items and the latent space."""
     sc = texts.sparkSession.sparkContext

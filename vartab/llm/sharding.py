@@ -10,8 +10,8 @@ All steps are DataFrame functions. The number of a row is its rank by (bucket,
 doc_id, size, checksum); buckets are a hash of those columns, so no sort spans
 the table: one window per bucket, plus the running sum of the bucket totals,
 whose row count is the constant ``BUCKETS``. Equal rows are counted before the
-shuffle and expanded afterwards, so a row repeated any number of times does not
-load one task.
+shuffle and expanded afterwards, so a row repeated any number of times is not
+shuffled or sorted more than once; the task that has it writes out its copies.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ three rounds read:
    count two or more. A cell counts at least as often as each window in it, so
    a window that repeats is always among these;
 2. every block sends the windows in such cells, once each, with 96 bits of hash
-   and the smallest doc_id; the shard groups them exactly and answers which
-   blocks hold the smallest doc_id;
+   (over 64-bit hashes of the words) and the smallest doc_id; the shard groups them
+   by these bits, which stand for the words, and answers which blocks hold the
+   smallest doc_id;
 3. every block removes the words covered by repeated windows.
 
 A window met in any number of texts is one entry per block, so no group grows
