@@ -106,3 +106,24 @@ def test_components(spark):
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(100, 140), 100), 400: 400, 401: 400}
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HUB_EDGES", 5)
+    rng = random.Random(4)
+    edges = [(0, i) for i in range(1, 400)] + [(9_000, 9_000 - i) for i in range(1, 300)] + [(rng.randrange(20_000, 20_300), rng.randrange(20_000, 20_300)) for _ in range(250)]
+    edges += [(30_000 + i, 30_001 + i) for i in range(60)] + [(399, 30_060), (5, 5)]
+    rng.shuffle(edges)
+    label = {}
+
+    def find(x):
+        while label.setdefault(x, x) != x:
+            x = label[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            label[y] = x
+    got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in label}

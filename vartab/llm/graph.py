@@ -7,6 +7,20 @@ from pyspark.sql import functions as F
 
 from vartab.session import drop_path, work_dir
 
+# A hub has more than this many edges, and more than this share of all: so there are at
+# most 2 / HUB_SHARE hubs.
+HUB_EDGES, HUB_SHARE = 500, 0.002
+
+
+def _with_least(rows: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
+    """``rows`` (a, b) with the ``m`` of their ``a`` from ``least`` (a, m, n), n the
+    edges of a node. The edges of a hub stay where they are, as the hubs are broadcast;
+    the others are few per node and meet in a shuffle."""
+    hub = F.col("n") > max(HUB_EDGES, int(HUB_SHARE * n_edges))
+    hubs = F.broadcast(least.filter(hub).select("a", "m"))
+    rest = rows.join(hubs.select("a"), "a", "left_anti").join(least.filter(~hub).select("a", "m"), "a")
+    return rows.join(hubs, "a").unionByName(rest)
+
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b): label is the least node
@@ -14,7 +28,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
     Each round hangs the larger neighbours of every node on its least neighbour
     (large star), then all on the least of the smaller ones (small star); both
-    are a partially aggregated minimum and a join on the node. Rounds, of which
+    are a partially aggregated minimum and a join on the node, where the edges of hubs
+    are not gathered (``_with_least``). Rounds, of which
     there are about log(size of a component) squared, end when a round changes
     nothing; each is written out, so none is recomputed after a loss, and the
     round before is dropped."""
@@ -32,12 +47,13 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     before = None
     for _ in range(rounds):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        n_edges = pairs.count()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = _with_least(both.filter("b > a"), least, n_edges).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         large = large.distinct()
         # small star: every node of `large` is the greater end of its edges
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = (_with_least(large, low, n_edges).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
         pairs = written(small)
         now = pairs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()

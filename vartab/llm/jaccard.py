@@ -43,7 +43,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
 STEP = 32
-TOLERANCE = 1e-4
+TOLERANCE = 2e-5
 BUCKET_CHUNK = 1024
 COMPONENT_CHUNK = 256
 BATCH_BYTES = 2 << 20
