@@ -36,8 +36,8 @@ CELL_ROWS = 65_536
 STEPS = 6            # flips 0 .. STEPS - 1, then all
 MISS = 0.08
 # Share of differing bits up to which rows are reranked at first, and by how much it
-# rises in each step in which a query has too few.
-FIRST_CUT, WIDER = 0.42, 0.02
+# may rise with each step, while the k-th best of a query does not say that less will do.
+FIRST_CUT, WIDER = 0.42, 0.005
 _CHUNK = 1 << 20     # (query, bucket) tests and (query, row) pairs at a time
 _PREFIX = 16         # leading bits that tell a cell, at most
 
@@ -321,7 +321,7 @@ def nearest(vectors: DataFrame, asked: str = "vec_id % 50 = 0", k: int = 5, id_c
         last = best.filter(F.col("place") == k + 1).select(
             F.col("query").alias("uid"), "score", F.ceil(BITS * off + 2.5 * F.sqrt(BITS * off * (1 - off))).cast("int").alias("nearer"))
         last_is_next = high + 1 >= min(STEPS, index.size)  # which takes whatever is left
-        wider = F.lit(BITS) if last_is_next else F.greatest("cut", F.coalesce("nearer", F.col("cut") + int(WIDER * BITS)))
+        wider = F.lit(BITS) if last_is_next else F.greatest("cut", F.least("nearer", F.lit(int((FIRST_CUT + WIDER * (high + 1)) * BITS))))
         queries = stored(queries.join(last, "uid", "left")
                          .filter(F.col("score").isNull() | (F.col("score") < least_cosine(high, index.size, index.m)))
                          .select("d", "uid", "code", wider.cast("int").alias("cut"), F.col("cut").alias("before")), "ann-open")
