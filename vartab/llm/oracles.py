@@ -6,7 +6,7 @@ tokenizers' files have none; tests/llm hold those against brute force.
 
 from __future__ import annotations
 
-from vartab.llm import jaccard, secrets, sharding, substrings
+from vartab.llm import jaccard, secrets, sharding, spelling, substrings
 
 
 def _feistel(source: str, key: str) -> str:
@@ -175,9 +175,53 @@ GROUP BY rid, doc_id
 """
 
 
+def _spelling() -> str:
+    """Near words by what is left when one code point goes, forms and chains by recursion."""
+    letters, least = spelling.LETTERS, spelling.LEAST_LENGTH
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(run, '{upper}', '{lower}') AS w, count(*) AS c
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[{letters}]{{{least},}}')) AS run FROM documents) GROUP BY ALL),
+hashed AS (
+    SELECT w, c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+        lambda y, b: xor(y >> 8, t[(xor(y, b) & 255) + 1]))) AS h
+    FROM (SELECT *, hex(encode(d || ':' || w)) AS x FROM runs), crc_table),
+words AS (
+    SELECT word, sum(c)::BIGINT AS n FROM (
+        SELECT c, CASE WHEN h % {spelling.DELETE_EVERY} = 0
+            THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM hashed)
+    WHERE length(word) >= {least} GROUP BY word HAVING sum(c) >= {spelling.LEAST_COUNT}),
+less AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT *, unnest(range(0, length(word))) AS i FROM words)),
+pairs AS (
+    SELECT a.word AS x, b.word AS y, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+    UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+near AS (SELECT x, count(*) AS n_near, max(n) AS most, first(y ORDER BY n DESC, y) AS best FROM pairs GROUP BY x),
+judged AS (
+    SELECT word, CASE WHEN most >= {spelling.FORM_FACTOR} * n THEN best END AS form, n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN most >= {spelling.FORM_FACTOR} * n THEN most END AS form_n
+    FROM words LEFT JOIN near ON x = word),
+chain AS (
+    SELECT word, word AS at FROM words
+    UNION ALL
+    SELECT c.word, j.form FROM chain c JOIN judged j ON j.word = c.at WHERE j.form IS NOT NULL)
+SELECT j.word, j.form, c.at AS root, j.n, j.n_near, j.form_n
+FROM judged j JOIN chain c ON c.word = j.word JOIN judged e ON e.word = c.at AND e.form IS NULL
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": _substrings(),
     "op7_bayes_jaccard": _jaccard(),
     "op8_secret_scan": _secret_scan(),
     "op10_feistel_sharding": _sharding(),
+    "op13_spelling_variants": _spelling(),
 }
