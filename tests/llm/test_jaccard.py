@@ -108,8 +108,7 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def test_components_with_hubs(spark, monkeypatch):
-    monkeypatch.setattr(graph, "HUB_EDGES", 5)
+def test_components_with_hubs(spark):
     rng = random.Random(4)
     edges = [(0, i) for i in range(1, 400)] + [(9_000, 9_000 - i) for i in range(1, 300)] + [(rng.randrange(20_000, 20_300), rng.randrange(20_000, 20_300)) for _ in range(250)]
     edges += [(30_000 + i, 30_001 + i) for i in range(60)] + [(399, 30_060), (5, 5)]
