@@ -11,7 +11,8 @@ within t flips of the query's substrings hold every code within m (t + 1) - 1.
 Queries are looked up step by step, t = 0, 1, 2, ...: their substrings meet the
 index rows by substring and leading bits of the value (a cell), inside a cell by value.
 What a step retrieves anew is checked by the whole code and reranked on the original
-vectors in double precision. A query is done once a row at the angle of its k-th best
+vectors in double precision: a code further off than the step reaches, or than the
+query's k-th best so far, by ``SPREAD`` standard deviations is left out. A query is done once a row at the angle of its k-th best
 would have been retrieved with odds of 1 - ``MISS``; the others go on to the next step,
 the last of which retrieves all that is left. Cells that hold too many rows for a task
 are dealt into parts. Recall is measured in tests/llm against brute force.
@@ -35,9 +36,7 @@ SAMPLE = 8192
 CELL_ROWS = 65_536
 STEPS = 6            # flips 0 .. STEPS - 1, then all
 MISS = 0.08
-# Share of differing bits up to which rows are reranked at first, and by how much it
-# may rise with each step, while the k-th best of a query does not say that less will do.
-FIRST_CUT, WIDER = 0.42, 0.005
+SPREAD = 2.0         # standard deviations of a code distance that a cut allows for
 _CHUNK = 1 << 20     # (query, bucket) tests and (query, row) pairs at a time
 _PREFIX = 16         # leading bits that tell a cell, at most
 
@@ -87,21 +86,31 @@ def substrings(codes: np.ndarray, size: int) -> np.ndarray:
     return bits @ (np.int64(1) << np.arange(size - 1, -1, -1, dtype=np.int64))
 
 
-def least_cosine(flips: int, size: int, m: int, miss: float = MISS) -> float:
-    """The least cosine at which a row is retrieved with odds of 1 - ``miss`` when all
-    buckets within ``flips`` of m substrings are probed: a bit differs with odds of
-    angle / pi, a substring of ``size`` bits has at most ``flips`` that do."""
+def reach(flips: int, size: int, m: int, miss: float = MISS) -> float:
+    """The largest share of differing bits at which a row is retrieved with odds of
+    1 - ``miss`` when all buckets within ``flips`` of m substrings are probed: a
+    substring of ``size`` bits has at most ``flips`` that differ."""
     if flips >= size:
-        return -2.0
+        return 1.0
 
     def missed(p: float) -> float:
         return (1 - sum(math.comb(size, i) * p ** i * (1 - p) ** (size - i) for i in range(flips + 1))) ** m
 
-    low, high = 0.0, 1.0  # shares of differing bits; missed() rises with them
+    low, high = 0.0, 1.0  # missed() rises with the share
     for _ in range(50):
         middle = (low + high) / 2
         low, high = (middle, high) if missed(middle) <= miss else (low, middle)
-    return math.cos(math.pi * low)
+    return low
+
+
+def least_cosine(flips: int, size: int, m: int, miss: float = MISS) -> float:
+    """The cosine of a row at ``reach``: a bit differs with odds of angle / pi."""
+    return math.cos(math.pi * reach(flips, size, m, miss)) if flips < size else -2.0
+
+
+def cut_of(share: Column) -> Column:
+    """The code distance within which nearly all rows lie whose bits differ by ``share``."""
+    return F.ceil(BITS * share + SPREAD * F.sqrt(BITS * share * (1 - share))).cast("int")
 
 
 def near_prefixes(value: np.ndarray, bits: int, flips: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,7 +314,7 @@ def nearest(vectors: DataFrame, asked: str = "vec_id % 50 = 0", k: int = 5, id_c
         models[d] = learn_rotations(np.array(part, dtype=float).reshape(-1, d))
     coded = stored(_coded(entries, models), "ann-codes")
     index = Index(coded, n, cell_rows)
-    queries = coded.filter("asked").select("d", "uid", "code", F.lit(int(FIRST_CUT * BITS)).alias("cut"), F.lit(-1).alias("before"))
+    queries = coded.filter("asked").select("d", "uid", "code", cut_of(F.lit(reach(0, index.size, index.m))).alias("cut"), F.lit(-1).alias("before"))
     own = coded.filter("asked").select(F.col("uid").alias("query"), "uid")
     best = stored(_best(_scored(own, coded), k), "ann-best")
     low = -1
@@ -316,12 +325,12 @@ def nearest(vectors: DataFrame, asked: str = "vec_id % 50 = 0", k: int = 5, id_c
         best = stored(_best(best.unionByName(_scored(found.filter("query IS NOT NULL"), coded), allowMissingColumns=True), k), "ann-best")
         if high == index.size:
             break
-        # bits that differ at the angle of the k-th best, and two and a half standard deviations
+        # Beyond what the next step reaches, and beyond the k-th best so far, no row is of interest.
         off = F.acos(F.greatest(F.least("score", F.lit(1.0)), F.lit(-1.0))) / math.pi
-        last = best.filter(F.col("place") == k + 1).select(
-            F.col("query").alias("uid"), "score", F.ceil(BITS * off + 2.5 * F.sqrt(BITS * off * (1 - off))).cast("int").alias("nearer"))
+        last = best.filter(F.col("place") == k + 1).select(F.col("query").alias("uid"), "score", cut_of(off).alias("nearer"))
         last_is_next = high + 1 >= min(STEPS, index.size)  # which takes whatever is left
-        wider = F.lit(BITS) if last_is_next else F.greatest("cut", F.least("nearer", F.lit(int((FIRST_CUT + WIDER * (high + 1)) * BITS))))
+        next_reach = F.lit(reach(high + 1, index.size, index.m))
+        wider = F.lit(BITS) if last_is_next else F.greatest("cut", F.least("nearer", cut_of(next_reach)))
         queries = stored(queries.join(last, "uid", "left")
                          .filter(F.col("score").isNull() | (F.col("score") < least_cosine(high, index.size, index.m)))
                          .select("d", "uid", "code", wider.cast("int").alias("cut"), F.col("cut").alias("before")), "ann-open")
