@@ -14,7 +14,7 @@ import pytest
 
 def test_registration():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) <= names and "pipeline" in names and set(ORACLES) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "bpe"]
 
