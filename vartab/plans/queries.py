@@ -112,7 +112,7 @@ def q_scan_vcf_blocks(spark, sf_dir):
     """SRC-1: block-gzip VCF, each file read in byte ranges by several tasks."""
     fx = _fx(spark, sf_dir)
     path = work_dir(spark, "bvcf")
-    sinks.write_vcf(I.vcf_rows(fx).coalesce(2), I.VCF_HEADER, path, compression="blocks", sort=False)
+    sinks.write_vcf(I.vcf_rows(fx), I.VCF_HEADER, path, compression="blocks", sort=False)
     return sources.read_vcf(spark, path, split_bytes=SPLIT_BYTES)
 
 

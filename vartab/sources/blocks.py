@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
@@ -30,6 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FORMAT = "vartab_blocks"
 SPLIT_BYTES = 32 << 20
+MOST_RANGES = 4096  # of all files together, about: ranges grow beyond it
 # Fixed values of the format: a member's header (with its size less one at byte 16), the
 # empty member that ends a file, the most that one member holds.
 _MAGIC = b"\x1f\x8b\x08\x04"
@@ -195,8 +197,9 @@ class _Reader(DataSourceReader):
         self.path, self.split = options["path"], int(options.get("splitbytes", SPLIT_BYTES))
 
     def partitions(self) -> list[_Range]:
-        return [_Range(path, a, min(a + self.split, size), size) for path, size in list_files(self.path)
-                for a in range(0, max(size, 1), self.split)]
+        files = list_files(self.path)
+        split = max(self.split, -(-sum(size for _, size in files) // MOST_RANGES))
+        return [_Range(path, a, min(a + split, size), size) for path, size in files for a in range(0, max(size, 1), split)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         for lines in read_range(partition.path, partition.start, partition.end, partition.size):
@@ -280,15 +283,27 @@ class BlockGzip(DataSource):
         return _Writer(self.options, overwrite)
 
 
+def _registered(spark: SparkSession) -> str:
+    """The name under which ``spark`` knows the format. A session that was made after
+    another had registered it may refuse that name, and gets one of its own."""
+    try:
+        spark.dataSource.register(BlockGzip)
+        return FORMAT
+    except AnalysisException as e:
+        if e.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
+            raise
+    own = f"{FORMAT}_{uuid.uuid4().hex[:12]}"
+    spark.dataSource.register(type("BlockGzip", (BlockGzip,), {"name": classmethod(lambda cls: own)}))
+    return own
+
+
 def read_blocks(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """The lines of the gzip files at ``path`` (a file, a folder or a glob), several tasks
     to a file where it is in blocks."""
-    spark.dataSource.register(BlockGzip)
-    return spark.read.format(FORMAT).option("path", path).option("splitBytes", split_bytes).load()
+    return spark.read.format(_registered(spark)).option("path", path).option("splitBytes", split_bytes).load()
 
 
 def write_blocks(lines: DataFrame, path: str) -> None:
     """Writes lines (column ``value``) as block-gzip files, one per partition; the
     files in name order concatenate to one valid file."""
-    lines.sparkSession.dataSource.register(BlockGzip)
-    lines.select("value").write.format(FORMAT).mode("overwrite").option("path", path).save()
+    lines.select("value").write.format(_registered(lines.sparkSession)).mode("overwrite").option("path", path).save()
