@@ -47,3 +47,49 @@ def test_measured_session_keeps_the_callers_settings(spark):
     twice = measured_session(measured_session(spark))
     assert twice.conf.get(auto) == "-1" and twice.conf.get(adaptive) == before == spark.conf.get(auto)
     assert twice.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_blocks_are_written_and_read_in_sessions_beside_one_another(spark, tmp_out):
+    from vartab import sinks, sources
+
+    for k, own in enumerate((measured_session(spark), spark, measured_session(spark), measured_session(spark))):
+        path = f"{tmp_out}-{k}"
+        sinks.write_text(own.range(50, numPartitions=5).selectExpr("'l' || id AS value"), ["#h"], path, compression="blocks")
+        for reader in (own, spark):
+            assert sources.read_blocks(reader, path).count() == 51
+
+
+def test_ranges_are_bounded_in_number(spark, tmp_out, monkeypatch):
+    from vartab.sources import blocks
+
+    blocks.write_blocks(spark.range(20_000, numPartitions=3).selectExpr("sha2(string(id), 256) AS value"), tmp_out)
+    sizes = lambda: len(blocks._Reader({"path": tmp_out, "splitbytes": "64"}).partitions())
+    monkeypatch.setattr(blocks, "MOST_RANGES", 10)
+    assert 10 <= sizes() <= 13
+
+
+def test_links_dealt_by_variant_are_the_same_and_stay(spark):
+    from pyspark.sql import functions as F
+
+    from vartab import operators as ops
+    from vartab.plans import inputs as I
+    from vartab.plans import queries as Q
+
+    fx = Fixtures(spark, SF_SMALL)
+    gmap = ops.gene_version_map(I.gtf_gene_rows(fx))
+    by_gene = gmap.unionByName(gmap.limit(3).withColumn("gene_id", F.concat("gene_id", F.lit("x"))))
+    whole = lambda by: ops.enhancer_links(fx.fx_variant, fx.fx_prediction, fx.fx_enhancer, by_gene, classes=Q.E2G_CLASSES, by_variant=by)
+    plain = ops.map_gene_versions(Q._e2g(fx, fx.fx_variant).limit(0), gmap, "target_gene_id").columns
+    assert whole(True).columns == plain and sorted(map(repr, whole(True).collect())) == sorted(map(repr, whole(False).collect()))
+    plan = _plan(Q.q_combine_e2g(spark, SF_SMALL))
+    assert plan.count("hashpartitioning(variant_id") == 2, plan  # the links and the base, each dealt once
+
+
+def test_a_large_gene_model_is_not_broadcast(spark):
+    from vartab.operators import joins
+    from vartab.plans import queries as Q
+
+    assert joins.BROADCAST_MAX_BYTES <= 64 << 20
+    fx = Fixtures(spark, SF_SMALL)
+    plan = _plan(Q.q_base_table_shuffled(spark, SF_SMALL))
+    assert "ShuffledHashJoin" in plan and "Sort [transcript" not in plan
