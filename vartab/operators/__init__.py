@@ -1,5 +1,5 @@
 """DataFrame -> DataFrame operators. None of them runs a job, except the
-size check behind ``broadcast_if_small``."""
+size check behind ``broadcast_if_small``, ``local_partitions`` and the nested bins."""
 
 from vartab.operators import heavy  # noqa: F401
 from vartab.operators.combine import COPARTITION_CONF, combine, copartition_session, repeated_keys  # noqa: F401
@@ -7,7 +7,7 @@ from vartab.operators.consequence import (  # noqa: F401
     BASE_COLUMNS, base_table, csq_entries, explode_csq, union_tracks,
 )
 from vartab.operators.enhancers import (  # noqa: F401
-    collapse_pairs, enhancer_hits, enhancer_links, pair_intervals, variant_gene_links,
+    collapse_pairs, enhancer_hits, enhancer_links, local_partitions, pair_intervals, variant_gene_links,
 )
 from vartab.operators.funnel import (  # noqa: F401
     analysis_set, analysis_variants, chromosome_subset, filter_lines, filter_variants, toggle_filter,

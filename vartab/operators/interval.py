@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from vartab.operators.joins import broadcast_if_small
 
 DEFAULT_BIN = 10_000
+BIN = "point_bin"
 # Bin sizes for intervals of very different length; the largest holds a chromosome.
 NESTED_BINS = tuple(1 << k for k in range(14, 30, 3))
 
@@ -58,6 +59,31 @@ def nested_bins(intervals: DataFrame, start: str = "start", end: str = "end", si
             .withColumn(bin_col, F.explode(F.sequence(first, last))))
 
 
+def _parts(level: Column, sizes: Sequence[int]) -> Column:
+    """Parts of a bin: as many as bins of the next smaller size are in it; the smallest
+    bins are whole."""
+    n = [1] + [max(1, b // a) for a, b in zip(sizes, sizes[1:])]
+    return F.element_at(F.array(*[F.lit(k).cast("bigint") for k in n]), level + 1)
+
+
+def _part_of(pos: Column, level: Column, sizes: Sequence[int]) -> Column:
+    """The part of its bin that ``pos`` lies in (the last takes what division leaves over)."""
+    size, n = _size_of(level, sizes), _parts(level, sizes)
+    inside = pos - F.floor(pos / size).cast("bigint") * size
+    return F.least(F.floor(inside / F.floor(size / n)).cast("bigint"), n - 1)
+
+
+def _with_parts(binned: DataFrame, start: str, end: str, sizes: Sequence[int]) -> DataFrame:
+    """The rows of ``nested_bins`` once for every part of their bin that the interval
+    touches. A bin may hold many times the points of one of its intervals; a point then
+    only meets those that reach its part."""
+    size = _size_of(F.col("_ilevel"), sizes)
+    first = F.greatest(F.col(start), F.col("_ibin") * size)
+    last = F.least(F.col(end), (F.col("_ibin") + 1) * size) - F.lit(1)
+    return binned.withColumn("_ipart", F.explode(F.sequence(
+        _part_of(first, F.col("_ilevel"), sizes), _part_of(last, F.col("_ilevel"), sizes))))
+
+
 def _levels_in_use(intervals: DataFrame, start: str, end: str, sizes: Sequence[int]) -> list[int]:
     """The levels that some interval is in (at most ``len(sizes)`` numbers)."""
     own = intervals.filter(F.col(end) > F.col(start)).select(_level(F.col(end) - F.col(start), sizes).alias("k"))
@@ -68,7 +94,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
                   point_pos: str = "pos", interval_chrom: str = "chrom",
                   start: str = "start", end: str = "end",
                   bin_size: int | Sequence[int] | None = DEFAULT_BIN, how: str = "inner",
-                  broadcast_bytes: int | None = None) -> DataFrame:
+                  broadcast_bytes: int | None = None, partitions: int | None = None) -> DataFrame:
     """All (point, interval) pairs with chrom equal and start <= pos < end.
 
     Column names of the two inputs must be distinct apart from
@@ -77,8 +103,9 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
     ``bin_size=None`` plans the plain range join (hash on chrom only); it
     exists to measure and test the binned form against.
     Several sizes (``NESTED_BINS``) put each interval into bins of the least size that
-    holds it, two at most, and look for a point in one bin of each size that is in use
-    (one small job over the intervals tells): for intervals of very different length,
+    holds it, two at most, of these into the parts it touches, and look for a point in
+    one part of one bin of each size that is in use (one small job over the intervals
+    tells): for intervals of very different length,
     where copies by a single size would grow with the length.
 
     Side choice: the points (variants) are the big, growing side and are
@@ -90,6 +117,9 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
     the binned intervals are broadcast when measured to be small; the
     measurement runs the interval side's plan once more, so pass it
     only when that side is a cheap scan (e.g. transcripts of a GTF).
+    ``partitions`` (with one bin size): both sides are dealt into so many by (chrom, bin)
+    and the point's bin stays in the result as ``BIN``, so that what is grouped by the
+    chromosome and this bin among others need not be shuffled again.
     """
     same = point_chrom == interval_chrom
     iv = intervals.withColumnRenamed(interval_chrom, "_ichrom") if same else intervals
@@ -105,18 +135,24 @@ def interval_join(points: DataFrame, intervals: DataFrame, *, point_chrom: str =
         levels = _levels_in_use(iv, start, end, bin_size) or [0]
         p = points.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels])))
         p = p.withColumn("_bin", F.floor(F.col(point_pos) / _size_of(F.col("_level"), bin_size)).cast("bigint"))
-        iv = nested_bins(iv, start, end, bin_size, "_ibin", "_ilevel")
+        p = p.withColumn("_part", _part_of(F.col(point_pos), F.col("_level"), bin_size))
+        iv = _with_parts(nested_bins(iv, start, end, bin_size, "_ibin", "_ilevel"), start, end, bin_size)
         cond = ((p[point_chrom] == iv[ichrom]) & (p["_level"] == iv["_ilevel"]) & (p["_bin"] == iv["_ibin"])
-                & (p[point_pos] >= iv[start]) & (p[point_pos] < iv[end]))
+                & (p["_part"] == iv["_ipart"]) & (p[point_pos] >= iv[start]) & (p[point_pos] < iv[end]))
     else:
         p = points.withColumn("_bin", bin_of(F.col(point_pos), bin_size))
         iv = interval_bins(iv, start, end, bin_size, "_ibin")
         cond = ((p[point_chrom] == iv[ichrom]) & (p["_bin"] == iv["_ibin"])
                 & (p[point_pos] >= iv[start]) & (p[point_pos] < iv[end]))
+    if partitions is not None:
+        if not isinstance(bin_size, int):
+            raise ValueError("partitions are by bins of one size")
+        p, iv = p.repartition(partitions, point_chrom, "_bin"), iv.repartition(partitions, ichrom, "_ibin")
+        return p.hint("merge").join(iv, cond, how).withColumnRenamed("_bin", BIN).drop("_ibin", "_ichrom")
     small = broadcast_if_small(iv, broadcast_bytes)
     if small is iv:
         p = p.hint("merge")
     out = p.join(small, cond, how)
     if bin_size is not None:
-        out = out.drop("_bin", "_ibin", "_level", "_ilevel")
+        out = out.drop("_bin", "_ibin", "_level", "_ilevel", "_part", "_ipart")
     return out.drop("_ichrom") if same else out

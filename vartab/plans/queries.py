@@ -93,6 +93,7 @@ def _stored_sites(fx: Fixtures) -> DataFrame:
 def _e2g(fx: Fixtures, variants: DataFrame, **kw) -> DataFrame:
     gmap = ops.gene_version_map(I.gtf_gene_rows(fx))
     kw.setdefault("classes", E2G_CLASSES)
+    kw.setdefault("stored", variants is fx.fx_variant)
     return ops.enhancer_links(variants, fx.fx_prediction, fx.fx_enhancer, gmap, **kw)
 
 
@@ -444,7 +445,7 @@ def q_variant_gene_agg(spark, sf_dir):
     """AGG-2: hits collapsed to (variant, gene, name)."""
     fx = _fx(spark, sf_dir)
     pairs = ops.pair_intervals(ops.collapse_pairs(fx.fx_prediction), fx.fx_enhancer, E2G_CLASSES)
-    return ops.variant_gene_links(ops.enhancer_hits(fx.fx_variant, pairs))
+    return ops.variant_gene_links(ops.enhancer_hits(fx.fx_variant, pairs, partitions=ops.local_partitions(fx.fx_variant)))
 
 
 @query
