@@ -13,7 +13,7 @@ from vartab import sinks
 from vartab.operators.heavy import salt_rows
 from vartab.plans import inputs as I
 from vartab.plans import queries as Q
-from vartab.plans.annotation import AnnotationConfig, annotation_table
+from vartab.plans.annotation import AnnotationConfig, annotation_table, base_counts
 from vartab.plans.fixtures import Fixtures
 
 
@@ -165,3 +165,15 @@ def test_sketches_merge_over_parts(spark, tmp_out):
     assert {r.rows for r in merged.values()} == {60_000}
     assert abs(merged["id"].distinct_estimate / 40_000 - 1) < 0.025 and merged["k"].distinct_estimate == 3 and merged["none"].distinct_estimate == 0
     assert "Expand" not in _plan(sinks.merged_metrics(spark, paths))
+
+
+def test_frequent_ids_are_merged_in_tasks_not_sent_with_the_write(spark, tmp_out):
+    assert not [k for k, c in base_counts().items() if "approx_" in str(c)]
+    n = 6000
+    _hot_base(spark, n).repartition(80).write.parquet(tmp_out)
+    stored = spark.read.parquet(tmp_out).repartition(80)
+    counts = {r["item"]: r["count"] for r in ops.stored_frequent_ids(stored)}
+    exact = {r["variant_id"]: r["count"] for r in stored.groupBy("variant_id").count().collect()}
+    assert counts == exact and counts["hot"] == n / 3 and len(counts) > 400
+    assert [(r.variant_id, r.salts) for r in ops.heavy_ids(spark, ops.stored_frequent_ids(stored), 200).collect()] == [("hot", 10)]
+    assert list(ops.stored_frequent_ids(stored.limit(0))) == []

@@ -13,7 +13,7 @@ from vartab.operators.funnel import (  # noqa: F401
     analysis_set, analysis_variants, chromosome_subset, filter_lines, filter_variants, toggle_filter,
 )
 from vartab.operators.genes import gene_ids, gene_version_map, map_gene_versions  # noqa: F401
-from vartab.operators.heavy import frequent_ids, heavy_ids  # noqa: F401
+from vartab.operators.heavy import frequent_ids, heavy_ids, stored_frequent_ids  # noqa: F401
 from vartab.operators.interval import NESTED_BINS, interval_bins, interval_join, nested_bins  # noqa: F401
 from vartab.operators.joins import broadcast_if_small, measured_bytes  # noqa: F401
 from vartab.operators.metadata import (  # noqa: F401
