@@ -15,6 +15,7 @@ from vartab.plans import inputs as I
 from vartab.plans import queries as Q
 from vartab.plans.annotation import AnnotationConfig, annotation_table, base_counts
 from vartab.plans.fixtures import Fixtures
+from vartab.session import LISTING_TASKS
 
 
 def _plan(df):
@@ -177,3 +178,15 @@ def test_frequent_ids_are_merged_in_tasks_not_sent_with_the_write(spark, tmp_out
     assert counts == exact and counts["hot"] == n / 3 and len(counts) > 400
     assert [(r.variant_id, r.salts) for r in ops.heavy_ids(spark, ops.stored_frequent_ids(stored), 200).collect()] == [("hot", 10)]
     assert list(ops.stored_frequent_ids(stored.limit(0))) == []
+
+
+def test_many_chunk_folders_are_listed_by_few_tasks(spark, monkeypatch):
+    monkeypatch.setattr(Q, "CHUNK_ROWS", 10)
+    sc = spark.sparkContext
+    sc.setJobGroup("list-chunks", "list-chunks")
+    read = Q.QUERIES["chunk_export"](spark, SF_SMALL)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    folders, tracker = {f.rsplit("/", 1)[0] for f in read.inputFiles()}, sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("list-chunks") for s in tracker.getJobInfo(j).stageIds]
+    assert len(folders) > LISTING_TASKS >= max(s.numTasks for s in stages if s)
+    assert read.count() == read.select("variant_id").distinct().count() > 10 * LISTING_TASKS

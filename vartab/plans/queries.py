@@ -24,7 +24,7 @@ from vartab.operators.vep import spliceai_delta
 from vartab.plans import inputs as I
 from vartab.plans.fixtures import Fixtures
 from vartab.plans.annotation import AnnotationConfig, E2GConfig, Inputs, annotate, annotation_table
-from vartab.session import work_dir
+from vartab.session import listing_session, work_dir
 
 # Parameters of the registered queries (chosen so every filter removes rows).
 ANALYSIS_WINDOW = 500
@@ -378,7 +378,7 @@ def q_chunk_export(spark, sf_dir):
     path = work_dir(spark, "chunk")
     vcf = ops.filter_variants(I.vcf_rows(fx), ops.analysis_set(_base(fx), ANALYSIS_WINDOW))
     sinks.write_vcf_chunks(vcf, I.VCF_HEADER, path, CHUNK_ROWS)
-    return sources.read_vcf(spark, path).select("variant_id", "chrom", "start", "ref", "alt")
+    return sources.read_vcf(listing_session(spark), path).select("variant_id", "chrom", "start", "ref", "alt")
 
 
 @query
@@ -388,7 +388,7 @@ def q_chunk_export_exact(spark, sf_dir):
     lines = sinks.sort_by_position(_filtered(_fx(spark, sf_dir)).withColumn("info", F.lit(".")))
     sinks.write_vcf_chunks(lines, I.VCF_HEADER, path, CHUNK_ROWS)
     chunk = F.regexp_extract(F.col("_metadata.file_path"), r"chunk=(\d+)", 1).cast("long")
-    text = spark.read.option("recursiveFileLookup", "true").text(path).select("value", chunk.alias("chunk"))
+    text = listing_session(spark).read.option("recursiveFileLookup", "true").text(path).select("value", chunk.alias("chunk"))
     part = F.split("value", "\t")
     place = F.struct(F.get(part, 0).alias("chrom"), (F.get(part, 1).cast("long") - 1).alias("start"))
     lines = text.filter(~F.col("value").startswith("#")).groupBy("chunk").agg(
