@@ -39,4 +39,5 @@ def read_bucketed(spark: SparkSession, path: str) -> BucketedScores:
         location = root.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`chrom`, `start`, `ref`, `alt`) "
                   f"SORTED BY (`chrom`, `start`) INTO {buckets} BUCKETS LOCATION '{location}'")
+    spark.catalog.refreshTable(name)  # a session beside this one may have written it anew
     return BucketedScores(spark.table(name), buckets)
