@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vartab.operators.scores import SITE_KEYS, site_keys
+from vartab.session import shuffles_dropped
 from vartab.sources.bucketed import LAYOUT, bucketed_name
 
 BUCKETS = 1024
@@ -29,7 +30,8 @@ def write_bucketed_scores(scores: DataFrame, path: str, buckets: int = BUCKETS,
     rows = scores.select(*site_keys(scores, strip_chr), *others)
     name = bucketed_name(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (rows.repartition(buckets, *SITE_KEYS).write.format("parquet").mode("overwrite").option("path", path)
-     .bucketBy(buckets, *SITE_KEYS).sortBy("chrom", "start").saveAsTable(name))
+    with shuffles_dropped(spark):
+        (rows.repartition(buckets, *SITE_KEYS).write.format("parquet").mode("overwrite").option("path", path)
+         .bucketBy(buckets, *SITE_KEYS).sortBy("chrom", "start").saveAsTable(name))
     (spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1)
      .write.mode("overwrite").json(f"{path.rstrip('/')}/{LAYOUT}"))
