@@ -65,3 +65,32 @@ def test_the_callers_setting_is_put_back(spark):
         assert own.conf.get(CLEANUP_CONF) == "true"
         raise KeyError
     assert own.conf.get(CLEANUP_CONF, None) == before
+
+
+ODD = ["chr1", None, "a\tb", "", "|", "=", "\n", "chr 1"]
+
+
+def test_packed_rows_are_those_of_the_columns(spark, fx):
+    entry = "A|x&y|HIGH|S|{g}|Transcript|{t}|pc|1/3||h||c|d|e|f|g|||{d}|-1{more}"
+    entries = [entry.format(g=g, t=t, d=d, more=m) for g, t, d in (("g1", "t1", ""), ("", "t2", "7"), ("g2", "", "12"), ("g3", "t9", "")) for m in ("", "||||||||||||ENSP1", "||||||||||||E|more|", "|" * 20)]
+    entries += ["A|c|d|e|g1", "A|c|d|e|g1|f|t1", "|||||", "A|c|d|e|-|f|t1", "A|c|d|e"]
+    keys = [(a, b, n, c, d) for a, b in zip(ODD, reversed(ODD)) for c, d in (("A", "G"), ("AT", None), (None, "\t"), ("N", "<DEL>")) for n in (0, 5, None, -3)]
+    vcf = spark.createDataFrame([(*k, "X;CSQ=" + ",".join(entries)) for k in keys] + [("v", "1", 1, "A", "C", None)],
+                                "variant_id string, chrom string, start long, ref string, alt string, info string")
+    meta = spark.createDataFrame([(f"t{k}", f"s{k}", "pc", None, k == 1, k) for k in (1, 1, 2)] + [("", "none", "x", "y", True, None)],
+                                 "transcript_id string, symbol string, gene_type string, biotype string, canonical boolean, tsl int")
+    for sv in (None, vcf):
+        plain, packed = (ops.base_table(vcf, sv, meta, broadcast_bytes=b) for b in (1 << 20, None))
+        assert packed.columns == plain.columns == ops.BASE_COLUMNS and packed.dtypes == plain.dtypes
+        assert _rows(packed) == _rows(plain) and plain.count() > 2000
+    row = [line for line in _plan(packed).splitlines() if "Exchange hashpartitioning(transcript" in line]
+    assert row and "_packed" in _plan(packed)
+
+
+def test_the_payload_alone_stores_no_variants(spark):
+    own = Fixtures(spark, SF_SMALL, materialize=True)
+    payload, plain = own.fx_csq, Fixtures(spark, SF_SMALL)
+    assert len(_work(spark, "fixtures")) and not glob.glob(own._folder.removeprefix("file:") + "/fx_variant")
+    assert _rows(payload) == _rows(plain.fx_csq)
+    assert _rows(own.fx_variant) == _rows(plain.fx_variant)
+    assert glob.glob(own._folder.removeprefix("file:") + "/fx_variant")

@@ -21,7 +21,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vartab.session import grow_partitions, measured_session, planned_bytes, work_dir
+from vartab.session import grow_partitions, measured_session, planned_bytes, shuffles_dropped, work_dir
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -200,6 +200,8 @@ def deps(template: str) -> list[str]:
 # written once per session as Parquet in the shared checkpoint folder and
 # read back, like the input files of a real run; the others stay lazy.
 MATERIALIZED = ("fx_variant", "fx_csq", "fx_sv_csq", "fx_vep", "fx_nmd")
+# Built from another without storing that one: many queries read the payload alone.
+PASSING = {"fx_csq": "fx_variant"}
 _SHARED: dict[tuple[str, str], "Fixtures"] = {}
 _LOCK = threading.RLock()
 
@@ -227,19 +229,24 @@ class Fixtures:
         if self._folder is None:
             self._folder = work_dir(self.spark, "fixtures")
         path = f"{self._folder}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        with shuffles_dropped(df.sparkSession):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
         with _LOCK:
             return self._table(name)
 
+    def _rendered(self, name: str) -> DataFrame:
+        tmpl = SPARK_SQL.get(name, FIXTURE_SQL[name])
+        passing = {d for d in [PASSING.get(name)] if d and d not in self._cache}
+        kwargs = {d: self._rendered(d) if d in passing else self.table(d) for d in deps(tmpl)}
+        return self.spark.sql(_render(tmpl, "spark"), **kwargs)
+
     def _table(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in FIXTURE_SQL:
-                tmpl = SPARK_SQL.get(name, FIXTURE_SQL[name])
-                kwargs = {d: self.table(d) for d in deps(tmpl)}
-                df = self.spark.sql(_render(tmpl, "spark"), **kwargs)
+                df = self._rendered(name)
                 if self.materialize and name in MATERIALIZED:
                     df = self._store(name, df)
                 self._cache[name] = df

@@ -672,7 +672,7 @@ def q_merged_metrics(spark, sf_dir):
     paths = []
     for k, rows in enumerate((base.filter("start % 3 > 0"), base.filter("start % 3 = 0"))):
         paths.append(work_dir(spark, f"part{k}"))
-        found = sinks.write_parquet(rows, paths[-1], metrics=sinks.sketches(columns))
+        found = sinks.write_parquet(rows, paths[-1], metrics=sinks.sketches(columns), compression="zstd")
         sinks.store_metrics(spark, paths[-1], found, columns)
     merged = sinks.merged_metrics(spark, paths)
     exact = sinks.distinct_counts(spark.read.parquet(*paths), columns)
