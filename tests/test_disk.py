@@ -87,6 +87,25 @@ def test_packed_rows_are_those_of_the_columns(spark, fx):
     assert row and "_packed" in _plan(packed)
 
 
+def test_chunks_may_be_packed_and_are_read_alike(spark, fx, tmp_out):
+    vcf = I.vcf_rows(fx)
+    for kind in (None, "gzip"):
+        path = f"{tmp_out}-{kind}"
+        assert sinks.write_vcf_chunks(vcf, I.VCF_HEADER, path, 300, compression=kind)["rows"] == vcf.count()
+        files = glob.glob(path.removeprefix("file:") + "/chunk=*/part-*")
+        assert files and all(f.endswith(".gz") == (kind == "gzip") for f in files)
+        assert _rows(sources.read_vcf(spark, path).select(vcf.columns)) == _rows(vcf)
+    assert all(f.endswith(".gz") for f in Q.QUERIES["chunk_export"](spark, SF_SMALL).inputFiles())
+
+
+def test_staged_rows_are_written_alike_and_deleted(spark, fx, tmp_out):
+    vcf = I.vcf_rows(fx).repartition(5, "variant_id")
+    for staged in (False, True):
+        assert sinks.write_vcf(vcf, I.VCF_HEADER, f"{tmp_out}-{staged}", staged=staged)["rows"] == vcf.count()
+    plain, found = (sources.read_vcf(spark, f"{tmp_out}-{s}") for s in (False, True))
+    assert _rows(found) == _rows(plain) and not _work(spark, "vcf-rows")
+
+
 def test_the_payload_alone_stores_no_variants(spark):
     own = Fixtures(spark, SF_SMALL, materialize=True)
     payload, plain = own.fx_csq, Fixtures(spark, SF_SMALL)

@@ -340,7 +340,7 @@ def q_filtered_vcf(spark, sf_dir):
     ids_path, vcf_path = work_dir(spark, "ids"), work_dir(spark, "fvcf")
     sinks.write_ids(ops.analysis_set(_base(fx), ANALYSIS_WINDOW), ids_path)
     ids = spark.read.text(ids_path).withColumnRenamed("value", "variant_id")
-    sinks.write_vcf(ops.filter_variants(I.vcf_rows(fx), ids), I.VCF_HEADER, vcf_path)
+    sinks.write_vcf(ops.filter_variants(I.vcf_rows(fx), ids), I.VCF_HEADER, vcf_path, staged=True)
     return sources.read_vcf(spark, vcf_path)
 
 
@@ -377,7 +377,7 @@ def q_chunk_export(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     path = work_dir(spark, "chunk")
     vcf = ops.filter_variants(I.vcf_rows(fx), ops.analysis_set(_base(fx), ANALYSIS_WINDOW))
-    sinks.write_vcf_chunks(vcf, I.VCF_HEADER, path, CHUNK_ROWS)
+    sinks.write_vcf_chunks(vcf, I.VCF_HEADER, path, CHUNK_ROWS, compression="gzip")
     return sources.read_vcf(listing_session(spark), path).select("variant_id", "chrom", "start", "ref", "alt")
 
 
