@@ -67,6 +67,58 @@ def test_the_callers_setting_is_put_back(spark):
     assert own.conf.get(CLEANUP_CONF, None) == before
 
 
+TOOLS = ("vep", "nmd", "e2g", "absplice")
+
+
+@pytest.mark.parametrize("tools, more", [(TOOLS, {}), (TOOLS, {"canonical_only": True, "protein_coding_only": True, "rows_per_salt": 4}), (("e2g",), {}), ((), {})],
+                         ids=["all", "salted", "e2g", "none"])
+def test_passes_give_the_same_rows_and_leave_one_table(spark, monkeypatch, tools, more):
+    whole = Q._combine(spark, SF_SMALL, tools, **more)
+    monkeypatch.setattr(annotation, "PASS_BYTES", 1)
+    labels = ("base", "sites", "e2g", "absplice", "combined")
+    before = {w: _work(spark, w) for w in labels}
+    found = Q._combine(spark, SF_SMALL, tools, **more)
+    made = {w: len(_work(spark, w) - before[w]) for w in labels}
+    assert made == dict.fromkeys(labels, 0) | ({"combined": 1} if tools else {"base": 1})
+    assert found.columns == whole.columns and _rows(found) == _rows(whole) and whole.count() > 100
+    if tools:
+        assert "Exchange" not in _plan(found)
+
+
+def test_ids_of_a_pass_are_whole_and_missing_ones_are_kept(spark, monkeypatch, tmp_out):
+    cols = {c: F.lit(None).cast("string") for c in ops.BASE_COLUMNS}
+    cols |= {"variant_id": F.when(F.col("id") % 5 > 0, F.concat(F.lit("v"), F.col("id") % 30)), "transcript": F.concat(F.lit("t"), F.col("id") % 4), "gene": F.lit("g")}
+    spark.range(200).select(*[v.alias(k) for k, v in cols.items()]).write.parquet(tmp_out)
+    nmd = spark.createDataFrame([(f"v{k}", f"t{k % 4}", k) for k in range(30)] * 2 + [(None, "t1", 9)], "variant_id string, transcript string, flag int")
+    base = ops.copartition_session(spark).read.parquet(tmp_out)
+    whole = annotation.annotation_table(None, annotation.AnnotationConfig(), base, {"nmd": nmd}, True)
+    monkeypatch.setattr(annotation, "PASS_BYTES", 1)
+    passes, _ = annotation._frames(None, annotation.AnnotationConfig(), base, {"nmd": nmd}, True)
+    ids = [{r.variant_id for r in f.select("variant_id").distinct().collect()} for f in passes]
+    assert len(passes) == annotation.MOST_PASSES and sum(map(len, ids)) == len(set.union(*ids)) == 25
+    found = annotation.annotation_table(None, annotation.AnnotationConfig(), base, {"nmd": nmd}, True)
+    assert _rows(found) == _rows(whole) and whole.filter("variant_id IS NULL").count() == 40
+
+
+@pytest.mark.parametrize("name", ["read_annotations", "overwrite_drops_stale"])
+def test_a_table_written_in_passes_is_the_same(spark, monkeypatch, name):
+    whole, before = Q.QUERIES[name](spark, SF_SMALL), _work(spark, "base")
+    monkeypatch.setattr(annotation, "PASS_BYTES", 1)
+    found = Q.QUERIES[name](spark, SF_SMALL)
+    assert not _work(spark, "base") - before
+    assert found.columns == whole.columns and _rows(found) == _rows(whole) and whole.count() > 100
+
+
+def test_without_a_part_the_base_is_not_dealt(spark, fx, tmp_out):
+    Q._base(fx).write.parquet(tmp_out)
+    base = ops.copartition_session(spark).read.parquet(tmp_out)
+    heavy = ops.heavy_ids(spark, [("x", 9)], 2)
+    for given in ({}, {"heavy": heavy}):
+        table = ops.combine(base, copartition=True, canonical_only=True, **given)
+        assert "Exchange" not in _plan(table) and table.count() == base.filter("canonical").count()
+        assert "_salt" not in table.columns
+
+
 ODD = ["chr1", None, "a\tb", "", "|", "=", "\n", "chr 1"]
 
 
