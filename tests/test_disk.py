@@ -100,6 +100,18 @@ def test_ids_of_a_pass_are_whole_and_missing_ones_are_kept(spark, monkeypatch, t
     assert _rows(found) == _rows(whole) and whole.filter("variant_id IS NULL").count() == 40
 
 
+def test_passes_are_for_the_rows_that_the_toggles_leave(spark, fx, monkeypatch, tmp_out):
+    Q._base(fx).write.parquet(tmp_out)
+    base = spark.read.parquet(tmp_out)
+    size = annotation.planned_bytes(base)
+    monkeypatch.setattr(annotation, "PASS_BYTES", size // 3)
+    passes = [annotation._passes(base, annotation.AnnotationConfig(canonical_only=c)) for c in (False, True)]
+    share = base.filter("canonical").count() / base.count()
+    assert passes[0] == 4 and passes[1] == max(1, min(4, -(-int(size * share) // (size // 3)))) < 4
+    monkeypatch.setattr(annotation, "PASS_BYTES", size)
+    assert annotation._passes(base, annotation.AnnotationConfig()) == 1
+
+
 @pytest.mark.parametrize("name", ["read_annotations", "overwrite_drops_stale"])
 def test_a_table_written_in_passes_is_the_same(spark, monkeypatch, name):
     whole, before = Q.QUERIES[name](spark, SF_SMALL), _work(spark, "base")
